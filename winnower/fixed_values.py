@@ -19,7 +19,6 @@ MAX_SAMPLES = 250_000
 SEED = 42
 
 # Reporting.
-PROGRESS_EVERY = 20_000
 DEMO_ROWS = 200
 
 # Columns of an instruction record as a training data manifest names them.
