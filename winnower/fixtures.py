@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from winnower import fixed_values as fixed
+from winnower.sources.spread import spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,7 +36,9 @@ def pairs_of_documents(documents: DataFrame) -> DataFrame:
 
 
 def document_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pairs_of_documents(table(spark, sf_dir, "documents"))
+    return pairs_of_documents(
+        spread(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+    )
 
 
 def json_lines_of_pairs(pairs: DataFrame) -> DataFrame:

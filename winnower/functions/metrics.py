@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from itertools import chain
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from winnower import fixed_values as fixed
 
 # JSON types that count as a number; true and false do, text never does.
 _NUMERIC_VARIANT = r"^(BIGINT|DOUBLE|BOOLEAN|DECIMAL\(.*)$"
+_METRICS_TYPE = "map<string,variant>"
 
 
 def _preference_map(preferences: dict[str, list[str]]) -> Column:
@@ -24,28 +25,12 @@ def _last_value(entries: Column, key: Column) -> Column:
     return F.try_element_at(same_key, F.lit(-1))["value"]
 
 
-def metric_values(value: Column, task: Column) -> Column:
-    """Metrics of a task as a map of variants in file order.
-
-    ``results`` maps tasks to metric objects, or is a metric object itself; the
-    latter is used if the task is missing or empty. Inside a variant keys come
-    back sorted, so the task is cut out as JSON text and only then typed.
-    """
-    by_task = F.from_json(value, "results map<string,string>")["results"]
-    block = F.from_json(_last_value(by_task, task), "map<string,variant>")
-    whole = F.from_json(
-        F.from_json(value, "results string")["results"], "map<string,variant>"
-    )
-    flat = F.when(by_task.isNotNull(), whole)
-    return F.when(F.size(block) > 0, block).otherwise(flat)
-
-
-def resolve_metric(
-    value: Column,
+def best_metric(
+    metrics: Column,
     task: Column,
     preferences: dict[str, list[str]] = fixed.PREFERRED_METRICS,
 ) -> Column:
-    """Best metric of a result file, as ``struct(rank, metric, score)``.
+    """Best of a map of metrics in file order, with ``metric`` and ``score``.
 
     The first preferred name with a numeric value wins, else the first numeric
     value in file order; NULL if there is none. Works on the row alone: nothing
@@ -53,23 +38,47 @@ def resolve_metric(
     """
     names = F.try_element_at(_preference_map(preferences), task)
 
-    def best(metrics: Column) -> Column:
-        def candidate(name: Column, position: Column) -> Column:
-            metric_value = _last_value(metrics, name)
-            preferred = F.nullif(F.array_position(names, name), F.lit(0))
-            numeric = F.schema_of_variant(metric_value).rlike(_NUMERIC_VARIANT)
-            return F.struct(
-                preferred.isNull().alias("fallback"),
-                F.coalesce(preferred, position.cast("bigint")).alias("rank"),
-                name.alias("metric"),
-                F.when(numeric, F.try_variant_get(metric_value, "$", "double")).alias("score"),
-            )
-
-        candidates = F.transform(F.array_distinct(F.map_keys(metrics)), candidate)
-        return F.array_min(F.filter(candidates, lambda found: found["score"].isNotNull()))
-
-    # A one-element array names the parsed map, so it is parsed once.
-    return F.get(F.transform(F.array(metric_values(value, task)), best), F.lit(0))
+    def candidate(name: Column, position: Column) -> Column:
+        value = _last_value(metrics, name)
+        preferred = F.nullif(F.array_position(names, name), F.lit(0))
+        numeric = F.schema_of_variant(value).rlike(_NUMERIC_VARIANT)
+        return F.struct(
+            preferred.isNull().alias("fallback"),
+            F.coalesce(preferred, position.cast("bigint")).alias("rank"),
+            name.alias("metric"),
+            F.when(numeric, F.try_variant_get(value, "$", "double")).alias("score"),
+        )
+
+    candidates = F.transform(F.array_distinct(F.map_keys(metrics)), candidate)
+    return F.array_min(F.filter(candidates, lambda found: found["score"].isNotNull()))
+
+
+def with_best_metric(
+    results: DataFrame, preferences: dict[str, list[str]] = fixed.PREFERRED_METRICS
+) -> DataFrame:
+    """Add ``best``, the best metric of each result file, to ``task, value``.
+
+    ``results`` in the file maps tasks to metric objects, or is a metric object
+    itself; the latter is used if the task is missing or empty. Inside a variant
+    keys come back sorted, so the task is cut out as JSON text and only then
+    typed. One column per step keeps each from being parsed again.
+    """
+    task, value = F.col("task"), F.col("value")
+    by_task = F.from_json(value, "results map<string,string>")["results"]
+    block = F.from_json(_last_value(F.col("_by_task"), task), _METRICS_TYPE)
+    whole = F.from_json(F.from_json(value, "results string")["results"], _METRICS_TYPE)
+    return (
+        results.withColumn("_by_task", by_task)
+        .withColumn("_block", block)
+        .withColumn(
+            "_metrics",
+            F.when(F.size("_block") > 0, F.col("_block")).when(
+                F.col("_by_task").isNotNull(), whole
+            ),
+        )
+        .withColumn("best", best_metric(F.col("_metrics"), task, preferences))
+        .drop("_by_task", "_block", "_metrics")
+    )
 
 
 def is_corrupt(value: Column) -> Column:

@@ -6,8 +6,6 @@ scan stage and never shuffles.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,8 +24,8 @@ WHITESPACE_RUN = rf"[\x20{_LATIN_NOT_SPACE}{_BEYOND_LATIN}]+"
 # Whitespace that normalising would change, other than at the two ends.
 _UNTIDY = rf"[{_LATIN_NOT_SPACE}{_BEYOND_LATIN}]|\x20\x20"
 
-# Above this many candidates, counting every token is the cheaper plan.
-_MAX_CANDIDATES = 8
+# Below this share so many tokens qualify that counting all of them is cheaper.
+_SMALL_SHARE = 0.05
 
 
 def text_field(df: DataFrame, name: str) -> Column:
@@ -123,33 +121,24 @@ def is_repetitive(normalised: Column, min_share: float, min_tokens: int) -> Colu
     or more covers one of the positions n, 2n, 3n... Counting just the tokens
     found there decides the rule with array built-ins, not a step per token.
     """
-    if min_share <= 0:
-        return token_count(normalised) >= min_tokens
-    # The distance between positions is at least ``total * min_share - 1``, so
-    # the shortest text that the rule looks at has the most positions.
-    distance = min_share * min_tokens - 1
-    candidates = math.floor(min_tokens / distance + 1e-9) if distance > 0 else math.inf
-    if candidates > _MAX_CANDIDATES:
-        share = top_token_share(normalised)
-        return (token_count(normalised) >= min_tokens) & (share >= F.lit(float(min_share)))
+    share = F.lit(float(min_share))
+    if min_share > 1:
+        return F.lit(False)
+    if min_share < _SMALL_SHARE:
+        return (token_count(normalised) >= min_tokens) & (top_token_share(normalised) >= share)
 
     def share_reached(ordered: Column) -> Column:
         total = F.size(ordered)
-        step = F.greatest(F.lit(1), (F.ceil(total * F.lit(float(min_share))) - 1).cast("int"))
+        distance = F.greatest(F.ceil(total * share) - 1, F.lit(1)).cast("int")
 
         def reached(position: Column) -> Column:
-            # A position behind the end gives NULL, which is not a token.
-            token = F.get(ordered, position - 1)
-            count = total - F.size(F.array_remove(ordered, token))
-            return token.isNotNull() & (count / total >= F.lit(float(min_share)))
+            others = F.array_remove(ordered, F.get(ordered, position - 1))
+            return (total - F.size(others)) / total >= share
 
-        found = F.lit(False)
-        for nth in range(1, candidates + 1):
-            found = found | reached(step * nth)
-        return found
+        return F.exists(F.sequence(distance, total, distance), reached)
 
     # ``exists`` over a one-element array names a value, so the text is split
-    # and sorted once for all uses below.
+    # and sorted once for all uses.
     return F.exists(
         F.array(F.split(normalised, " ")),
         lambda words: (F.size(words) >= F.lit(min_tokens))

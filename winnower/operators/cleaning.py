@@ -45,6 +45,20 @@ def fails_repetition(r: Column, rules: CleaningRules) -> Column:
     return is_repetitive(r, rules.drop_if_rep_ratio_ge, rules.rep_ratio_min_tokens)
 
 
+def drop_failing(rows: DataFrame, rule: str, fails: Column) -> DataFrame:
+    """Drop the rows that fail one rule, observing how many those are.
+
+    Without the observation in between, the optimizer would evaluate the
+    normalised columns in the filter and once more above it.
+    """
+    return (
+        rows.withColumn("_fails", fails)
+        .observe(rule, F.count(F.lit(1)).alias("seen_rows"), F.count_if("_fails").alias("dropped"))
+        .where(~F.col("_fails"))
+        .drop("_fails")
+    )
+
+
 def drop_reason(q: Column, r: Column, rules: CleaningRules) -> Column:
     """First failing rule of a normalised pair, else ``valid``.
 

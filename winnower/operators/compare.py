@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from winnower import fixed_values as fixed
-from winnower.functions.metrics import is_corrupt, resolve_metric, score_text
+from winnower.functions.metrics import is_corrupt, score_text, with_best_metric
 
 MARKDOWN_HEADER = [
     "| task | fewshot | metric | base | sft | delta |",
@@ -34,19 +34,13 @@ def resolve_scores(
     ``results`` has ``run, task, fewshot, value``, one row per file, where
     ``value`` is the JSON text.
     """
-    return results.select(
+    return with_best_metric(results, preferences).select(
         "run",
         "task",
         "fewshot",
-        resolve_metric(F.col("value"), F.col("task"), preferences).alias("_best"),
+        F.col("best.metric").alias("metric"),
+        F.col("best.score").alias("score"),
         is_corrupt(F.col("value")).alias("corrupt"),
-    ).select(
-        "run",
-        "task",
-        "fewshot",
-        F.col("_best.metric").alias("metric"),
-        F.col("_best.score").alias("score"),
-        "corrupt",
     )
 
 

@@ -13,12 +13,11 @@ _DROPPED = ["empty", "length", "char_run", "repetition", "other"]
 
 def decision_counts() -> list[Column]:
     """Counters over ``decision``; they need no shuffle when observed."""
-    decision = F.col("decision")
+    names = {"selected": "selected_rows", "not_sampled": "not_sampled_rows"}
+    names |= {reason: f"dropped_{reason}" for reason in _DROPPED}
     return [
-        F.count(F.lit(1)).alias("seen_rows"),
-        F.count_if(decision == "selected").alias("selected_rows"),
-        F.count_if(decision == "not_sampled").alias("not_sampled_rows"),
-        *[F.count_if(decision == reason).alias(f"dropped_{reason}") for reason in _DROPPED],
+        F.expr("count(*) as seen_rows"),
+        *[F.expr(f"count_if(decision = '{value}') as {name}") for value, name in names.items()],
     ]
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from winnower import fixed_values as fixed
@@ -21,6 +21,7 @@ from winnower.functions.text import (
     top_token_share,
 )
 from winnower.operators.cleaning import (
+    drop_failing,
     fails_char_run,
     fails_empty,
     fails_length,
@@ -114,22 +115,25 @@ def hash_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Filters and labels
 
 
+def _passing(spark: SparkSession, sf_dir: str, rule: str, fails: Column) -> DataFrame:
+    rows = _normalised(spark, sf_dir).select("seq", "q", "r")
+    return drop_failing(rows, rule, fails).select("seq")
+
+
 def empty_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _normalised(spark, sf_dir).where(~fails_empty(F.col("q"), F.col("r"))).select("seq")
+    return _passing(spark, sf_dir, "empty", fails_empty(F.col("q"), F.col("r")))
 
 
 def length_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    dropped = fails_length(F.col("q"), F.col("r"), RULES)
-    return _normalised(spark, sf_dir).where(~dropped).select("seq")
+    return _passing(spark, sf_dir, "length", fails_length(F.col("q"), F.col("r"), RULES))
 
 
 def char_run_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    dropped = fails_char_run(F.col("q"), F.col("r"), RULES)
-    return _normalised(spark, sf_dir).where(~dropped).select("seq")
+    return _passing(spark, sf_dir, "char_run", fails_char_run(F.col("q"), F.col("r"), RULES))
 
 
 def repetition_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _normalised(spark, sf_dir).where(~fails_repetition(F.col("r"), RULES)).select("seq")
+    return _passing(spark, sf_dir, "repetition", fails_repetition(F.col("r"), RULES))
 
 
 def drop_reason(spark: SparkSession, sf_dir: str) -> DataFrame:
