@@ -1,0 +1,216 @@
+from __future__ import annotations
+
+import math
+import random
+
+import pytest
+import restated
+from pyspark.sql import Observation
+from pyspark.sql import functions as F
+
+from winnower import fixtures
+from winnower.config import CleaningRules, Sampling
+from winnower.functions.hashing import score_bound, score_hex, score_value
+from winnower.operators.cleaning import drop_failing, fails_empty, label_rows, with_normalised
+from winnower.operators.dedup import first_kept, keep_first
+from winnower.operators.selection import decide_rows, select_rows
+from winnower.operators.tally import drop_waterfall, stats_counts, stats_report
+from winnower.plans.prepare import clean_records
+
+SMALL, MIDDLE, LARGE = (f"/root/testdata/sf{sf}" for sf in ("0.001", "0.01", "0.1"))
+PAIR = "seq bigint, question string, response string, system_prompt string, id string"
+
+# Reasons in the order empty, length, char_run, repetition, valid.
+EXPECTED_REASONS = {
+    SMALL: (5, 4, 2, 4, 185),
+    MIDDLE: (21, 16, 10, 21, 932),
+    LARGE: (202, 109, 93, 285, 9_311),
+}
+# (selected, kept, sum of seq over kept rows)
+EXPECTED_KEPT = {
+    (SMALL, 0.25): (46, 43, 3_864),
+    (SMALL, 0.5): (100, 95, 9_148),
+    (SMALL, 1.0): (185, 175, 17_147),
+    (MIDDLE, 0.25): (216, 199, 94_824),
+    (MIDDLE, 0.5): (453, 416, 194_697),
+    (MIDDLE, 1.0): (932, 862, 415_656),
+    (LARGE, 0.25): (2_369, 2_198, 10_846_883),
+    (LARGE, 0.5): (4_739, 4_390, 21_276_699),
+    (LARGE, 1.0): (9_311, 8_667, 42_391_327),
+}
+
+
+@pytest.mark.parametrize("folder", EXPECTED_REASONS)
+def test_drop_counts(spark, folder):
+    counts = drop_waterfall(label_rows(fixtures.document_pairs(spark, folder))).collect()
+    names = ("empty", "length", "char_run", "repetition", "valid")
+    assert {row.drop_reason: row.n_rows for row in counts} == dict(
+        zip(names, EXPECTED_REASONS[folder])
+    )
+
+
+@pytest.mark.parametrize(("folder", "probability"), EXPECTED_KEPT)
+def test_selected_and_kept(spark, folder, probability):
+    seen = Observation()
+    selected = select_rows(
+        fixtures.document_pairs(spark, folder), sampling=Sampling(hash_prob=probability),
+        observation=seen,
+    )
+    kept = keep_first(selected).agg(F.count("*"), F.sum("seq")).first()
+    assert (seen.get["selected_rows"], *kept) == EXPECTED_KEPT[folder, probability]
+
+
+def test_rows_as_restated_in_python(spark):
+    pairs = fixtures.document_pairs(spark, MIDDLE)
+    rows = [tuple(row) for row in pairs.collect()]
+    for dedup in (False, True):
+        records = clean_records(pairs, sampling=Sampling(hash_prob=0.5, seed=7), dedup=dedup)
+        assert [tuple(row) for row in records.orderBy("seq").collect()] == restated.prepare(
+            rows, CleaningRules(), 0.5, 7, dedup
+        )
+
+
+def test_bounds_are_inclusive(spark):
+    long_words = " ".join(f"word{n}" for n in range(4_000))
+    cases = [
+        ("q" * 2 + " sho", "r " * 10 + "x", "length"),
+        ("abcdefghi", "abc " * 10, "length"),
+        ("abcdefghij", "abcde fghij klmno pq", "valid"),
+        ("abcdefghij", "abcde fghij klmno p", "length"),
+        (long_words[:8_000], long_words[:16_000], "valid"),
+        (long_words[:8_001], long_words[:16_000], "length"),
+        (long_words[:7_999], long_words[:16_001], "length"),
+        ("abcdefghij" + "x" * 119, "abcde fghij klmno pq", "valid"),
+        ("abcdefghij" + "x" * 120, "abcde fghij klmno pq", "char_run"),
+        ("abcdefghij", "abcde fghij klmno pq" + "\U0001f600" * 120, "char_run"),
+        ("abcdefghij", " ".join(["a"] * 32 + [f"w{n}" for n in range(48)]), "repetition"),
+        ("abcdefghij", " ".join(["a"] * 31 + [f"w{n}" for n in range(48)]), "valid"),
+        ("abcdefghij", " ".join(["a"] * 31 + [f"w{n}" for n in range(49)]), "valid"),
+        ("abcdefghij", " ".join(["a", "A"] * 20 + [f"w{n}" for n in range(40)]), "valid"),
+        (None, "abcde fghij klmno pq", "empty"),
+        ("abcdefghij", " \t\x1c", "empty"),
+        ("", "", "empty"),
+    ]
+    rows = [(n, q, r, None, None) for n, (q, r, _) in enumerate(cases)]
+    labels = label_rows(spark.createDataFrame(rows, PAIR)).orderBy("seq").collect()
+    expected = [reason for _, _, reason in cases]
+    assert [row.drop_reason for row in labels] == expected
+    assert [restated.reason(q, r, CleaningRules()) for q, r, _ in cases] == expected
+
+
+def test_missing_columns(spark):
+    only = spark.createDataFrame([(1, "a question here", "a response long enough")],
+                                 "seq bigint, question string, response string")
+    record = clean_records(only, sampling=Sampling(hash_prob=1.0)).first()
+    assert (record.system, record.source_id, record.history, record.input) == ("", "", [], "")
+    no_response = spark.createDataFrame([(1, "a question here")], "seq bigint, question string")
+    assert label_rows(no_response).first().drop_reason == "empty"
+
+
+def test_nulls_in_records(spark):
+    rows = [(1, "a question here", "a response long enough", None, None)]
+    pairs = spark.createDataFrame(rows, PAIR)
+    everything = Sampling(hash_prob=1.0)
+    record = clean_records(pairs, sampling=everything).first()
+    assert (record.system, record.source_id) == ("None", "None")
+    record = clean_records(pairs, sampling=everything, null_as="").first()
+    assert (record.system, record.source_id) == ("", "")
+
+
+def test_score_bound_is_exact():
+    assert score_bound(0.25) == "3fffffffffffff" + "0" * 26
+    assert score_bound(0.5) == "7ffffffffffffe" + "0" * 26
+    assert score_bound(1.0) == "fffffffffffffc" + "0" * 26
+    rng = random.Random(5)
+    probabilities = [rng.random() for _ in range(300)] + [2.0**-n for n in range(1, 60)]
+    probabilities += [math.nextafter(1.0, 0.0), 1e-30, 1e-300]
+    for p in probabilities:
+        bound = int(score_bound(p), 16)
+        assert bound / float(2**160) >= p
+        assert bound == 0 or (bound - 1) / float(2**160) < p
+
+
+def test_sampling_parameters():
+    assert Sampling().probability == 0.25
+    assert Sampling(max_samples=5_000_000).probability == 1.0
+    assert Sampling(max_samples=1, hash_prob=0.75).probability == 0.75
+    assert Sampling(seed=2**64 - 1).seed == 2**64 - 1
+    for bad in ({"hash_prob": 0.0}, {"hash_prob": 1.5}, {"max_samples": 0}, {"seed": -1},
+                {"seed": 2**64}):
+        with pytest.raises(ValueError):
+            Sampling(**bad)
+
+
+@pytest.mark.parametrize("seed", [0, 42, 2**64 - 1])
+def test_scores_like_python(spark, seed):
+    keys = [restated.key(f"q{n}", f"r{n}") for n in range(500)]
+    frame = spark.createDataFrame([(bytearray(k),) for k in keys], "k binary")
+    scores = frame.select(score_value(score_hex(F.col("k"), seed)).alias("s")).collect()
+    assert [row.s for row in scores] == [restated.score(seed, k) for k in keys]
+
+
+def test_order_and_partitioning_do_not_matter(spark):
+    pairs = fixtures.document_pairs(spark, SMALL)
+    half = Sampling(hash_prob=0.5)
+    plain = clean_records(pairs, sampling=half, dedup=True).orderBy("seq").collect()
+    mixed = pairs.repartition(7, F.rand(3))
+    assert clean_records(mixed, sampling=half, dedup=True).orderBy("seq").collect() == plain
+
+
+def test_samples_are_nested_and_dedup_commutes(spark):
+    pairs = fixtures.document_pairs(spark, MIDDLE)
+
+    def kept(p):
+        rows = keep_first(select_rows(pairs, sampling=Sampling(hash_prob=p)))
+        return {row.seq for row in rows.select("seq").collect()}
+
+    quarter, half, whole = kept(0.25), kept(0.5), kept(1.0)
+    assert quarter < half < whole
+    decided = decide_rows(pairs, sampling=Sampling(hash_prob=0.25))
+    valid = decided.where(F.col("decision").isin("selected", "not_sampled"))
+    dedup_first = keep_first(valid).where(F.col("decision") == "selected")
+    assert {row.seq for row in dedup_first.select("seq").collect()} == quarter
+
+
+def test_accounting(spark):
+    pairs = fixtures.document_pairs(spark, MIDDLE)
+    counts = stats_counts(decide_rows(pairs), dedup=True)
+    stats = stats_report(counts).first().stats
+    dropped = sum(stats[f"dropped_{r}"] for r in ("empty", "length", "char_run", "repetition",
+                                                  "other"))
+    assert stats.seen_rows == 1_000
+    assert stats.seen_rows == dropped + stats.not_sampled_rows + stats.selected_rows
+    assert (stats.selected_rows, stats.kept_rows, stats.dropped_dedup) == (216, 199, 17)
+    without = stats_counts(decide_rows(pairs), dedup=False).first()
+    assert (without.kept_rows, without.dropped_dedup) == (216, 0)
+
+
+def test_single_rule_counts(spark):
+    seen = Observation("empties")
+    rows = with_normalised(fixtures.document_pairs(spark, MIDDLE)).select("seq", "q", "r")
+    labelled = drop_failing(rows, "ignored", fails_empty(F.col("q"), F.col("r")))
+    assert labelled.observe(seen, F.count("*").alias("left")).count() == 979
+    assert seen.get["left"] == 979
+
+
+def test_a_third_of_all_rows_is_one_key(spark):
+    hot = spark.range(30_000).select(
+        F.col("id").alias("seq"),
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("key"),
+    )
+    kept = keep_first(hot.repartition(8, F.rand(1)))
+    result = kept.agg(F.count("*"), F.min("seq"), F.sum("seq")).first()
+    assert tuple(result) == (20_001, 0, sum(n for n in range(30_000) if n % 3))
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    before_shuffle = plan.split("Exchange hashpartitioning(key")[1]
+    assert "WindowGroupLimit [key" in before_shuffle
+
+
+def test_first_kept_grows_its_head(spark):
+    rows = spark.range(20_000).select(
+        F.col("id").alias("seq"), F.greatest(F.col("id"), F.lit(15_000)).alias("key")
+    )
+    head = first_kept(rows, 10).collect()
+    assert [row.seq for row in head] == [0] + list(range(15_001, 15_010))
+    assert first_kept(rows.where("seq < 0"), 10).count() == 0
+    assert first_kept(rows, 50_000).count() == 5_000

@@ -3,16 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from winnower import fixed_values as fixed
 from winnower.operators.compare import compare_many, compare_runs, resolve_scores
 from winnower.sinks.comparison import write_csv, write_markdown
-from winnower.sources.results import read_results
-
-
-def _run_scores(spark: SparkSession, path: str, run: str) -> DataFrame:
-    return resolve_scores(read_results(spark, path)).withColumn("run", F.lit(run))
+from winnower.sources.results import read_results, read_run
 
 
 def summarise_two(
@@ -24,7 +19,8 @@ def summarise_two(
     tasks: list[tuple[str, int]] = fixed.TASKS,
 ) -> DataFrame:
     """Compare the result files of two folders, and write CSV and Markdown."""
-    scores = _run_scores(spark, base_dir, "base").unionByName(_run_scores(spark, sft_dir, "sft"))
+    results = read_run(spark, base_dir, "base").unionByName(read_run(spark, sft_dir, "sft"))
+    scores = resolve_scores(results)
     comparison = compare_runs(spark, scores, "base", "sft", tasks)
     write_csv(comparison, csv_path)
     write_markdown(comparison, markdown_path)

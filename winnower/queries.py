@@ -289,7 +289,11 @@ def stream_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     in lower case.
     """
     documents = fixtures.table(spark, sf_dir, "documents")
-    stream = spark.readStream.schema(documents.schema).parquet(f"{sf_dir}/documents*.parquet")
+    stream = (
+        spark.readStream.schema(documents.schema)
+        .parquet(f"{sf_dir}/documents*.parquet")
+        .select("doc_id", "text", "lang")
+    )
     output = shared_folder(spark, "stream")
     start_clean_stream(
         fixtures.pairs_of_documents(stream),
@@ -299,6 +303,7 @@ def stream_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
         EVERYTHING,
         dedup=True,
         salt_column="seq",
+        tasks=spark.sparkContext.defaultParallelism,
     ).awaitTermination()
     written = spark.read.schema("instruction string, output string").json(output)
     return written.select(F.lower("instruction").alias("q"), F.lower("output").alias("r"))

@@ -25,11 +25,19 @@ def shared_folder(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def _hadoop_path(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    target, system = _hadoop_path(spark, path)
+    return system.exists(target)
+
+
 def write_small_json(spark: SparkSession, path: str, content: dict) -> None:
     """Write one small JSON file of fixed name, on any file system Spark knows."""
-    jvm = spark._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    system = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    target, system = _hadoop_path(spark, path)
     stream = system.create(target, True)
     try:
         stream.write(bytearray(json.dumps(content, ensure_ascii=False, indent=2), "utf-8"))

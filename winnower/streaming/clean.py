@@ -73,9 +73,15 @@ def start_clean_stream(
     salt_column: str | None = None,
     null_as: str = "None",
     keep: tuple[str, ...] = (),
+    tasks: int | None = None,
 ) -> StreamingQuery:
-    """Append the records of everything available to JSON Lines, then stop."""
-    selected = stream_select(pairs, rules, sampling, dedup, salt_column)
+    """Append the records of everything available to JSON Lines, then stop.
+
+    Set ``tasks`` if a trigger brings fewer files than the cluster has cores;
+    the rows are then spread over that many tasks before the work on them.
+    """
+    spread = pairs.repartition(tasks) if tasks else pairs
+    selected = stream_select(spread, rules, sampling, dedup, salt_column)
     records = instruction_records(selected, null_as, keep=keep)
     with _rocksdb_state(pairs.sparkSession):
         return (
