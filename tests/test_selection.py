@@ -88,7 +88,7 @@ def test_bounds_are_inclusive(spark):
         ("abcdefghij", " ".join(["a"] * 31 + [f"w{n}" for n in range(49)]), "valid"),
         ("abcdefghij", " ".join(["a", "A"] * 20 + [f"w{n}" for n in range(40)]), "valid"),
         (None, "abcde fghij klmno pq", "empty"),
-        ("abcdefghij", " \t\x1c", "empty"),
+        ("abcdefghij", "\N{EM SPACE}\t\x1c", "empty"),
         ("", "", "empty"),
     ]
     rows = [(n, q, r, None, None) for n, (q, r, _) in enumerate(cases)]

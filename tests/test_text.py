@@ -26,7 +26,7 @@ def test_every_whitespace_code_point(spark):
 
 
 @settings(max_examples=20, deadline=None)
-@given(rows=st.lists(st.text(st.sampled_from("ab \t\n\x1c\x85\xa0 　\U0001f600")),
+@given(rows=st.lists(st.text(st.sampled_from("ab \t\n\x1c\x85\xa0\N{EM SPACE}\N{IDEOGRAPHIC SPACE}\U0001f600")),
                      min_size=1, max_size=60))
 def test_normalise_like_python(spark, rows):
     assert values(spark, rows, text.normalise(F.col("t"))) == [restated.squeeze(t) for t in rows]

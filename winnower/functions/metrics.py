@@ -87,5 +87,10 @@ def is_corrupt(value: Column) -> Column:
 
 
 def score_text(score: Column) -> Column:
-    """Score with four decimals; NULL becomes ``""``."""
-    return F.when(score.isNull(), "").otherwise(F.format_string("%.4f", F.bround(score, 4)))
+    """Score with four decimals, halves to even; NULL becomes ``""``.
+
+    The sign is set apart to survive in ``-0.0000``.
+    """
+    sign = F.when(score < 0, "-").otherwise("")
+    digits = F.format_string("%s%.4f", sign, F.bround(F.abs(score), 4))
+    return F.when(score.isNull(), "").otherwise(digits)

@@ -8,6 +8,7 @@ taken by path.
 from __future__ import annotations
 
 import math
+import re
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -22,8 +23,12 @@ _HEAD_GROWTH = 8
 
 
 def _listed_files(scan: DataFrame) -> list[str]:
-    """Paths of the scan, as Spark's own file index on the driver holds them."""
-    return sorted(scan.inputFiles())
+    """Paths of the scan in order, as Spark's own file index on the driver holds them.
+
+    Local paths are listed as ``file:///x`` but appear as ``file:/x`` in the
+    metadata of a row.
+    """
+    return sorted(re.sub(r"^(\w+):///", r"\1:/", path) for path in scan.inputFiles())
 
 
 def _file_offsets(scan: DataFrame, files: list[str]) -> DataFrame:
@@ -85,25 +90,28 @@ def read_ordered(
     return _numbered(scan, _listed_files(scan), columns or scan.columns)
 
 
-def read_first(
-    spark: SparkSession,
-    path: str | list[str],
-    rows: int,
-    columns: list[str] | None = None,
-) -> DataFrame:
-    """First ``rows`` rows in stored order, with ``seq``.
+def _head(scan: DataFrame, files: list[str], rows: int) -> tuple[DataFrame, list[str]]:
+    """Leading files that hold ``rows`` rows, as a pruned scan, and their paths.
 
-    Counts the leading files only, and prunes the scan to those that are needed
-    by a filter on the file path, which Spark applies to the listing.
+    Counts footers of a few leading files, and of more while they hold too few.
+    Spark applies the filter on the path to its listing.
     """
-    scan = spark.read.parquet(*([path] if isinstance(path, str) else path))
-    files = _listed_files(scan)
     taken = _FIRST_HEAD_FILES
-    head = scan
     while taken < len(files):
         head = scan.where(F.col("_metadata.file_path") <= files[taken - 1])
         if head.count() >= rows:
-            break
-        head = scan
+            return head, files[:taken]
         taken *= _HEAD_GROWTH
-    return _numbered(head, files[:taken], columns or scan.columns).where(F.col("seq") < rows)
+    return scan, files
+
+
+def read_first(
+    spark: SparkSession,
+    path: str | list[str],
+    rows: int,
+    columns: list[str] | None = None,
+) -> DataFrame:
+    """First ``rows`` rows in stored order, with ``seq``, read from leading files only."""
+    scan = spark.read.parquet(*([path] if isinstance(path, str) else path))
+    head, files = _head(scan, _listed_files(scan), rows)
+    return _numbered(head, files, columns or scan.columns).where(F.col("seq") < rows)
