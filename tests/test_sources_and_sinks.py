@@ -136,6 +136,14 @@ def test_prepared_dataset(spark, tmp_path, dedup, in_order):
         assert json.loads(info) == manifest
 
 
+def test_plain_run_writes_no_table_between(spark, tmp_path):
+    pairs = fixtures.document_pairs(spark, MIDDLE)
+    result = prepare_dataset(pairs, str(tmp_path), "x", f"{tmp_path}/stats", ordered=False)
+    assert result.selected is None
+    assert result.counts["seen_rows"] == 1_000
+    assert len(_lines(result.dataset)) == result.counts["kept_rows"] == 216
+
+
 def test_text_beyond_ascii_is_written_raw(spark, tmp_path):
     pairs = spark.createDataFrame(
         [(1, "question \N{LATIN SMALL LETTER E WITH ACUTE}\u4e2d\U0001f600", "a response \N{LATIN SMALL LETTER E WITH ACUTE}\u4e2d long enough", "s", "1")],

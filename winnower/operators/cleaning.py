@@ -59,25 +59,38 @@ def drop_failing(rows: DataFrame, rule: str, fails: Column) -> DataFrame:
     )
 
 
-def drop_reason(q: Column, r: Column, rules: CleaningRules) -> Column:
-    """First failing rule of a normalised pair, else ``valid``.
-
-    The cheap rules come first and the length cap bounds the work of the later
-    ones, since a CASE stops at its first match.
-    """
+def cheap_reason(q: Column, r: Column, rules: CleaningRules, passed: Column) -> Column:
+    """First failing rule of those that look at lengths only, else ``passed``."""
     return (
         F.when(fails_empty(q, r), "empty")
         .when(fails_length(q, r, rules), "length")
-        .when(fails_char_run(q, r, rules), "char_run")
+        .otherwise(passed)
+    )
+
+
+def costly_reason(q: Column, r: Column, rules: CleaningRules, passed: Column) -> Column:
+    """First failing rule of those that search the whole text, else ``passed``."""
+    return (
+        F.when(fails_char_run(q, r, rules), "char_run")
         .when(fails_repetition(r, rules), "repetition")
-        .otherwise("valid")
+        .otherwise(passed)
     )
 
 
+def parsed_only(rows: DataFrame, reason: Column) -> Column:
+    """``other`` for records that did not parse, else ``reason``."""
+    if CORRUPT_COLUMN in rows.columns:
+        return F.when(F.col(CORRUPT_COLUMN).isNotNull(), "other").otherwise(reason)
+    return reason
+
+
 def label_rows(pairs: DataFrame, rules: CleaningRules = CleaningRules()) -> DataFrame:
-    """Add ``q``, ``r`` and ``drop_reason``; records that did not parse get ``other``."""
+    """Add ``q``, ``r`` and ``drop_reason``: the first failing rule, else ``valid``.
+
+    A CASE stops at its first match, so the cheap rules save the costly ones
+    work, and the length cap bounds the work on one row.
+    """
     rows = with_normalised(pairs)
-    reason = drop_reason(F.col("q"), F.col("r"), rules)
-    if CORRUPT_COLUMN in rows.columns:
-        reason = F.when(F.col(CORRUPT_COLUMN).isNotNull(), "other").otherwise(reason)
-    return rows.withColumn("drop_reason", reason)
+    q, r = F.col("q"), F.col("r")
+    reason = cheap_reason(q, r, rules, costly_reason(q, r, rules, F.lit("valid")))
+    return rows.withColumn("drop_reason", parsed_only(rows, reason))

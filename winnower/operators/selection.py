@@ -7,7 +7,14 @@ from pyspark.sql import functions as F
 
 from winnower.config import CleaningRules, Sampling
 from winnower.functions.hashing import content_key, is_sampled, score_hex
-from winnower.operators.cleaning import label_rows
+from winnower.operators.cleaning import (
+    CORRUPT_COLUMN,
+    cheap_reason,
+    costly_reason,
+    label_rows,
+    parsed_only,
+    with_normalised,
+)
 from winnower.operators.tally import decision_counts
 
 
@@ -15,24 +22,34 @@ def decide_rows(
     pairs: DataFrame,
     rules: CleaningRules = CleaningRules(),
     sampling: Sampling = Sampling(),
+    count_all: bool = True,
 ) -> DataFrame:
     """Add ``q``, ``r``, ``key`` and ``decision`` to each pair.
 
     ``decision`` is the first failing rule, ``not_sampled`` or ``selected``. The
-    key is hashed once per valid pair and is NULL for dropped ones. Equal
+    key is hashed once per row and is NULL where no sampling took place. Equal
     content gets an equal key and so the same decision, whatever the order,
     the partitioning or a retry.
+
+    Without ``count_all`` the sampling comes before the costly rules. The same
+    rows are selected for less work, but rows that are not sampled count as
+    that even if such a rule would have dropped them.
     """
-    valid = F.col("drop_reason") == "valid"
+    q, r, reason = F.col("q"), F.col("r"), F.col("drop_reason")
+    if count_all:
+        rows = label_rows(pairs, rules)
+        verdict = F.lit("selected")
+    else:
+        rows = with_normalised(pairs)
+        cheap = cheap_reason(q, r, rules, F.lit("valid"))
+        rows = rows.withColumn("drop_reason", parsed_only(rows, cheap))
+        verdict = costly_reason(q, r, rules, F.lit("selected"))
     sampled = is_sampled(score_hex(F.col("key"), sampling.seed), sampling.probability)
     return (
-        label_rows(pairs, rules)
-        .withColumn("key", F.when(valid, content_key(F.col("q"), F.col("r"))))
+        rows.withColumn("key", F.when(reason == "valid", content_key(q, r)))
         .withColumn(
             "decision",
-            F.when(~valid, F.col("drop_reason"))
-            .when(sampled, "selected")
-            .otherwise("not_sampled"),
+            F.when(reason != "valid", reason).when(~sampled, "not_sampled").otherwise(verdict),
         )
         .drop("drop_reason", "question", "response")
     )
@@ -43,6 +60,7 @@ def select_rows(
     rules: CleaningRules = CleaningRules(),
     sampling: Sampling = Sampling(),
     observation: Observation | str = "selection",
+    count_all: bool = True,
 ) -> DataFrame:
     """Pairs that pass all rules and are sampled, with ``q``, ``r`` and ``key``.
 
@@ -50,9 +68,9 @@ def select_rows(
     drop counts for free, and it keeps the optimizer from pushing the filter
     below the labels, which would evaluate every regex twice per row.
     """
-    decided = decide_rows(pairs, rules, sampling)
+    decided = decide_rows(pairs, rules, sampling, count_all)
     return (
         decided.observe(observation, *decision_counts())
         .where(F.col("decision") == "selected")
-        .drop("decision", "_corrupt_record")
+        .drop("decision", CORRUPT_COLUMN)
     )

@@ -25,19 +25,19 @@ def clean_records(
     dedup: bool = False,
     null_as: str = "None",
 ) -> DataFrame:
-    """Instruction records with ``seq``, as one lazy query."""
-    selected = select_rows(pairs, rules, sampling)
+    """Instruction records with ``seq``, as one lazy query without drop counts."""
+    selected = select_rows(pairs, rules, sampling, count_all=False)
     kept = keep_first(selected) if dedup else selected
     return instruction_records(kept, null_as, keep=("seq",))
 
 
 @dataclass(frozen=True)
 class Prepared:
-    """What a run wrote: counters, the dataset and the table of selected rows."""
+    """What a run wrote: counters, the dataset and, if there was one, the table between."""
 
     counts: dict[str, int]
     dataset: str
-    selected: str
+    selected: str | None
 
 
 def _counts_row(spark: SparkSession, counts: dict[str, int]) -> DataFrame:
@@ -61,25 +61,28 @@ def prepare_dataset(
 ) -> Prepared:
     """Clean, sample, deduplicate and write; the source is read once.
 
-    The selected rows go to a table in the shared folder first. An executor
-    lost later then costs a re-read of that table, not another pass of regexes
-    over the source; and the counters are observed in tasks that write output,
-    whose updates Spark applies exactly once, so retries cannot inflate them.
+    If anything follows that shuffles or reads again, the selected rows go to a
+    table in the shared folder first. An executor lost later then costs a
+    re-read of that table, not another pass of regexes over the source; and the
+    counters are observed in tasks that write output, whose updates Spark
+    applies exactly once, so retries cannot inflate them.
     """
     spark = pairs.sparkSession
-    staged = shared_folder(spark, "selected")
     selection = Observation()
-    select_rows(pairs, rules, sampling, selection).write.parquet(staged)
-    counts = {name: int(value) for name, value in selection.get.items()}
-
-    selected = spark.read.parquet(staged)
+    selected = select_rows(pairs, rules, sampling, selection)
+    staged = None
+    if dedup or ordered or demo_dir:
+        staged = shared_folder(spark, "selected")
+        selected.write.parquet(staged)
+        selected = spark.read.parquet(staged)
     kept = keep_first(selected) if dedup else selected
     records = instruction_records(kept, null_as, keep=("seq",))
     dataset = write_records(records, dataset_dir, dataset_name, "seq" if ordered else None)
+
+    counts = {name: int(value) for name, value in selection.get.items()}
+    counts["kept_rows"] = counts["selected_rows"]
     if dedup:
         counts["kept_rows"] = selected.agg(F.count_distinct("key")).first()[0]
-    else:
-        counts["kept_rows"] = counts["selected_rows"]
     counts["dropped_dedup"] = counts["selected_rows"] - counts["kept_rows"]
 
     if stats_path:
