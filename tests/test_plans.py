@@ -14,7 +14,8 @@ from winnower.operators.tally import drop_waterfall
 from winnower.plans.prepare import clean_records
 
 MIDDLE = "/root/testdata/sf0.01"
-WRITING = {"bad_records", "jsonl_roundtrip", "metric_csv", "stream_clean"}
+WRITING = {"bad_records", "jsonl_roundtrip", "metric_csv", "stream_clean", "stats_roundtrip",
+           "result_files"}
 
 
 def plan_of(spark, frame):

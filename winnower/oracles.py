@@ -185,6 +185,7 @@ select seq, hx as score_hex,
   + cast('0x' || substring(hx, 14, 13) as bigint)::double / power(2, 104) as score
 from h""",
     "hash_sample": f"with {_SCORED}, {_selected(_QUARTER_BOUND)} select seq from s",
+    "max_samples": f"with {_SCORED}, {_selected(score_bound(0.5))} select seq from s",
     "dedup_keep_first": f"""with {_SCORED}, {_selected(_WHOLE_BOUND)}, {_FIRST}
 select seq, k as content_key from d where copy = 1""",
     "instruction_records": f"""with {_SCORED}, {_selected(_WHOLE_BOUND)}
@@ -251,3 +252,5 @@ from pairs""",
     "stream_clean": f"""with {_SCORED}, {_selected(_WHOLE_BOUND)}, {_FIRST}
 select lower(q) as q, lower(r) as r from d where copy = 1""",
 }
+ORACLE_SQL["stats_roundtrip"] = ORACLE_SQL["cleaning_stats"]
+ORACLE_SQL["result_files"] = ORACLE_SQL["metric_resolve"]

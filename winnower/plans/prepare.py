@@ -73,7 +73,7 @@ def prepare_dataset(
     staged = None
     if dedup or ordered or demo_dir:
         staged = shared_folder(spark, "selected")
-        selected.write.parquet(staged)
+        selected.write.option("compression", "zstd").parquet(staged)
         selected = spark.read.parquet(staged)
     kept = keep_first(selected) if dedup else selected
     records = instruction_records(kept, null_as, keep=("seq",))

@@ -39,6 +39,7 @@ from winnower.plans.prepare import prepare_dataset
 from winnower.sinks.comparison import markdown_table, write_csv
 from winnower.sources.json_pairs import read_json_pairs
 from winnower.sources.ordered import read_first, read_ordered
+from winnower.sources.results import read_results
 from winnower.storage import shared_folder
 from winnower.streaming.clean import start_clean_stream
 
@@ -160,6 +161,13 @@ def hash_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return select_rows(pairs, RULES, QUARTER, count_all=False).select("seq")
 
 
+def max_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Selection by a wanted number of rows, which gives a probability of a half."""
+    pairs = fixtures.document_pairs(spark, sf_dir).select("seq", "question", "response")
+    half = Sampling(max_samples=fixed.SOURCE_ROWS // 2)
+    return select_rows(pairs, RULES, half, count_all=False).select("seq")
+
+
 def dedup_keep_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = fixtures.document_pairs(spark, sf_dir).select("seq", "question", "response")
     kept = keep_first(select_rows(pairs, RULES, EVERYTHING).select("seq", "key"))
@@ -214,6 +222,24 @@ def cleaning_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats_report(counts, RULES).select("cleaning_config.*", "stats.*")
 
 
+def stats_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The statistics file of an end-to-end run, read back."""
+    folder = shared_folder(spark, "stats")
+    prepare_dataset(
+        fixtures.document_pairs(spark, sf_dir),
+        f"{folder}/data",
+        "instructions",
+        f"{folder}/stats",
+        rules=RULES,
+        sampling=QUARTER,
+        dedup=True,
+        ordered=False,
+    )
+    counts = stats_counts(decide_rows(fixtures.document_pairs(spark, sf_dir)), dedup=True)
+    schema = stats_report(counts, RULES).schema
+    return spark.read.schema(schema).json(f"{folder}/stats").select("cleaning_config.*", "stats.*")
+
+
 # Ordered scans
 
 
@@ -236,6 +262,15 @@ def metric_resolve(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scores(spark, sf_dir)
 
 
+def result_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metrics of result files, written one per run and task, and read by name."""
+    folder = shared_folder(spark, "results")
+    name = F.format_string("%s_%dshot.json", "task", "fewshot")
+    results = fixtures.evaluation_results(spark, sf_dir)
+    results.select("value", "run", name.alias("file")).write.partitionBy("run", "file").text(folder)
+    return resolve_scores(read_results(spark, folder))
+
+
 def metric_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare_runs(spark, _scores(spark, sf_dir), BASELINE, CANDIDATE)
 
@@ -325,6 +360,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "content_key": content_keys,
     "hash_score": hash_score,
     "hash_sample": hash_sample,
+    "max_samples": max_samples,
     "dedup_keep_first": dedup_keep_first,
     "instruction_records": records_of_valid_pairs,
     "clean_records": clean_records,
@@ -332,9 +368,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "demo_200": demo_200,
     "jsonl_roundtrip": jsonl_roundtrip,
     "cleaning_stats": cleaning_stats,
+    "stats_roundtrip": stats_roundtrip,
     "source_scan": source_scan,
     "first_n_rows": first_n_rows,
     "metric_resolve": metric_resolve,
+    "result_files": result_files,
     "metric_compare": metric_compare,
     "metric_compare_many_runs": metric_compare_many_runs,
     "metric_markdown": metric_markdown,

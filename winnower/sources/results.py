@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from winnower.storage import path_exists
 
-# .../<run>/<task>_<fewshot>shot.json
-_FILE_NAME = r"([^/]+)/([^/]+)_([0-9]+)shot\.json$"
+# .../<run>/<task>_<fewshot>shot.json, or a folder of that name that a Spark job
+# wrote with run and file as partition columns.
+_FILE_NAME = r"/(?:run=)?([^/]+)/(?:file=)?([^/]+)_([0-9]+)shot\.json(?:/part-[^/]+)?$"
 
 
 def _decoded_path() -> Column:
@@ -32,13 +33,9 @@ def read_results(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
     ``path`` is a folder of runs, or a list of them; the run is the name of the
     folder that holds the file. A file that does not exist is just a row that is
-    not there.
+    not there, and files of other names are not opened.
     """
-    return _named(
-        spark.read.option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*shot.json")
-        .text(path, wholetext=True)
-    )
+    return _named(spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True))
 
 
 def read_run(spark: SparkSession, path: str, run: str) -> DataFrame:
