@@ -17,7 +17,7 @@ def shared_folder(spark: SparkSession, label: str) -> str:
     A local session without that setting gets a temporary folder; a cluster
     without it is an error, since executors could not see a local one.
     """
-    base = spark.conf.get(_CHECKPOINT_DIR, None)
+    base = spark.conf.get(_CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
     if base is None:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError(f"set {_CHECKPOINT_DIR} to a folder that all executors share")
