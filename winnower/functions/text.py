@@ -138,8 +138,8 @@ def is_repetitive(normalised: Column, min_share: float, min_tokens: int) -> Colu
         return F.exists(F.sequence(distance, total, distance), reached)
 
     # ``exists`` over a one-element array names a value, so the text is split
-    # and sorted once for all uses.
-    return F.exists(
+    # and sorted once for all uses; too short a text is not split at all.
+    return (text_length(normalised) >= 2 * min_tokens - 1) & F.exists(
         F.array(F.split(normalised, " ")),
         lambda words: (F.size(words) >= F.lit(min_tokens))
         & F.exists(F.array(F.sort_array(words)), share_reached),

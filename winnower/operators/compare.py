@@ -68,21 +68,6 @@ def _reported(joined: DataFrame, *first: str) -> DataFrame:
     )
 
 
-def compare_runs(
-    spark: SparkSession,
-    scores: DataFrame,
-    baseline: str,
-    candidate: str,
-    tasks: list[tuple[str, int]] = fixed.TASKS,
-) -> DataFrame:
-    """One row per report task for two runs; a missing file gives NULL scores."""
-    report = spark.range(1).select(F.inline(task_table(tasks)))
-    keys = ["task", "fewshot"]
-    base = _side(scores.where(F.col("run") == baseline), "base")
-    sft = _side(scores.where(F.col("run") == candidate), "sft")
-    return _reported(report.join(base, keys, "left").join(sft, keys, "left"))
-
-
 def run_scores(scores: DataFrame, tasks: list[tuple[str, int]] = fixed.TASKS) -> DataFrame:
     """One row per run and report task, with NULL scores for a missing file.
 
@@ -112,6 +97,26 @@ def run_scores(scores: DataFrame, tasks: list[tuple[str, int]] = fixed.TASKS) ->
     return wide.select("run", F.inline(rows))
 
 
+def compare_runs(
+    spark: SparkSession,
+    scores: DataFrame,
+    baseline: str,
+    candidate: str,
+    tasks: list[tuple[str, int]] = fixed.TASKS,
+) -> DataFrame:
+    """One row per report task for two runs; a missing file gives NULL scores.
+
+    Either side has at most one row per report task, which bounds what is
+    broadcast.
+    """
+    listed = scores.where(F.col("task").isin([task for task, _ in tasks]))
+    report = spark.range(1).select(F.inline(task_table(tasks)))
+    for run, name in ((baseline, "base"), (candidate, "sft")):
+        side = _side(run_scores(listed.where(F.col("run") == run), tasks), name)
+        report = report.join(F.broadcast(side), ["task", "fewshot"], "left")
+    return _reported(report)
+
+
 def compare_many(
     scores: DataFrame, baseline: str, tasks: list[tuple[str, int]] = fixed.TASKS
 ) -> DataFrame:

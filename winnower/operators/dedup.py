@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,14 +27,14 @@ def first_kept(selected: DataFrame, rows: int, order: str = "seq") -> DataFrame:
     """First ``rows`` of ``keep_first(selected)`` in source order.
 
     Whether a row survives depends on earlier rows only, so the answer lies in
-    a head of the table. The head grows until it holds enough, and ``order``
-    prunes the row groups of a written table, so that a few hundred rows do not
-    cost a deduplication of everything.
+    a head of the table. The head starts at four times the rows wanted and grows
+    until it holds enough; ``order`` prunes the row groups of a written table, so
+    that a few hundred rows do not cost a deduplication of everything.
     """
-    low, high = selected.agg(F.min(order), F.max(order)).first()
+    low, high, total = selected.agg(F.min(order), F.max(order), F.count(order)).first()
     if low is None:
         return selected.limit(0)
-    span = 4 * rows
+    span = 4 * rows * math.ceil((high - low + 1) / total)
     while True:
         head = keep_first(selected.where(F.col(order) < low + span), order=order)
         if low + span > high or head.count() >= rows:

@@ -252,5 +252,8 @@ from pairs""",
     "stream_clean": f"""with {_SCORED}, {_selected(_WHOLE_BOUND)}, {_FIRST}
 select lower(q) as q, lower(r) as r from d where copy = 1""",
 }
+ORACLE_SQL["stream_progress"] = f"""select seen_rows, selected_rows, not_sampled_rows,
+  dropped_empty, dropped_length, dropped_char_run, dropped_repetition, dropped_other
+from ({ORACLE_SQL["cleaning_stats"]})"""
 ORACLE_SQL["stats_roundtrip"] = ORACLE_SQL["cleaning_stats"]
 ORACLE_SQL["result_files"] = ORACLE_SQL["metric_resolve"]

@@ -41,7 +41,7 @@ from winnower.sources.json_pairs import read_json_pairs
 from winnower.sources.ordered import read_first, read_ordered
 from winnower.sources.results import read_results
 from winnower.storage import shared_folder
-from winnower.streaming.clean import start_clean_stream
+from winnower.streaming.clean import ProgressLog, start_clean_stream
 
 RULES = CleaningRules()
 QUARTER = Sampling(hash_prob=0.25)
@@ -317,21 +317,21 @@ def conversation_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Streaming
 
 
+def _document_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = fixtures.table(spark, sf_dir, "documents")
+    stream = spark.readStream.schema(documents.schema).parquet(f"{sf_dir}/documents*.parquet")
+    return fixtures.pairs_of_documents(stream.select("doc_id", "text", "lang"))
+
+
 def stream_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Case-blind content that a deduplicating stream over all documents wrote.
 
     Which copy survives depends on processing order, so the texts are compared
     in lower case.
     """
-    documents = fixtures.table(spark, sf_dir, "documents")
-    stream = (
-        spark.readStream.schema(documents.schema)
-        .parquet(f"{sf_dir}/documents*.parquet")
-        .select("doc_id", "text", "lang")
-    )
     output = shared_folder(spark, "stream")
     start_clean_stream(
-        fixtures.pairs_of_documents(stream),
+        _document_stream(spark, sf_dir),
         output,
         shared_folder(spark, "stream-state"),
         RULES,
@@ -344,6 +344,22 @@ def stream_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return written.select(F.lower("instruction").alias("q"), F.lower("output").alias("r"))
 
 
+def stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counters that a stream over all documents reported while it ran."""
+    query = start_clean_stream(
+        _document_stream(spark, sf_dir),
+        shared_folder(spark, "stream"),
+        shared_folder(spark, "stream-state"),
+        RULES,
+        QUARTER,
+        tasks=spark.sparkContext.defaultParallelism,
+    )
+    log = ProgressLog(query)
+    log.follow()
+    schema = ", ".join(f"{name} bigint" for name in log.counts)
+    return spark.createDataFrame([tuple(log.counts.values())], schema)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "coerce_fields": coerce_fields,
     "normalize_text": normalize_text,
@@ -381,4 +397,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "conversation_pairs": conversation_pairs,
     "conversation_records": conversation_records,
     "stream_clean": stream_clean,
+    "stream_progress": stream_progress,
 }

@@ -34,13 +34,16 @@ def _listed_files(scan: DataFrame) -> list[str]:
 def _file_offsets(scan: DataFrame, files: list[str]) -> DataFrame:
     """Rows before each file, as ``(_file, _offset)``.
 
-    Counting reads the parquet footers only. The running sum goes through
-    groups of about sqrt(files) neighbouring files, so that neither step ever
-    sorts all files in one task.
+    Counting reads the parquet footers only, many per task. The running sum goes
+    through groups of about sqrt(files) neighbouring files, so that neither step
+    ever sorts all files in one task.
     """
     group_starts = files[:: math.isqrt(len(files)) + 1]
+    cores = scan.sparkSession.sparkContext.defaultParallelism
     counts = (
-        scan.groupBy(F.col("_metadata.file_path").alias("_file"))
+        scan.select(F.col("_metadata.file_path").alias("_file"))
+        .coalesce(cores)
+        .groupBy("_file")
         .agg(F.count(F.lit(1)).alias("_rows"))
         .withColumn(
             "_group",

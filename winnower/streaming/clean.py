@@ -7,7 +7,7 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
+from pyspark.sql.streaming import StreamingQuery
 
 from winnower.config import CleaningRules, Sampling
 from winnower.functions.records import instruction_records
@@ -94,34 +94,35 @@ def start_clean_stream(
         )
 
 
-class ProgressLog(StreamingQueryListener):
-    """Running counters of the streams of a session, by run of a query.
+class ProgressLog:
+    """Running counters of a stream, the minutes spent and the latest rows per second.
 
-    ``latest[run_id]`` holds the totals so far, the minutes spent and the rows
-    per second of the last trigger. These are for watching a stream: Spark may
-    count a row again if it has to repeat a task before a shuffle.
+    Spark keeps the progress of the latest triggers (100 unless configured), so
+    ``update`` must be called more often than that. The counters are for
+    watching: Spark may count a row again if it repeats a task before a shuffle.
     """
 
-    def __init__(self) -> None:
-        self.latest: dict[str, dict] = {}
-        self.finished: set[str] = set()
-
-    def onQueryStarted(self, event) -> None:
-        self.latest.setdefault(str(event.runId), {"elapsed_min": 0.0})
-
-    def onQueryProgress(self, event) -> None:
-        progress = event.progress
-        observed = progress.observedMetrics.get(PROGRESS_NAME)
-        if observed is None:
-            return
-        report = self.latest.setdefault(str(progress.runId), {"elapsed_min": 0.0})
-        for name, value in observed.asDict().items():
-            report[name] = report.get(name, 0) + value
-        report["elapsed_min"] += progress.batchDuration / 60_000
-        report["rows_per_sec"] = progress.processedRowsPerSecond
-
-    def onQueryIdle(self, event) -> None:
-        pass
-
-    def onQueryTerminated(self, event) -> None:
-        self.finished.add(str(event.runId))
+    def __init__(self, query: StreamingQuery) -> None:
+        self._query = query
+        self._latest_batch = -1
+        self.counts: dict[str, int] = {}
+        self.elapsed_min = 0.0
+        self.rows_per_sec: float | None = None
+
+    def update(self) -> None:
+        """Add the triggers that finished since the last call."""
+        for progress in self._query.recentProgress:
+            observed = progress.observedMetrics.get(PROGRESS_NAME)
+            if observed is None or progress.batchId <= self._latest_batch:
+                continue
+            for name, value in observed.asDict().items():
+                self.counts[name] = self.counts.get(name, 0) + value
+            self.elapsed_min += progress.batchDuration / 60_000
+            self.rows_per_sec = progress.processedRowsPerSecond
+            self._latest_batch = progress.batchId
+
+    def follow(self, every_sec: int = 10) -> None:
+        """Update until the stream ends."""
+        while not self._query.awaitTermination(every_sec):
+            self.update()
+        self.update()
