@@ -94,24 +94,27 @@ def has_char_run(text: Column, length: int) -> Column:
 def top_token_share(normalised: Column) -> Column:
     """Share of the most frequent token; 1.0 if there is no token.
 
-    Equal tokens are neighbours once sorted, so the longest run is the count.
+    Equal tokens are neighbours once sorted. Going through the positions, the
+    longest run so far grows by one exactly where the token equals the one that
+    many places back.
     """
-    start = F.struct(
-        F.lit("").alias("token"), F.lit(0).alias("run"), F.lit(0).alias("longest")
-    )
 
-    def extend(state: Column, token: Column) -> Column:
-        run = F.when(state["token"] == token, state["run"] + 1).otherwise(F.lit(1))
-        return F.struct(
-            token.alias("token"),
-            run.alias("run"),
-            F.greatest(state["longest"], run).alias("longest"),
+    def longest_run(ordered: Column) -> Column:
+        def extend(longest: Column, position: Column) -> Column:
+            same = F.get(ordered, position) == F.get(ordered, position - longest)
+            return F.when(same, longest + 1).otherwise(longest)
+
+        return F.aggregate(F.sequence(F.lit(1), F.size(ordered) - 1), F.lit(1), extend)
+
+    def share(ordered: Column) -> Column:
+        return F.when(F.size(ordered) < 2, F.lit(1.0)).otherwise(
+            longest_run(ordered) / F.size(ordered)
         )
 
-    longest = F.aggregate(
-        F.sort_array(F.split(normalised, " ")), start, extend, lambda state: state["longest"]
+    # A one-element array names the sorted tokens, so they are sorted once.
+    return F.get(
+        F.transform(F.array(F.sort_array(F.split(normalised, " "))), share), F.lit(0)
     )
-    return F.when(normalised == "", F.lit(1.0)).otherwise(longest / token_count(normalised))
 
 
 def is_repetitive(normalised: Column, min_share: float, min_tokens: int) -> Column:

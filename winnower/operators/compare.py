@@ -31,8 +31,8 @@ def resolve_scores(
 ) -> DataFrame:
     """``run, task, fewshot, metric, score, corrupt`` of result files.
 
-    ``results`` has ``run, task, fewshot, value``, one row per file, where
-    ``value`` is the JSON text.
+    ``results`` has ``run, task, fewshot, value`` with the JSON text in ``value``
+    and one row per file, so at most one for a run, task and few-shot count.
     """
     return with_best_metric(results, preferences).select(
         "run",
