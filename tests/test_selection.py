@@ -5,6 +5,8 @@ import random
 
 import pytest
 import restated
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
@@ -214,3 +216,36 @@ def test_first_kept_grows_its_head(spark):
     assert [row.seq for row in head] == [0] + list(range(15_001, 15_010))
     assert first_kept(rows.where("seq < 0"), 10).count() == 0
     assert first_kept(rows, 50_000).count() == 5_000
+
+
+TIGHT = CleaningRules(
+    min_question_chars=2, min_response_chars=3, max_question_chars=12, max_response_chars=40,
+    drop_if_char_run_ge=4, drop_if_rep_ratio_ge=0.4, rep_ratio_min_tokens=5,
+)
+WORDS = st.lists(
+    st.sampled_from(["a", "b", "Bb", "ccc", "dddd", "\N{SNOWMAN}", "\t", "\N{EM SPACE}", " "]),
+    max_size=14,
+).map(" ".join)
+
+
+@settings(max_examples=8, deadline=None)
+@given(
+    pairs=st.lists(st.tuples(st.none() | WORDS, st.none() | WORDS), min_size=1, max_size=150),
+    dedup=st.booleans(),
+    probability=st.sampled_from([0.3, 0.75, 1.0]),
+    seed=st.integers(0, 2**64 - 1),
+)
+def test_random_rows_under_tight_rules(spark, pairs, dedup, probability, seed):
+    rows = [(n, q, r, None if n % 2 else f" s  {n} ", str(n)) for n, (q, r) in enumerate(pairs)]
+    frame = spark.createDataFrame(rows, PAIR).repartition(3)
+    labels = label_rows(frame, TIGHT).orderBy("seq").collect()
+    assert [row.drop_reason for row in labels] == [
+        restated.reason(q, r, TIGHT) for q, r in pairs
+    ]
+    expected = restated.prepare(rows, TIGHT, probability, seed, dedup)
+    sampling = Sampling(hash_prob=probability, seed=seed)
+    quick = clean_records(frame, TIGHT, sampling, dedup)
+    assert [tuple(row) for row in quick.orderBy("seq").collect()] == expected
+    counted = select_rows(frame, TIGHT, sampling)
+    kept = keep_first(counted) if dedup else counted
+    assert sorted(row.seq for row in kept.collect()) == [record[0] for record in expected]
