@@ -14,7 +14,7 @@ from winnower import fixtures
 from winnower.config import CleaningRules, Sampling
 from winnower.functions.hashing import score_bound, score_hex, score_value
 from winnower.operators.cleaning import drop_failing, fails_empty, label_rows, with_normalised
-from winnower.operators.dedup import first_kept, keep_first
+from winnower.operators.dedup import first_kept, keep_first, keep_first_in_order
 from winnower.operators.selection import decide_rows, select_rows
 from winnower.operators.tally import drop_waterfall, stats_counts, stats_report
 from winnower.plans.prepare import clean_records
@@ -208,6 +208,23 @@ def test_a_third_of_all_rows_is_one_key(spark):
     assert "WindowGroupLimit [key" in before_shuffle
 
 
+@pytest.mark.parametrize("hot", [1, 3, 1_000_000])
+def test_ordered_dedup_keeps_the_same_rows(spark, hot):
+    rows = spark.range(20_000).select(
+        F.col("id").alias("seq"),
+        F.when(F.col("id") % hot == 0, "hot")
+        .otherwise((F.col("id") % 7_000).cast("string"))
+        .alias("key"),
+        F.concat(F.lit("text "), F.col("id")).alias("text"),
+    ).repartition(8, F.rand(2))
+    result = keep_first_in_order(rows)
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    assert result.collect() == keep_first(rows).orderBy("seq").collect()
+    assert plan.count("Exchange hashpartitioning(key") == 1
+    assert plan.count("Exchange rangepartitioning(seq") == 1
+    assert plan.count("Exchange ") == 4  # the other two are the fixture's own
+
+
 def test_first_kept_grows_its_head(spark):
     rows = spark.range(20_000).select(
         F.col("id").alias("seq"), F.greatest(F.col("id"), F.lit(15_000)).alias("key")

@@ -23,6 +23,28 @@ def keep_first(selected: DataFrame, key: str = "key", order: str = "seq") -> Dat
     )
 
 
+def keep_first_in_order(selected: DataFrame, key: str = "key", order: str = "seq") -> DataFrame:
+    """Same rows as ``keep_first``, sorted by ``order``, for one shuffle of whole rows.
+
+    Deduplicating and then sorting would shuffle the texts twice. Here the first
+    ``order`` of each key comes from an aggregation of these two columns, which
+    combines copies before its shuffle. One range shuffle by ``order`` then
+    brings rows and survivors together and sorts the result. ``order`` must be
+    unique, so no task gets more than its share even if all keys are equal.
+    """
+    survivors = selected.groupBy(key).agg(F.min(order).alias(order)).select(order)
+    marked = selected.withColumn("_survivor", F.lit(False)).unionByName(
+        survivors.withColumn("_survivor", F.lit(True)), allowMissingColumns=True
+    )
+    by_row = Window.partitionBy(order)
+    return (
+        marked.repartitionByRange(order)
+        .withColumn("_survives", F.max("_survivor").over(by_row))
+        .where(F.col("_survives") & ~F.col("_survivor"))
+        .drop("_survives", "_survivor")
+    )
+
+
 def first_kept(selected: DataFrame, rows: int, order: str = "seq") -> DataFrame:
     """First ``rows`` of ``keep_first(selected)`` in source order.
 

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from winnower import fixed_values as fixed
 from winnower.config import CleaningRules, Sampling
 from winnower.functions.records import instruction_records
-from winnower.operators.dedup import first_kept, keep_first
+from winnower.operators.dedup import first_kept, keep_first, keep_first_in_order
 from winnower.operators.selection import select_rows
 from winnower.operators.tally import stats_report
 from winnower.sinks.dataset import write_records, write_stats
@@ -75,9 +75,11 @@ def prepare_dataset(
         staged = shared_folder(spark, "selected")
         selected.write.option("compression", "zstd").parquet(staged)
         selected = spark.read.parquet(staged)
-    kept = keep_first(selected) if dedup else selected
-    records = instruction_records(kept, null_as, keep=("seq",))
-    dataset = write_records(records, dataset_dir, dataset_name, "seq" if ordered else None)
+    if dedup:
+        kept = keep_first_in_order(selected) if ordered else keep_first(selected)
+    else:
+        kept = selected.orderBy("seq") if ordered else selected
+    dataset = write_records(instruction_records(kept, null_as), dataset_dir, dataset_name)
 
     counts = {name: int(value) for name, value in selection.get.items()}
     counts["kept_rows"] = counts["selected_rows"]
@@ -95,6 +97,5 @@ def prepare_dataset(
             head = first_kept(selected, demo_rows)
         else:
             head = selected.orderBy("seq").limit(demo_rows)
-        demo = instruction_records(head, null_as, keep=("seq",))
-        write_records(demo, demo_dir, dataset_name, "seq")
+        write_records(instruction_records(head, null_as), demo_dir, dataset_name)
     return Prepared(counts, dataset, staged)

@@ -15,17 +15,14 @@ def manifest(dataset_name: str, file_name: str) -> dict:
     return {dataset_name: {"file_name": file_name, "columns": dict(fixed.MANIFEST_COLUMNS)}}
 
 
-def write_records(
-    records: DataFrame, dataset_dir: str, dataset_name: str, order: str | None = None
-) -> str:
+def write_records(records: DataFrame, dataset_dir: str, dataset_name: str) -> str:
     """Write records to ``<dataset_dir>/<dataset_name>`` and describe them beside it.
 
-    With ``order`` the part files, read by name, hold the records in that
-    order. The result is a folder of JSON Lines, written by all executors.
+    The result is a folder of JSON Lines written by all executors. If the
+    records are sorted, the part files in order of their names are so too.
     """
-    rows = records.orderBy(order) if order else records
     target = f"{dataset_dir.rstrip('/')}/{dataset_name}"
-    rows.select(*RECORD_COLUMNS).write.mode("overwrite").json(target)
+    records.select(*RECORD_COLUMNS).write.mode("overwrite").json(target)
     spark: SparkSession = records.sparkSession
     write_small_json(
         spark, f"{dataset_dir.rstrip('/')}/{MANIFEST_FILE}", manifest(dataset_name, dataset_name)
