@@ -12,7 +12,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     session = (
-        SparkSession.builder.master("local[8]")
+        SparkSession.builder.master("local[8,3]")  # a task may fail twice
         .appName("winnower-tests")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")

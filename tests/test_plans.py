@@ -15,7 +15,7 @@ from winnower.plans.prepare import clean_records
 
 MIDDLE = "/root/testdata/sf0.01"
 WRITING = {"bad_records", "jsonl_roundtrip", "metric_csv", "stream_clean", "stats_roundtrip",
-           "stream_progress", "result_files"}
+           "stream_progress", "result_files", "dedup_in_order"}
 
 
 def plan_of(spark, frame):

@@ -4,6 +4,7 @@ import json
 from pathlib import Path
 
 import pytest
+from pyspark import TaskContext
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
@@ -144,6 +145,27 @@ def test_plain_run_writes_no_table_between(spark, tmp_path):
     assert len(_lines(result.dataset)) == result.counts["kept_rows"] == 216
 
 
+def test_retried_tasks_change_nothing(spark, tmp_path):
+    pairs = fixtures.document_pairs(spark, MIDDLE).repartition(6, "seq")
+
+    def break_down_once(batches):
+        task = TaskContext.get()
+        yield from batches
+        if task.partitionId() % 2 and task.attemptNumber() == 0:
+            raise RuntimeError("lost after all of its rows")
+
+    flaky = pairs.mapInPandas(break_down_once, pairs.schema)
+    result = prepare_dataset(
+        flaky, str(tmp_path), "x", sampling=Sampling(hash_prob=0.5), dedup=True
+    )
+    assert result.counts == {
+        "seen_rows": 1_000, "selected_rows": 453, "not_sampled_rows": 479, "kept_rows": 416,
+        "dropped_empty": 21, "dropped_length": 16, "dropped_char_run": 10,
+        "dropped_repetition": 21, "dropped_other": 0, "dropped_dedup": 37,
+    }
+    assert len(_lines(result.dataset)) == 416
+
+
 def test_text_beyond_ascii_is_written_raw(spark, tmp_path):
     pairs = spark.createDataFrame(
         [(1, "question \N{LATIN SMALL LETTER E WITH ACUTE}\u4e2d\U0001f600", "a response \N{LATIN SMALL LETTER E WITH ACUTE}\u4e2d long enough", "s", "1")],

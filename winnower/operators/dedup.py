@@ -31,6 +31,7 @@ def keep_first_in_order(selected: DataFrame, key: str = "key", order: str = "seq
     combines copies before its shuffle. One range shuffle by ``order`` then
     brings rows and survivors together and sorts the result. ``order`` must be
     unique, so no task gets more than its share even if all keys are equal.
+    ``selected`` is read twice and should be a written table.
     """
     survivors = selected.groupBy(key).agg(F.min(order).alias(order)).select(order)
     marked = selected.withColumn("_survivor", F.lit(False)).unionByName(

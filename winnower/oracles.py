@@ -188,6 +188,8 @@ from h""",
     "max_samples": f"with {_SCORED}, {_selected(score_bound(0.5))} select seq from s",
     "dedup_keep_first": f"""with {_SCORED}, {_selected(_WHOLE_BOUND)}, {_FIRST}
 select seq, k as content_key from d where copy = 1""",
+    "dedup_in_order": f"""with {_SCORED}, {_selected(_QUARTER_BOUND)}, {_FIRST}
+select seq, q, r from d where copy = 1""",
     "instruction_records": f"""with {_SCORED}, {_selected(_WHOLE_BOUND)}
 select seq, {_RECORD} from s""",
     "clean_records": f"""with {_SCORED}, {_selected(_QUARTER_BOUND)}, {_FIRST}

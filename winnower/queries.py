@@ -30,7 +30,7 @@ from winnower.operators.cleaning import (
     with_normalised,
 )
 from winnower.operators.compare import compare_many, compare_runs, resolve_scores
-from winnower.operators.dedup import keep_first
+from winnower.operators.dedup import keep_first, keep_first_in_order
 from winnower.operators.selection import decide_rows, select_rows
 from winnower.operators.tally import drop_waterfall as waterfall
 from winnower.operators.tally import stats_counts, stats_report
@@ -174,6 +174,14 @@ def dedup_keep_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("seq", F.lower(F.hex("key")).alias("content_key"))
 
 
+def dedup_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Survivors in source order, from a written table of selected rows."""
+    folder = shared_folder(spark, "selected")
+    pairs = fixtures.document_pairs(spark, sf_dir)
+    select_rows(pairs, RULES, QUARTER, count_all=False).write.parquet(folder)
+    return keep_first_in_order(spark.read.parquet(folder)).select("seq", "q", "r")
+
+
 # Records
 
 
@@ -378,6 +386,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "hash_sample": hash_sample,
     "max_samples": max_samples,
     "dedup_keep_first": dedup_keep_first,
+    "dedup_in_order": dedup_in_order,
     "instruction_records": records_of_valid_pairs,
     "clean_records": clean_records,
     "json_records": json_records,
