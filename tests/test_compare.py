@@ -142,6 +142,17 @@ def test_many_runs_equal_two_runs(spark, runs, tmp_path):
     assert [row["run"] for row in _csv_rows(f"{tmp_path}/many.csv")] == ["tuned +1"] * 8
 
 
+def test_names_with_quotes(spark):
+    name, metric = "it's \\ \"odd\" #1", "'acc' \\d"
+    text = json.dumps({"results": {name: {"other": 1, metric: 0.5}}})
+    results = spark.createDataFrame([("r", name, 2, text), ("b", name, 2, text)], RESULTS)
+    scores = resolve_scores(results, {name: [metric]})
+    for comparison in (compare_many(scores, "b", [(name, 2)]),
+                       compare_runs(spark, scores, "b", "r", [(name, 2)])):
+        row = comparison.first()
+        assert (row.task, row.metric, row.sft_score, row.delta) == (name, metric, 0.5, 0.0)
+
+
 def test_markdown_has_a_header_per_run(spark, runs):
     scores = resolve_scores(read_results(spark, str(runs)))
     both = scores.unionByName(scores.where("run <> 'base'").replace("tuned +1", "second", "run"))

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from itertools import chain
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,9 +12,18 @@ _NUMERIC_VARIANT = r"^(BIGINT|DOUBLE|BOOLEAN|DECIMAL\(.*)$"
 _METRICS_TYPE = "map<string,variant>"
 
 
+def quoted(text: str) -> str:
+    """Text as a literal of SQL; one expression text costs one call to the JVM."""
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
 def _preference_map(preferences: dict[str, list[str]]) -> Column:
-    entries = [(F.lit(task), F.lit(metrics)) for task, metrics in preferences.items()]
-    return F.create_map(*chain.from_iterable(entries))
+    entries = [
+        f"{quoted(task)}, array({', '.join(map(quoted, metrics))})"
+        for task, metrics in preferences.items()
+    ]
+    return F.expr(f"map({', '.join(entries)})")
 
 
 def _last_value(entries: Column, key: Column) -> Column:

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from winnower import fixed_values as fixed
-from winnower.functions.metrics import is_corrupt, score_text, with_best_metric
+from winnower.functions.metrics import is_corrupt, quoted, score_text, with_best_metric
 
 MARKDOWN_HEADER = [
     "| task | fewshot | metric | base | sft | delta |",
@@ -14,16 +14,14 @@ MARKDOWN_HEADER = [
 ]
 
 
-def task_table(tasks: list[tuple[str, int]] = fixed.TASKS) -> Column:
-    """Report tasks as an array of ``(pos, task, fewshot)`` to explode."""
-    return F.array(
-        *[
-            F.struct(
-                F.lit(pos).alias("pos"), F.lit(task).alias("task"), F.lit(shots).alias("fewshot")
-            )
-            for pos, (task, shots) in enumerate(tasks)
-        ]
-    )
+def _report_rows(tasks: list[tuple[str, int]], *scores: str) -> str:
+    """SQL of one row per report task; ``#`` in ``scores`` stands for its position."""
+    rows = []
+    for pos, (task, fewshot) in enumerate(tasks):
+        fields = [f"{pos} as pos", f"{quoted(task)} as task", f"{fewshot} as fewshot"]
+        fields += [score.replace("#", str(pos)) for score in scores]
+        rows.append(f"struct({', '.join(fields)})")
+    return f"inline(array({', '.join(rows)}))"
 
 
 def resolve_scores(
@@ -75,26 +73,15 @@ def run_scores(scores: DataFrame, tasks: list[tuple[str, int]] = fixed.TASKS) ->
     many runs nor a run with many files gathers in one task.
     """
 
-    def best(task: str, fewshot: int) -> Column:
-        is_task = (F.col("task") == task) & (F.col("fewshot") == fewshot)
-        return F.max(F.when(is_task, F.struct("metric", "score")))
-
-    wide = scores.groupBy("run").agg(
-        *[best(*task).alias(f"_{pos}") for pos, task in enumerate(tasks)]
-    )
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(pos).alias("pos"),
-                F.lit(task).alias("task"),
-                F.lit(fewshot).alias("fewshot"),
-                F.col(f"_{pos}.metric").alias("metric"),
-                F.col(f"_{pos}.score").alias("score"),
-            )
-            for pos, (task, fewshot) in enumerate(tasks)
-        ]
-    )
-    return wide.select("run", F.inline(rows))
+    best = [
+        F.expr(
+            f"max(if(task = {quoted(task)} and fewshot = {fewshot},"
+            f" struct(metric, score), null)) as _{pos}"
+        )
+        for pos, (task, fewshot) in enumerate(tasks)
+    ]
+    rows = _report_rows(tasks, "_#.metric as metric", "_#.score as score")
+    return scores.groupBy("run").agg(*best).selectExpr("run", rows)
 
 
 def compare_runs(
@@ -110,7 +97,7 @@ def compare_runs(
     broadcast.
     """
     listed = scores.where(F.col("task").isin([task for task, _ in tasks]))
-    report = spark.range(1).select(F.inline(task_table(tasks)))
+    report = spark.range(1).selectExpr(_report_rows(tasks))
     for run, name in ((baseline, "base"), (candidate, "sft")):
         side = _side(run_scores(listed.where(F.col("run") == run), tasks), name)
         report = report.join(F.broadcast(side), ["task", "fewshot"], "left")
