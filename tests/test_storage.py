@@ -3,14 +3,13 @@ from __future__ import annotations
 import json
 from types import SimpleNamespace
 
-import pytest
+from winnower.storage import path_exists, shared_folder, write_small_json, written
 
-from winnower.storage import path_exists, shared_folder, write_small_json
 
-
-def session(master, folder=None, checkpoint=None):
-    context = SimpleNamespace(master=master, getCheckpointDir=lambda: checkpoint)
-    conf = SimpleNamespace(get=lambda name, default: folder or default)
+def session(folder=None, checkpoint=None):
+    context = SimpleNamespace(getCheckpointDir=lambda: checkpoint)
+    named = {"spark.checkpoint.dir": folder, "spark.sql.warehouse.dir": "hdfs://n/warehouse"}
+    conf = SimpleNamespace(get=lambda name, default=None: named[name] or default)
     return SimpleNamespace(conf=conf, sparkContext=context)
 
 
@@ -18,14 +17,19 @@ def test_folder_of_the_cluster_is_used(spark):
     named = spark.conf.get("spark.checkpoint.dir")
     first, second = shared_folder(spark, "x"), shared_folder(spark, "x")
     assert first.startswith(f"{named}/x-") and first != second
-    assert shared_folder(session("yarn", "s3a://b/c/"), "x").startswith("s3a://b/c/x-")
-    assert shared_folder(session("yarn", None, "hdfs://n/d"), "x").startswith("hdfs://n/d/x-")
+    assert shared_folder(session("s3a://b/c/"), "x").startswith("s3a://b/c/x-")
+    assert shared_folder(session(None, "hdfs://n/d"), "x").startswith("hdfs://n/d/x-")
+
+
+def test_without_a_checkpoint_folder_the_warehouse_is_used():
+    assert shared_folder(session(), "x").startswith("hdfs://n/warehouse/x-")
 
 
-def test_a_cluster_without_a_shared_folder_is_an_error():
-    with pytest.raises(ValueError):
-        shared_folder(session("spark://host:7077"), "x")
-    assert "/winnower-" in shared_folder(session("local[4]"), "x")
+def test_written_rows_keep_their_schema(spark):
+    rows = spark.createDataFrame([(1, None), (2, "b")], "id int, text string")
+    again = written(spark, rows, "rows")
+    assert again.schema == rows.schema and sorted(again.collect()) == sorted(rows.collect())
+    assert written(spark, rows.limit(0), "none").count() == 0
 
 
 def test_small_json(spark, tmp_path):

@@ -3,28 +3,35 @@
 from __future__ import annotations
 
 import json
-import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _CHECKPOINT_DIR = "spark.checkpoint.dir"
+_WAREHOUSE_DIR = "spark.sql.warehouse.dir"
 
 
 def shared_folder(spark: SparkSession, label: str) -> str:
     """New folder name below the checkpoint folder that the cluster names.
 
-    A local session without that setting gets a temporary folder; a cluster
-    without it is an error, since executors could not see a local one.
+    A session without that setting keeps such folders in its warehouse, which
+    all executors share as well.
     """
-    base = spark.conf.get(_CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
-    if base is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError(f"set {_CHECKPOINT_DIR} to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="winnower-")
+    base = (
+        spark.conf.get(_CHECKPOINT_DIR, None)
+        or spark.sparkContext.getCheckpointDir()
+        or spark.conf.get(_WAREHOUSE_DIR)
+    )
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def written(spark: SparkSession, rows: DataFrame, label: str) -> DataFrame:
+    """The same rows, read from a table in a new shared folder; cuts lineage."""
+    folder = shared_folder(spark, label)
+    rows.write.parquet(folder)
+    return spark.read.schema(rows.schema).parquet(folder)
+
+
 def _hadoop_path(spark: SparkSession, path: str):
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target, target.getFileSystem(spark._jsc.hadoopConfiguration())
