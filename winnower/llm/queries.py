@@ -5,24 +5,59 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from winnower.llm.decontaminate import find_contamination
 from winnower.llm.line_quality import score_quality
+from winnower.llm.mixing import mix_sql, with_probability
 from winnower.llm.oracles import OP5_SQL
+from winnower.llm.simhash import fingerprint_hex, simhash_components
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold benchmark items, one row for each pair."""
+    documents, benchmark = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    return find_contamination(documents, benchmark)
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text counts and the line-frequency verdict of every document."""
     return score_quality(_table(spark, sf_dir, "documents"))
 
 
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document, links at three bits or fewer."""
+    found = simhash_components(_table(spark, sf_dir, "documents"))
+    marks = fingerprint_hex(F.col("fp")).alias("fingerprint")
+    return found.select("doc_id", marks, "component_id")
+
+
+def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sampling probability and decision of every document."""
+    found = with_probability(_table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        F.col("_source").alias("source"),
+        F.col("_lang").alias("lang"),
+        F.col("_topic").alias("topic"),
+        F.col("_tokens").alias("n_tokens"),
+        F.col("_p").alias("p"),
+        F.col("_sampled").alias("sampled"),
+    )
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_decontaminate": op3_decontaminate,
     "op5_quality_rules": op5_quality_rules,
+    "op7_simhash": op7_simhash,
+    "op10_mix_sources": op10_mix_sources,
 }
 
 LLM_ORACLE_SQL: dict[str, str] = {
     "op5_quality_rules": OP5_SQL,
+    "op10_mix_sources": mix_sql(),
 }
