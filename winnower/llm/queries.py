@@ -4,20 +4,30 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from winnower.llm.decontaminate import find_contamination
 from winnower.llm.line_quality import score_quality
 from winnower.llm.mixing import mix_sql, with_probability
 from winnower.llm.oracles import OP5_SQL
 from winnower.llm.simhash import fingerprint_hex, simhash_components
+from winnower.llm.token_counts import count_tokens
+from winnower.llm.token_files import token_file_round_trip
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document by the 32k piece vocabulary."""
+    model_file = public_tokenizers.path("piece_bpe_32k.model")
+    return count_tokens(_table(spark, sf_dir, "documents"), model_file)
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold benchmark items, one row for each pair."""
     documents, benchmark = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
@@ -36,6 +46,12 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", marks, "component_id")
 
 
+def op9_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as token ids in files, and what the files hold."""
+    tokenizer_file = public_tokenizers.path("word_bpe_49k.json")
+    return token_file_round_trip(_table(spark, sf_dir, "documents"), tokenizer_file)
+
+
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sampling probability and decision of every document."""
     found = with_probability(_table(spark, sf_dir, "documents"))
@@ -51,9 +67,12 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "pipeline": corpus_pipeline.run,
+    "op2_token_counts": op2_token_counts,
     "op3_decontaminate": op3_decontaminate,
     "op5_quality_rules": op5_quality_rules,
     "op7_simhash": op7_simhash,
+    "op9_token_output": op9_token_output,
     "op10_mix_sources": op10_mix_sources,
 }
 
