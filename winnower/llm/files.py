@@ -31,5 +31,5 @@ def new_file(folder: str, label: str, suffix: str) -> Iterator[tuple[str, object
     store, base = file_system(folder)
     store.create_dir(base, recursive=True)
     name = f"{label}-{uuid.uuid4().hex}{suffix}"
-    with store.open_output_stream(f"{base}/{name}") as stream:
+    with store.open_output_stream(f"{base}/{name}", compression=None) as stream:
         yield name, stream

@@ -65,3 +65,45 @@ select doc_id, n_words::bigint as n_words, word_chars::bigint as word_chars,
   not base_failed and 100 * (n_words - n_lost_words) >= 50 * n_words as kept
 from base
 """
+
+OP1_SQL = r"""
+with hashed as (
+  select page_id, strlen(coalesce(html, '')) as payload_bytes, sha1(coalesce(html, '')) as hex
+  from pages
+),
+heads as (select hex, payload_bytes, max(page_id) as head from hashed group by all)
+select page_id, payload_bytes::bigint as payload_bytes,
+  list_reduce(list_transform(range(0, 32), lambda i: substr(
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    1 + ((('0x' || substr(hex, 1 + 5 * (i // 4), 5))::bigint >> (15 - 5 * (i % 4))) & 31)::int, 1
+  )), lambda a, b: a || b) as payload_digest,
+  case when head is null or page_id is not distinct from head then 'response' else 'revisit' end
+    as record_type,
+  case when page_id is distinct from head then head end as refers_to
+from hashed join heads using (hex, payload_bytes)
+"""
+
+OP6_SQL = r"""
+with turns as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all select -7, 0, 'user', '</s>[INST] ok [/INST]'
+  union all select -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+),
+sized as (
+  select *, list_sum(list_transform([role, text], lambda t: length(t)
+    + length(t) - length(replace(t, '\', ''))
+    + (length(t) - length(replace(t, '<|', ''))) // 2
+    + (length(t) - length(replace(t, '|>', ''))) // 2
+    + len(regexp_extract_all(t, '</?s>')) + len(regexp_extract_all(t, '\[/?INST\]'))
+  )) + length('<||><|end|>') as chars
+  from turns
+)
+select conv_id, count(*)::bigint as n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, role, text))
+    as turns_sha256,
+  coalesce(sum(length(text)) filter (role = 'assistant'), 0)::bigint as loss_chars,
+  sha256(coalesce(string_agg(text, '' order by turn nulls first, role, text)
+    filter (role = 'assistant'), '')) as loss_sha256,
+  sum(chars)::bigint as formatted_chars
+from sized group by conv_id
+"""

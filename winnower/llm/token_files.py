@@ -200,7 +200,7 @@ def read_token_files(index: DataFrame, folder: str) -> DataFrame:
         store, base = file_system(folder)
         for batch in batches:
             for row in batch.to_pylist():
-                with store.open_input_stream(f"{base}/{row['name']}") as stream:
+                with store.open_input_stream(f"{base}/{row['name']}", compression=None) as stream:
                     data = stream.read()
                 doc_ids, counts, sums = [], [], []
                 for doc, ids in _read_file(data):
