@@ -11,12 +11,14 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from winnower.llm.conversations import conversation_digests, format_turns, to_turns
 from winnower.llm.decontaminate import find_contamination
+from winnower.llm.language_id import identify_language
 from winnower.llm.line_quality import score_quality
 from winnower.llm.mixing import mix_sql, with_probability
 from winnower.llm.oracles import OP1_SQL, OP5_SQL, OP6_SQL
 from winnower.llm.simhash import fingerprint_hex, simhash_components
 from winnower.llm.token_counts import count_tokens
 from winnower.llm.token_files import token_file_round_trip
+from winnower.llm.toxicity import score_toxicity
 from winnower.llm.warc import archive_round_trip
 from winnower.storage import written
 
@@ -43,6 +45,11 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_contamination(documents, benchmark)
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learnt from two folds of three."""
+    return identify_language(_table(spark, sf_dir, "documents"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text counts and the line-frequency verdict of every document."""
     return score_quality(_table(spark, sf_dir, "documents"))
@@ -67,6 +74,11 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", marks, "component_id")
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document, learnt from the labels of two folds of three."""
+    return score_toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op9_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document as token ids in files, and what the files hold."""
     tokenizer_file = public_tokenizers.path("word_bpe_49k.json")
@@ -92,9 +104,11 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_token_counts": op2_token_counts,
     "op3_decontaminate": op3_decontaminate,
+    "op4_language_id": op4_language_id,
     "op5_quality_rules": op5_quality_rules,
     "op6_chat_format": op6_chat_format,
     "op7_simhash": op7_simhash,
+    "op8_toxicity": op8_toxicity,
     "op9_token_output": op9_token_output,
     "op10_mix_sources": op10_mix_sources,
 }
