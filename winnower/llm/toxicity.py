@@ -2,7 +2,7 @@
 
 Many voters look at a text: one for each word of a lexicon, one for each word
 mined from labelled rows, and patterns (address, dismissal, disguised insults,
-shouting). A generative label model holds, for each voter, how often it fires on
+shouting, silence of all others). A generative label model holds, for each voter, how often it fires on
 toxic and on clean texts, and how voters correlate within a class; expectation
 maximisation starts at the given labels and counts correlated voters as less
 than one each. Its posterior labels, not the given ones, train a linear
@@ -37,7 +37,7 @@ from winnower.llm.language_id import held_out
 #: Words that insult a person.
 INSULTS = (
     "idiot idiots moron morons stupid dumb imbecile fool dunce loser losers clown clowns scum trash"
-    " garbage filth vermin worthless pathetic disgusting vile repulsive revolting freak creep coward"
+    " garbage filth vermin worthless pathetic disgusting repulsive revolting freak creep coward"
     " bastard bitch asshole dumbass retard pig swine jerk"
 ).split()
 _DISGUISES = str.maketrans("01345@$!", "oieasasi")
@@ -46,7 +46,7 @@ _DISGUISED = re.compile(r"\b\w*[0134@$!]\w+\b")
 _ADDRESS = re.compile(r"\byou(?:'re| are| were)? (?:all |such |a |an |so )*(?:%s)\b" % "|".join(INSULTS))
 _DISMISSAL = re.compile(r"\b(?:shut up|get lost|go to hell|drop dead|hate you|kill yourself)\b")
 _UPPER = bytes(range(65, 91))
-PATTERNS = ("disguised", "address", "dismissal", "shouting", "exclaiming", "any", "several")
+PATTERNS = ("disguised", "address", "dismissal", "shouting", "exclaiming", "any", "several", "quiet")
 
 
 @dataclass(frozen=True)
@@ -88,26 +88,30 @@ class Voters:
         found[patterns + 4] = text.count("!!") > 2
         found[patterns + 5] = len(hits) > 0
         found[patterns + 6] = len(hits) > 1
+        found[patterns + 7] = not found[: patterns + 3].any()
         return found
 
 
 class LabelModel:
-    """Firing rates of voters by class, their correlations, and the share of toxic texts.
+    """Firing rates of voters by class, and their correlations.
 
-    Voters that agree on a text share their evidence: each counts as one over
-    one plus its correlations with the others that did the same.
+    The share of toxic texts is that of the labels and is not estimated again.
+
+    Voters that fire on the same text share their evidence: each counts as one
+    over one plus its correlations with the others that fired.
     """
 
     def __init__(self, voters: int):
         self.share = 0.1
         self.rates = np.array([np.full(voters, 0.001), np.full(voters, 0.2)])
+        self.rates[:, -1] = 0.9, 0.3  # the silence of all others
         self.overlap = np.zeros((voters, voters))
 
     def fit(self, votes: np.ndarray, labels: np.ndarray, rounds: int) -> np.ndarray:
         """Posterior labels of the votes; starts at the given labels."""
         belief = 0.9 * labels + 0.05
+        self.share = float(np.clip(labels.mean(), 0.01, 0.99))
         for _ in range(rounds):
-            self.share = float(np.clip(belief.mean(), 1e-4, 1 - 1e-4))
             sides = (1 - belief, belief)
             for side, mass in enumerate(sides):
                 self.rates[side] = (mass @ votes + 0.05) / (mass.sum() + 1.0)
@@ -127,17 +131,14 @@ class LabelModel:
         np.fill_diagonal(total, 0)
         return total
 
-    def log_odds(self) -> tuple[np.ndarray, np.ndarray, float]:
-        """What each voter adds when it fires, when it is silent, and the prior's part."""
+    def log_odds(self) -> tuple[np.ndarray, float]:
+        """What each voter adds when it fires, and the prior's part; silence abstains."""
         clean, toxic = self.rates
-        prior = float(np.log(self.share / (1 - self.share)))
-        return np.log(toxic / clean), np.log((1 - toxic) / (1 - clean)), prior
+        return np.log(toxic / clean), float(np.log(self.share / (1 - self.share)))
 
     def posterior(self, votes: np.ndarray) -> np.ndarray:
-        fired, silent, prior = self.log_odds()
-        rest = 1 - votes
-        odds = (votes * fired / (1 + votes @ self.overlap)).sum(axis=1)
-        odds += (rest * silent / (1 + rest @ self.overlap)).sum(axis=1) + prior
+        fired, prior = self.log_odds()
+        odds = (votes * fired / (1 + votes @ self.overlap)).sum(axis=1) + prior
         return 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
 
 
@@ -214,9 +215,8 @@ def train(
     rows = sample.mapInArrow(vote, "counts array<double>, toxic int").toPandas()
     model = LabelModel(voters.size)
     if not len(rows):
-        fired, silent, prior = model.log_odds()
-        slope = np.concatenate([fired - silent, np.zeros(voters.size)])
-        return voters, slope, float(prior + silent.sum())
+        fired, prior = model.log_odds()
+        return voters, np.concatenate([fired, np.zeros(voters.size)]), prior
     counts = np.array(rows["counts"].tolist())
     # The order in which rows arrive must not matter to the last digit.
     counts, toxic = counts[order := np.lexsort(counts.T)], rows["toxic"].to_numpy(float)
