@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import numpy as np
 
-LANES = 1024
+LANES = 4096
 _BITS = np.uint64(12)
 _ONE = 1 << 12
 _WORD = np.uint64(16)
@@ -28,53 +28,61 @@ _ORDER1, _ORDER2 = 1 << 10, 1 << 11
 _CONFIDENT = 3
 _STEPS = (0, 1, 17, 273)  # first context of each 16-way step
 _ROWS = 529
-_UNUSED = _ROWS  # a row that lanes with a right guess read and write instead
+_UNUSED = _ROWS  # row of lanes whose guess was right: its first digit is certain
+_ROW = np.dtype("V34")
 
-_EVEN = np.arange(17) * (_ONE // 16)
+_EVEN = [i * (_ONE // 16) for i in range(17)]
+_CERTAIN = [0] + [_ONE] * 16
+#: Where the bounds of a row move when a digit was coded; the last leaves the unused row as it is.
 _GOALS = np.array(
-    [[i if i <= s else _ONE - 16 + i for i in range(17)] for s in range(16)], np.int16
+    [[i if i <= s else _ONE - 16 + i for i in range(17)] for s in range(16)] + [_CERTAIN], np.int16
+)
+_FLAG_GOALS = np.array(
+    [[0, _ONE - 2, _ONE - 1, _ONE], [0, 1, _ONE - 1, _ONE], [0, 1, 2, _ONE]], np.int32
 )
-_FLAG_GOALS = np.array([[_ONE - 2, _ONE - 1], [1, _ONE - 1], [1, 2]], np.int32)
 
 
 class _Model:
-    """State of ``lanes`` independent models."""
+    """State of independent models, one for each lane."""
 
     def __init__(self, lanes: int):
         self.lane = np.arange(lanes)
-        self.steps = np.tile(_EVEN.astype(np.int16), (lanes * (_ROWS + 1), 1))
-        self.flags = np.tile(np.array([_ONE // 3, 2 * _ONE // 3], np.int32), (lanes * 16, 1))
+        rows = np.array([_EVEN] * _ROWS + [_CERTAIN], np.int16)
+        self.steps = np.tile(rows, (lanes, 1)).view(_ROW).ravel()
+        thirds = np.array([0, _ONE // 3, 2 * _ONE // 3, _ONE], np.int32)
+        self.flags = np.tile(thirds, (lanes * 16, 1))
         self.weight = np.full(lanes, 128, np.int32)
         self.guess1 = np.zeros(lanes * _ORDER1, np.int32)
         self.guess2 = np.zeros(lanes * _ORDER2, np.int32)
-        self.last = np.zeros(lanes, np.int32)
-        self.last2 = np.zeros(lanes, np.int32)
-
-    def guess(self, n: int) -> None:
-        """Looks up both guesses of the first n lanes, and the chances of the three flags."""
-        lane, last, last2 = self.lane[:n], self.last[:n], self.last2[:n]
-        self.at1 = lane * _ORDER1 + ((last * 40503) >> 3 & (_ORDER1 - 1))
-        self.at2 = lane * _ORDER2 + ((last * 40503 + last2 * 30011) >> 3 & (_ORDER2 - 1))
-        found1, found2 = self.guess1[self.at1], self.guess2[self.at2]
+        self.last = np.zeros(lanes, np.int64)
+        self.last2 = np.zeros(lanes, np.int64)
+
+    def guess(self, n: int) -> np.ndarray:
+        """Looks up both guesses of the first n lanes; the mixed bounds of the three flags."""
+        lane = self.lane[:n]
+        mix = self.last[:n] * 40503
+        self.at1 = lane * _ORDER1 + (mix >> 3 & (_ORDER1 - 1))
+        self.at2 = lane * _ORDER2 + ((mix + self.last2[:n] * 30011) >> 3 & (_ORDER2 - 1))
+        found1, found2 = self.guess1.take(self.at1), self.guess2.take(self.at2)
         self.id1, self.sure1 = found1 & 0xFFFF, found1 >> 16
         self.id2, self.sure2 = found2 & 0xFFFF, found2 >> 16
-        agree = (self.id1 == self.id2).astype(np.int64)
-        self.row2 = lane * 16 + self.sure2 * 2 + agree
-        self.row1 = lane * 16 + 8 + self.sure1 * 2 + agree
-        self.by2, self.by1 = self.flags[self.row2], self.flags[self.row1]
-        weight = self.weight[:n, None]
-        self.mixed = (weight * self.by2 + (256 - weight) * self.by1) >> 8
-
-    def learn_flag(self, n: int, flag: np.ndarray) -> None:
-        goal, pick = _FLAG_GOALS[flag], np.arange(n)
-        ends = [np.zeros((n, 4), np.int32) for _ in range(2)]
-        for end, by in zip(ends, (self.by2, self.by1), strict=True):
-            end[:, 1:3], end[:, 3] = by, _ONE
-        chance2, chance1 = (end[pick, flag + 1] - end[pick, flag] for end in ends)
-        moved = self.weight[:n] + ((chance2 - chance1) >> _MIX_RATE)
-        self.weight[:n] = np.clip(moved, 16, 240)
+        base = lane * 16 + (self.id1 == self.id2)
+        self.row2 = base + 2 * self.sure2
+        self.row1 = base + 2 * self.sure1 + 8
+        self.by2 = self.flags.take(self.row2, axis=0)
+        self.by1 = self.flags.take(self.row1, axis=0)
+        self.mixed = (self.by1 * 256 + self.weight[:n, None] * (self.by2 - self.by1)) >> 8
+        return self.mixed
+
+    def learn_flag(self, n: int, flag: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Updates what the flag teaches; returns its start and size in the mixed bounds."""
+        at, goal = 4 * self.lane[:n] + flag, _FLAG_GOALS.take(flag, axis=0)
+        start, size = _span(self.mixed, at)
+        better = _span(self.by2, at)[1] - _span(self.by1, at)[1]
+        np.clip(self.weight[:n] + (better >> _MIX_RATE), 16, 240, out=self.weight[:n])
         self.flags[self.row2] = self.by2 + ((goal - self.by2) >> _FLAG_RATE)
         self.flags[self.row1] = self.by1 + ((goal - self.by1) >> _FLAG_RATE)
+        return start, size
 
     def learn_id(self, n: int, ids: np.ndarray) -> None:
         for table, at, guess, sure in (
@@ -82,145 +90,135 @@ class _Model:
             (self.guess2, self.at2, self.id2, self.sure2),
         ):
             right = guess == ids
-            surer = np.where(right, np.minimum(sure + 1, _CONFIDENT), np.maximum(sure - 1, 0))
+            surer = np.clip(sure + 2 * right - 1, 0, _CONFIDENT)
             table[at] = np.where(right | (sure > 0), guess, ids) | surer << 16
         self.last2[:n] = self.last[:n]
         self.last[:n] = ids
 
-    def rows(self, n: int, step: int, context: np.ndarray, coded: np.ndarray) -> np.ndarray:
-        """Rows of a 16-way step in the flat table; lanes not coded get the unused row."""
-        own = np.where(coded, _STEPS[step] + context, _UNUSED)
-        return self.lane[:n] * (_ROWS + 1) + own
+    def rows(self, n: int, step: int, high: np.ndarray, coded: np.ndarray):
+        """Places and bounds of a 16-way step, by the digits coded before it."""
+        context = high if step < 3 else (high >> 4 & 15) << 4 | high & 15
+        at = self.lane[:n] * (_ROWS + 1) + np.where(coded, context + _STEPS[step], _UNUSED)
+        return at, self.steps.take(at).view(np.int16).reshape(n, 17)
+
+    def learn_digit(self, at: np.ndarray, row: np.ndarray, digit: np.ndarray, coded) -> None:
+        goal = _GOALS.take(np.where(coded, digit, 16), axis=0)
+        goal -= row
+        goal >>= _RATE
+        goal += row
+        self.steps[at] = goal.view(_ROW).ravel()
+
+
+def _span(bounds: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    start = bounds.take(at)
+    return start, bounds.take(at + 1) - start
 
 
-def _context(step: int, high: np.ndarray) -> np.ndarray:
-    """Context of a step, from the digits coded before it."""
-    if step < 3:
-        return high
-    return ((high >> 4) & 15) << 4 | (high & 15)
+class _Range:
+    """Low end and span of each lane's interval."""
 
+    def __init__(self, lanes: int):
+        self.low = np.zeros(lanes, np.uint64)
+        self.span = np.full(lanes, 2**64 - 1, np.uint64)
+
+    def narrow(self, n: int, start: np.ndarray, size: np.ndarray) -> None:
+        unit = self.span[:n] >> _BITS
+        self.low[:n] += unit * start.astype(np.uint64)
+        np.multiply(unit, size.astype(np.uint64), out=self.span[:n])
+
+    def renewals(self, n: int):
+        """Lanes whose span has to be renewed, until there are none; the caller moves a word."""
+        lane = np.flatnonzero(self.span[:n] < _LEAST)
+        while len(lane):
+            low, span = self.low[lane], self.span[lane]
+            split = (low ^ (low + span)) >> _TOP != 0
+            span = np.where(split, -low & (_LEAST - np.uint64(1)), span) << _WORD
+            yield lane, low >> _TOP
+            self.low[lane], self.span[lane] = low << _WORD, span
+            lane = lane[span < _LEAST]
 
-def _flag_span(mixed: np.ndarray, flag: np.ndarray):
-    low = np.where(flag == 0, 0, np.where(flag == 1, mixed[:, 0], mixed[:, 1]))
-    high = np.where(flag == 0, mixed[:, 0], np.where(flag == 1, mixed[:, 1], _ONE))
-    return low, high - low
+
+def _active(sizes: np.ndarray) -> list[int]:
+    """How many lanes, longest first, have an id at each step."""
+    longest = int(sizes[0]) if len(sizes) else 0
+    return np.searchsorted(-sizes, -np.arange(longest), "left").tolist()
 
 
 def encode(blocks: list[np.ndarray]) -> list[bytes]:
     """Coded bytes of each block of ids below 2^16; longest blocks first."""
-    lanes, sizes = len(blocks), np.array([len(b) for b in blocks])
-    longest = int(sizes[0]) if lanes else 0
-    ids = np.zeros((longest, lanes), np.int32)
+    lanes, sizes = len(blocks), np.array([len(block) for block in blocks])
+    active = _active(sizes)
+    ids = np.zeros((len(active), lanes), np.int32)
     for lane, block in enumerate(blocks):
         ids[: len(block), lane] = block
-    model = _Model(lanes)
-    low, span = np.zeros(lanes, np.uint64), np.full(lanes, 2**64 - 1, np.uint64)
-    out, place = np.zeros((lanes, 4 * longest + 8), np.uint16), np.zeros(lanes, np.int64)
-
-    def put(n, start, size):
-        unit = span[:n] >> _BITS
-        low[:n] += unit * start.astype(np.uint64)
-        span[:n] = unit * size.astype(np.uint64)
+    model, interval = _Model(lanes), _Range(lanes)
+    out = np.zeros((lanes, 4 * len(active) + 8), np.uint16)
+    place = np.zeros(lanes, np.int64)
 
-    def renew(n):
-        lane = np.flatnonzero(span[:n] < _LEAST)
-        while len(lane):
-            a, b = low[lane], span[lane]
-            split = (a ^ (a + b)) >> _TOP != 0
-            b = np.where(split, -a & (_LEAST - np.uint64(1)), b) << _WORD
-            out[lane, place[lane]] = a >> _TOP
+    def renew(n: int) -> None:
+        for lane, word in interval.renewals(n):
+            out[lane, place[lane]] = word
             place[lane] += 1
-            low[lane], span[lane] = a << _WORD, b
-            lane = lane[b < _LEAST]
 
-    for t in range(longest):
-        n = int(np.searchsorted(-sizes, -t, "left"))
-        here, pick = ids[t, :n], np.arange(n)
+    for here, n in zip(ids, active, strict=True):
+        here = here[:n]
         model.guess(n)
-        flag = np.where(here == model.id2, 0, np.where(here == model.id1, 1, 2))
-        put(n, *_flag_span(model.mixed, flag))
-        model.learn_flag(n, flag)
-        coded = flag == 2
+        flag = np.where(here == model.id2, 0, 2 - (here == model.id1))
+        interval.narrow(n, *model.learn_flag(n, flag))
+        coded, first = flag == 2, 17 * model.lane[:n]
         for step in range(4):
-            high = here >> (16 - 4 * step)
-            digit = np.where(coded, (here >> (12 - 4 * step)) & 15, 0)
-            at = model.rows(n, step, _context(step, high), coded)
-            row = model.steps[at]
-            start = row[pick, digit]
-            size = np.where(coded, row[pick, digit + 1] - start, _ONE)
-            put(n, np.where(coded, start, 0), size)
-            row += (_GOALS[digit] - row) >> _RATE
-            model.steps[at] = row
+            at, row = model.rows(n, step, here >> (16 - 4 * step), coded)
+            digit = (here >> (12 - 4 * step) & 15) * coded
+            interval.narrow(n, *_span(row, first + digit))
+            model.learn_digit(at, row, digit, coded)
             if step in (1, 3):
                 renew(n)
         model.learn_id(n, here)
-    coded_blocks = []
+    low, coded_blocks = interval.low, []
     for lane in range(lanes):
-        for _ in range(4):
-            out[lane, place[lane]] = low[lane] >> _TOP
-            place[lane] += 1
-            low[lane] <<= _WORD
-        coded_blocks.append(out[lane, : place[lane]].astype("<u2").tobytes())
+        tail = [int(low[lane]) >> shift & 0xFFFF for shift in (48, 32, 16, 0)]
+        whole = np.append(out[lane, : place[lane]], np.array(tail, np.uint16))
+        coded_blocks.append(whole.astype("<u2").tobytes())
     return coded_blocks
 
 
 def decode(coded: list[bytes], sizes: list[int]) -> list[np.ndarray]:
     """The ids of each block; longest blocks first."""
-    lanes, count = len(coded), np.array(sizes)
-    longest = int(count[0]) if lanes else 0
-    words = np.zeros((lanes, max(map(len, coded), default=0) // 2 + 4 * longest + 8), np.uint16)
+    lanes, active = len(coded), _active(np.array(sizes))
+    words = np.zeros((lanes, max(map(len, coded), default=0) // 2 + 8), np.uint16)
     for lane, block in enumerate(coded):
         words[lane, : len(block) // 2] = np.frombuffer(block, "<u2")
-    ids = np.zeros((longest, lanes), np.int32)
-    model = _Model(lanes)
-    low, span = np.zeros(lanes, np.uint64), np.full(lanes, 2**64 - 1, np.uint64)
+    ids = np.zeros((len(active), lanes), np.int32)
+    model, interval = _Model(lanes), _Range(lanes)
     code, place = np.zeros(lanes, np.uint64), np.full(lanes, 4, np.int64)
     for i in range(4):
         code = code << _WORD | words[:, i]
 
-    def value(n):
-        return np.minimum((code[:n] - low[:n]) // (span[:n] >> _BITS), _ONE - 1).astype(np.int32)
+    def target(n: int) -> np.ndarray:
+        unit = interval.span[:n] >> _BITS
+        return np.minimum((code[:n] - interval.low[:n]) // unit, _ONE - 1).astype(np.int16)
 
-    def take(n, start, size):
-        unit = span[:n] >> _BITS
-        low[:n] += unit * start.astype(np.uint64)
-        span[:n] = unit * size.astype(np.uint64)
-
-    def renew(n):
-        lane = np.flatnonzero(span[:n] < _LEAST)
-        while len(lane):
-            a, b = low[lane], span[lane]
-            split = (a ^ (a + b)) >> _TOP != 0
-            b = np.where(split, -a & (_LEAST - np.uint64(1)), b) << _WORD
+    def renew(n: int) -> None:
+        for lane, _ in interval.renewals(n):
             code[lane] = code[lane] << _WORD | words[lane, place[lane]]
             place[lane] += 1
-            low[lane], span[lane] = a << _WORD, b
-            lane = lane[b < _LEAST]
 
-    for t in range(longest):
-        n = int(np.searchsorted(-count, -t, "left"))
-        pick = np.arange(n)
-        model.guess(n)
-        target = value(n)
-        flag = (target >= model.mixed[:, 0]).astype(np.int64) + (target >= model.mixed[:, 1])
-        take(n, *_flag_span(model.mixed, flag))
-        model.learn_flag(n, flag)
-        coded_here = flag == 2
-        high = np.zeros(n, np.int32)
+    for out, n in zip(ids, active, strict=True):
+        mixed, value = model.guess(n), target(n)
+        flag = (value >= mixed[:, 1]) + (value >= mixed[:, 2]).astype(np.int64)
+        interval.narrow(n, *model.learn_flag(n, flag))
+        unguessed, first = flag == 2, 17 * model.lane[:n]
+        high = np.zeros(n, np.int64)
         for step in range(4):
-            at = model.rows(n, step, _context(step, high), coded_here)
-            row = model.steps[at]
-            target = value(n)
-            digit = np.where(coded_here, (row[:, 1:16] <= target[:, None]).sum(axis=1), 0)
-            start = row[pick, digit]
-            size = np.where(coded_here, row[pick, digit + 1] - start, _ONE)
-            take(n, np.where(coded_here, start, 0), size)
-            row += (_GOALS[digit] - row) >> _RATE
-            model.steps[at] = row
-            high = high << 4 | digit.astype(np.int32)
+            at, row = model.rows(n, step, high, unguessed)
+            below = row[:, 1:] <= target(n)[:, None]
+            digit = np.bitwise_count(np.packbits(below.ravel()).view(np.uint16)).astype(np.int64)
+            interval.narrow(n, *_span(row, first + digit))
+            model.learn_digit(at, row, digit, unguessed)
+            high = high << 4 | digit
             if step in (1, 3):
                 renew(n)
         here = np.where(flag == 0, model.id2, np.where(flag == 1, model.id1, high))
-        ids[t, :n] = here
+        out[:n] = here
         model.learn_id(n, here)
     return [ids[:size, lane].copy() for lane, size in enumerate(sizes)]

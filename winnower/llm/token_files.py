@@ -33,7 +33,7 @@ from winnower.llm.files import file_system, new_file
 from winnower.llm.id_coder import LANES, decode, encode
 from winnower.storage import shared_folder, written
 
-BLOCK_IDS = 4096
+BLOCK_IDS = 2048
 _MAGIC = b"WIDS1\n"
 _TABLE = struct.Struct("<QIII")
 _BLOCK = struct.Struct("<III")
