@@ -201,7 +201,7 @@ def train(docs: DataFrame, training: Training, text: str, doc_id: str, lang: str
         "_rank_hash", F.xxhash64("doc_id", F.lit("language sample"))
     )
     order = Window.partitionBy("lang").orderBy("_rank_hash")
-    ranked = rows.select("lang", "_rank_hash").distinct().withColumn("_r", F.row_number().over(order))
+    ranked = rows.select("lang", "_rank_hash").withColumn("_r", F.dense_rank().over(order))
     bounds = {
         row["lang"]: row["bound"]
         for row in ranked.filter(F.col("_r") <= training.docs_per_language)

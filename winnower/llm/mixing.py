@@ -58,12 +58,16 @@ def token_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit("[^ \\x09-\\x0D]+")), F.lit(0)).cast("long")
 
 
-def _with_cell(docs: DataFrame, text: str, topic: Column | None) -> DataFrame:
+def _with_cell(docs: DataFrame, text: str, doc_id: str, topic: Column | None) -> DataFrame:
+    """Input columns as c_0, c_1, ... beside the class, the tokens and the identity of a row."""
     kind = text_topic(F.col(text)) if topic is None else topic
     classes = {"source": F.col("source"), "lang": F.col("lang"), "topic": kind}
-    return docs.withColumns(
-        {f"_{name}": F.coalesce(c.cast("string"), F.lit("")) for name, c in classes.items()}
-        | {"_tokens": token_count(F.col(text))}
+    own_text = F.md5(F.coalesce(F.col(text), F.lit("")))
+    return docs.select(
+        *[F.col(name).alias(f"c_{i}") for i, name in enumerate(docs.columns)],
+        *[F.coalesce(c.cast("string"), F.lit("")).alias(f"_{n}") for n, c in classes.items()],
+        token_count(F.col(text)).alias("_tokens"),
+        F.coalesce(F.col(doc_id).cast("string"), own_text).alias("_identity"),
     )
 
 
@@ -111,24 +115,19 @@ def fit_cells(cells: DataFrame, targets: MixTargets) -> DataFrame:
     return fitted
 
 
-def with_probability(
-    docs: DataFrame,
-    targets: MixTargets = MixTargets(),
-    text: str = "text",
-    doc_id: str = "doc_id",
-    topic: Column | None = None,
+def _decided(
+    docs: DataFrame, targets: MixTargets, text: str, doc_id: str, topic: Column | None
 ) -> DataFrame:
-    """The rows with _source, _lang, _topic, _tokens, _p and _sampled.
+    """Rows of _with_cell with _p and _sampled.
 
     Fitted cells are broadcast up to a checked number of rows; beyond it the
     join sorts both sides, and adaptive execution splits a common cell.
     """
     spark = docs.sparkSession
-    marked = _with_cell(docs, text, topic)
+    marked = _with_cell(docs, text, doc_id, topic)
     keys = [f"_{name}" for name in MARGINS]
     sums = marked.groupBy(*keys).agg(F.sum("_tokens").alias("_tokens"))
-    cells = written(spark, sums, "mix-cells")
-    fitted = fit_cells(cells, targets)
+    fitted = fit_cells(written(spark, sums, "mix-cells"), targets)
     ratio = F.when(F.col("_tokens") > 0, F.col("_weight") / F.col("_tokens")).otherwise(0.0)
     rates = written(spark, fitted.select(*keys, ratio.alias("_ratio")), "mix-rates")
     size = rates.agg(F.count("*").alias("n"), F.max("_ratio").alias("most")).first()
@@ -137,8 +136,8 @@ def with_probability(
     rates = rates.select(*keys, share.alias("_p"))
     if size["n"] <= _BROADCAST_CELLS:
         rates = F.broadcast(rates)
-    identity = F.coalesce(F.col(doc_id).cast("string"), F.md5(F.coalesce(text, F.lit(""))))
-    digits = F.substring(F.md5(F.concat(F.lit(f"{targets.seed}:"), identity)), 1, _HASH_DIGITS)
+    key = F.concat(F.lit(f"{targets.seed}:"), F.col("_identity"))
+    digits = F.substring(F.md5(key), 1, _HASH_DIGITS)
     uniform = F.conv(digits, 16, 10).cast("double") / float(16**_HASH_DIGITS)
     joined = marked.join(rates, keys).withColumn(
         "_p", F.when(F.col("_tokens") > 0, F.col("_p")).otherwise(0.0)
@@ -146,6 +145,24 @@ def with_probability(
     return joined.withColumn("_sampled", uniform < F.col("_p"))
 
 
+def with_probability(
+    docs: DataFrame,
+    targets: MixTargets = MixTargets(),
+    text: str = "text",
+    doc_id: str = "doc_id",
+    topic: Column | None = None,
+) -> DataFrame:
+    """(doc_id, source, lang, topic, n_tokens, p, sampled), one row for each row."""
+    found = _decided(docs, targets, text, doc_id, topic)
+    return found.select(
+        F.col(f"c_{docs.columns.index(doc_id)}").alias("doc_id"),
+        *[F.col(f"_{name}").alias(name) for name in MARGINS],
+        F.col("_tokens").alias("n_tokens"),
+        F.col("_p").alias("p"),
+        F.col("_sampled").alias("sampled"),
+    )
+
+
 def sample_mix(
     docs: DataFrame,
     targets: MixTargets = MixTargets(),
@@ -154,8 +171,8 @@ def sample_mix(
     topic: Column | None = None,
 ) -> DataFrame:
     """The sampled rows in the columns of the input."""
-    chosen = with_probability(docs, targets, text, doc_id, topic).filter("_sampled")
-    return chosen.select(*docs.columns)
+    chosen = _decided(docs, targets, text, doc_id, topic).filter("_sampled")
+    return chosen.select(*[F.col(f"c_{i}").alias(name) for i, name in enumerate(docs.columns)])
 
 
 def mix_sql(sweeps: int = 6, exponent: float = 0.85, seed: int = 42) -> str:

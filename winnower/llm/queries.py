@@ -87,16 +87,7 @@ def op9_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sampling probability and decision of every document."""
-    found = with_probability(_table(spark, sf_dir, "documents"))
-    return found.select(
-        "doc_id",
-        F.col("_source").alias("source"),
-        F.col("_lang").alias("lang"),
-        F.col("_topic").alias("topic"),
-        F.col("_tokens").alias("n_tokens"),
-        F.col("_p").alias("p"),
-        F.col("_sampled").alias("sampled"),
-    )
+    return with_probability(_table(spark, sf_dir, "documents"))
 
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
