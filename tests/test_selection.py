@@ -225,6 +225,20 @@ def test_ordered_dedup_keeps_the_same_rows(spark, hot):
     assert plan.count("Exchange ") == 4  # the other two are the fixture's own
 
 
+@settings(max_examples=10, deadline=None)
+@given(rows=st.lists(st.tuples(st.none() | st.integers(0, 4), st.sampled_from("abc")), max_size=40))
+def test_dedup_of_repeated_and_missing_order(spark, rows):
+    frame = spark.createDataFrame(rows, "seq bigint, key string").repartition(3)
+    first = {}
+    for seq, key in rows:
+        known = first.get(key)
+        first[key] = seq if known is None else known if seq is None else min(known, seq)
+    in_order = [(row.seq, row.key) for row in keep_first_in_order(frame).collect()]
+    assert sorted(in_order, key=str) == sorted(((s, k) for k, s in first.items()), key=str)
+    assert in_order == sorted(in_order, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    assert sorted(row.key for row in keep_first(frame).collect()) == sorted(first)
+
+
 def test_first_kept_grows_its_head(spark):
     rows = spark.range(20_000).select(
         F.col("id").alias("seq"), F.greatest(F.col("id"), F.lit(15_000)).alias("key")

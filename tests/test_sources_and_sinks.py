@@ -117,7 +117,9 @@ def test_prepared_dataset(spark, tmp_path, dedup, in_order):
     assert (written if in_order else sorted(written, key=by_id)) == expected
     assert list(written[0]) == ["instruction", "input", "output", "system", "history",
                                 "source_id"]
-    assert _lines(f"{tmp_path}/demo/cleaned") == expected[:50]
+    assert result.demo == f"{tmp_path}/demo/cleaned_demo"
+    assert _lines(result.demo) == expected[:50]
+    assert result.selected is None
 
     kept = 416 if dedup else 453
     assert result.counts["kept_rows"] == kept == len(written)
@@ -129,12 +131,39 @@ def test_prepared_dataset(spark, tmp_path, dedup, in_order):
         "dropped_length": 16, "dropped_char_run": 10, "dropped_repetition": 21,
         "dropped_dedup": 453 - kept, "dropped_other": 0,
     }
-    manifest = {"cleaned": {"file_name": "cleaned", "columns": {
-        "prompt": "instruction", "query": "input", "response": "output", "system": "system",
-        "history": "history"}}}
-    for folder in ("data", "demo"):
+    columns = {"prompt": "instruction", "query": "input", "response": "output",
+               "system": "system", "history": "history"}
+    for folder, name in (("data", "cleaned"), ("demo", "cleaned_demo")):
         info = Path(tmp_path, folder, "dataset_info.json").read_text("utf-8")
-        assert json.loads(info) == manifest
+        assert json.loads(info) == {"cleaned": {"file_name": name, "columns": columns}}
+
+
+def test_demo_and_dataset_share_a_folder(spark, tmp_path):
+    pairs = fixtures.document_pairs(spark, MIDDLE)
+    result = prepare_dataset(
+        pairs, str(tmp_path), "x", sampling=Sampling(hash_prob=1.0), dedup=True,
+        demo_dir=f"{tmp_path}/", demo_rows=50, keep_selected=True,
+    )
+    assert len(_lines(result.dataset)) == result.counts["kept_rows"]
+    assert _lines(result.demo) == _lines(result.dataset)[:50]
+    assert spark.read.parquet(result.selected).count() == result.counts["selected_rows"]
+    names = [json.loads(Path(tmp_path, file).read_text("utf-8"))["x"]["file_name"]
+             for file in ("dataset_info.json", "demo_dataset_info.json")]
+    assert names == ["x", "x_demo"]
+
+
+@pytest.mark.parametrize("targets", [
+    {"demo_dir": "{}", "demo_name": "x"},
+    {"stats_path": "{}/x"},
+    {"stats_path": "{}/x/stats"},
+    {"demo_dir": "{}", "demo_name": "d", "stats_path": "{}/d"},
+])
+def test_equal_targets_are_refused_before_anything_is_written(spark, tmp_path, targets):
+    pairs = fixtures.document_pairs(spark, MIDDLE)
+    with pytest.raises(ValueError):
+        prepare_dataset(pairs, str(tmp_path), "x",
+                        **{name: value.format(tmp_path) for name, value in targets.items()})
+    assert list(tmp_path.iterdir()) == []
 
 
 def test_plain_run_writes_no_table_between(spark, tmp_path):

@@ -13,7 +13,7 @@ def keep_first(selected: DataFrame, key: str = "key", order: str = "seq") -> Dat
 
     Spark puts a group limit in front of the shuffle, so a map task sends one
     row per key: a key that fills a third of the table arrives as one row per
-    map task. ``order`` must be unique within a key for a defined survivor.
+    map task. Of rows equal in both, any one is kept.
     """
     by_key = Window.partitionBy(key).orderBy(order)
     return (
@@ -24,25 +24,28 @@ def keep_first(selected: DataFrame, key: str = "key", order: str = "seq") -> Dat
 
 
 def keep_first_in_order(selected: DataFrame, key: str = "key", order: str = "seq") -> DataFrame:
-    """Same rows as ``keep_first``, sorted by ``order``, for one shuffle of whole rows.
+    """One row of each ``key``, that of its lowest ``order``, sorted, for one shuffle of rows.
 
     Deduplicating and then sorting would shuffle the texts twice. Here the first
     ``order`` of each key comes from an aggregation of these two columns, which
-    combines copies before its shuffle. One range shuffle by ``order`` then
-    brings rows and survivors together and sorts the result. ``order`` must be
-    unique, so no task gets more than its share even if all keys are equal.
+    combines copies before its shuffle. One range shuffle by both then brings
+    rows and survivors together, so a repeated ``order`` does not gather in one
+    task and may belong to several keys; of rows equal in both, one is kept.
+    A NULL ``order`` counts only for a key that has no other.
     ``selected`` is read twice and should be a written table.
     """
-    survivors = selected.groupBy(key).agg(F.min(order).alias(order)).select(order)
+    survivors = selected.groupBy(key).agg(F.min(order).alias(order))
     marked = selected.withColumn("_survivor", F.lit(False)).unionByName(
         survivors.withColumn("_survivor", F.lit(True)), allowMissingColumns=True
     )
-    by_row = Window.partitionBy(order)
+    same = Window.partitionBy(order, key)
     return (
-        marked.repartitionByRange(order)
-        .withColumn("_survives", F.max("_survivor").over(by_row))
-        .where(F.col("_survives") & ~F.col("_survivor"))
-        .drop("_survives", "_survivor")
+        marked.repartitionByRange(order, key)
+        .withColumn("_survives", F.max("_survivor").over(same))
+        .withColumn("_copy", F.row_number().over(same.orderBy("_survivor")))
+        .where(F.col("_survives") & ~F.col("_survivor") & (F.col("_copy") == 1))
+        .sortWithinPartitions(order, key)
+        .drop("_survives", "_survivor", "_copy")
     )
 
 

@@ -14,8 +14,13 @@ from winnower.functions.records import instruction_records
 from winnower.operators.dedup import first_kept, keep_first, keep_first_in_order
 from winnower.operators.selection import select_rows
 from winnower.operators.tally import stats_report
-from winnower.sinks.dataset import write_records, write_stats
-from winnower.storage import shared_folder
+from winnower.sinks.dataset import (
+    DEMO_MANIFEST_FILE,
+    MANIFEST_FILE,
+    write_records,
+    write_stats,
+)
+from winnower.storage import remove_folder, shared_folder
 
 
 def clean_records(
@@ -33,10 +38,11 @@ def clean_records(
 
 @dataclass(frozen=True)
 class Prepared:
-    """What a run wrote: counters, the dataset and, if there was one, the table between."""
+    """What a run wrote: counters, the dataset, the demo, and the table between if it was kept."""
 
     counts: dict[str, int]
     dataset: str
+    demo: str | None
     selected: str | None
 
 
@@ -45,6 +51,15 @@ def _counts_row(spark: SparkSession, counts: dict[str, int]) -> DataFrame:
     return spark.createDataFrame([tuple(counts.values())], schema)
 
 
+def _checked_targets(**targets: str | None) -> None:
+    """Refuse targets of which one would overwrite another."""
+    named = {name: path.rstrip("/") for name, path in targets.items() if path}
+    for name, path in named.items():
+        for other, inner in named.items():
+            if name != other and f"{inner}/".startswith(f"{path}/"):
+                raise ValueError(f"{name} and {other} would both be written to {path}")
+
+
 def prepare_dataset(
     pairs: DataFrame,
     dataset_dir: str,
@@ -58,6 +73,8 @@ def prepare_dataset(
     demo_dir: str | None = None,
     demo_rows: int = fixed.DEMO_ROWS,
     source_revision: str = fixed.SOURCE_REVISION,
+    demo_name: str | None = None,
+    keep_selected: bool = False,
 ) -> Prepared:
     """Clean, sample, deduplicate and write; the source is read once.
 
@@ -65,9 +82,19 @@ def prepare_dataset(
     table in the shared folder first. An executor lost later then costs a
     re-read of that table, not another pass of regexes over the source; and the
     counters are observed in tasks that write output, whose updates Spark
-    applies exactly once, so retries cannot inflate them.
+    applies exactly once, so retries cannot inflate them. That table is removed
+    at the end unless ``keep_selected``.
+
+    The demo is ``<demo_dir>/<demo_name>``, by default the dataset's name and
+    ``_demo``, with a manifest of its own, so it may share the dataset's folder.
     """
     spark = pairs.sparkSession
+    demo_name = demo_name or f"{dataset_name}_demo"
+    _checked_targets(
+        dataset=f"{dataset_dir.rstrip('/')}/{dataset_name}",
+        demo=demo_dir and f"{demo_dir.rstrip('/')}/{demo_name}",
+        stats=stats_path,
+    )
     selection = Observation()
     selected = select_rows(pairs, rules, sampling, selection)
     staged = None
@@ -79,12 +106,12 @@ def prepare_dataset(
         kept = keep_first_in_order(selected) if ordered else keep_first(selected)
     else:
         kept = selected.orderBy("seq") if ordered else selected
+    written = Observation()
+    kept = kept.observe(written, F.count(F.lit(1)).alias("kept_rows"))
     dataset = write_records(instruction_records(kept, null_as), dataset_dir, dataset_name)
 
     counts = {name: int(value) for name, value in selection.get.items()}
-    counts["kept_rows"] = counts["selected_rows"]
-    if dedup:
-        counts["kept_rows"] = selected.agg(F.count_distinct("key")).first()[0]
+    counts["kept_rows"] = int(written.get.get("kept_rows", 0))
     counts["dropped_dedup"] = counts["selected_rows"] - counts["kept_rows"]
 
     if stats_path:
@@ -92,10 +119,21 @@ def prepare_dataset(
             _counts_row(spark, counts), rules, sampling.source_rows, source_revision
         )
         write_stats(report, stats_path)
+    demo = None
     if demo_dir:
         if dedup:
             head = first_kept(selected, demo_rows)
         else:
             head = selected.orderBy("seq").limit(demo_rows)
-        write_records(instruction_records(head, null_as), demo_dir, dataset_name)
-    return Prepared(counts, dataset, staged)
+        same_folder = demo_dir.rstrip("/") == dataset_dir.rstrip("/")
+        demo = write_records(
+            instruction_records(head, null_as),
+            demo_dir,
+            dataset_name,
+            demo_name,
+            DEMO_MANIFEST_FILE if same_folder else MANIFEST_FILE,
+        )
+    if staged and not keep_selected:
+        remove_folder(spark, staged)
+        staged = None
+    return Prepared(counts, dataset, demo, staged)

@@ -42,6 +42,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return system.exists(target)
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    target, system = _hadoop_path(spark, path)
+    system.delete(target, True)
+
+
 def write_small_json(spark: SparkSession, path: str, content: dict) -> None:
     """Write one small JSON file of fixed name, on any file system Spark knows."""
     target, system = _hadoop_path(spark, path)
