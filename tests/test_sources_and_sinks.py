@@ -1,8 +1,10 @@
 from __future__ import annotations
 
 import json
+import re
 from pathlib import Path
 
+import pandas
 import pytest
 from pyspark import TaskContext
 from pyspark.sql import Observation
@@ -10,6 +12,7 @@ from pyspark.sql import functions as F
 
 from winnower import fixtures
 from winnower.config import CleaningRules, Sampling
+from winnower.functions.text import literal_field, text_field
 from winnower.operators.cleaning import label_rows
 from winnower.operators.selection import select_rows
 from winnower.plans.prepare import clean_records, prepare_dataset
@@ -47,44 +50,74 @@ def test_first_rows(spark, many_files, rows):
 def test_first_rows_read_the_leading_files_only(spark, many_files):
     scan = spark.read.parquet(*many_files)
     path = F.col("_metadata.file_path")
-    files = ordered._listed_files(scan)
+    files = ordered._listed_files(spark, many_files)
     assert files == sorted(row[0] for row in scan.select(path).distinct().collect())
     head, taken = ordered._head(scan, files, 50)
     assert taken == files[:16]
     assert {row[0] for row in head.select(path).distinct().collect()} == set(taken)
-    assert scan.where(path < files[0]).rdd.getNumPartitions() == 0  # pruned while planning
+    assert scan.where(path.isin(files[:1])).rdd.getNumPartitions() == 1  # pruned while planning
     assert ordered._head(scan, files, 1_000)[1] == files
 
 
 def test_file_offsets_go_through_small_groups(spark, many_files):
     scan = spark.read.parquet(*many_files)
-    plan = ordered._file_offsets(scan, ordered._listed_files(scan)).select("_file", "_offset")
+    plan = ordered._file_offsets(scan, ordered._listed_files(spark, many_files))
     assert plan.count() == 40
-    assert [row._offset for row in plan.orderBy("_file").limit(3).collect()] == [0, 1, 3]
+    assert [row._offset for row in plan.orderBy("_offset").limit(3).collect()] == [0, 1, 3]
 
 
-def test_offsets_without_a_broadcast(spark, many_files, monkeypatch):
-    monkeypatch.setattr(ordered, "BROADCAST_LIMIT_BYTES", 0)
-    frame = read_ordered(spark, many_files, ["n"])
-    assert frame.where("seq = n").count() == 1_000
+def test_names_with_numbers_of_unlike_length(spark, tmp_path):
+    for n, name in enumerate(["part-9", "part-99999", "part-100000", "part-100001-a2", "x"]):
+        part = tmp_path / "parts" / f"{name}.parquet"
+        part.parent.mkdir(exist_ok=True)
+        pandas.DataFrame({"n": [2 * n, 2 * n + 1]}).to_parquet(part)
+    rows = read_ordered(spark, f"{tmp_path}/parts").orderBy("seq").collect()
+    assert [tuple(row) for row in rows] == [(n, n) for n in range(10)]
+    given = [f"{tmp_path}/parts/part-99999.parquet", f"{tmp_path}/parts/part-9.parquet"]
+    assert [row.n for row in read_ordered(spark, given).orderBy("seq").collect()] == [2, 3, 0, 1]
+    assert [row.n for row in read_first(spark, given, 3).orderBy("seq").collect()] == [2, 3, 0]
+
+
+def test_no_exchange_carries_the_rows(spark, many_files):
+    plan = read_ordered(spark, many_files)._jdf.queryExecution().executedPlan().toString()
+    for exchange in re.findall(r"(?:Broadcast)?Exchange .*\n.*", plan):
+        assert "other" not in exchange
+    assert "SortMergeJoin" not in plan
 
 
 def test_json_source_with_broken_records(spark, tmp_path):
     good = {"seq": 1, "question": "a question here", "response": "a response long enough",
             "id": 9}
     lines = [json.dumps(good), '{"seq": 2, "question": "a qu', "nonsense",
-             json.dumps({**good, "seq": 3, "response": None})]
+             json.dumps({**good, "seq": 3, "response": None}), json.dumps([good]),
+             json.dumps({**good, "seq": None}), json.dumps({**good, "seq": "no number"})]
     (tmp_path / "pairs.jsonl").write_text("\n".join(lines))
     pairs = read_json_pairs(spark, str(tmp_path))
     reasons = sorted(row.drop_reason for row in label_rows(pairs).collect())
-    assert reasons == ["empty", "other", "other", "valid"]
+    assert reasons == ["empty"] + 5 * ["other"] + ["valid"]
     seen = Observation()
     selected = select_rows(pairs, sampling=Sampling(hash_prob=1.0), observation=seen)
     assert [row.id for row in selected.collect()] == ["9"]
-    assert (seen.get["dropped_other"], seen.get["selected_rows"]) == (2, 1)
+    assert (seen.get["dropped_other"], seen.get["selected_rows"]) == (5, 1)
     assert "_corrupt_record" not in selected.columns
 
 
+@pytest.mark.parametrize(("value", "text", "literal"), [
+    (0, "", "0"), (0.0, "", "0.0"), (7, "7", "7"), (1.5, "1.5", "1.5"), (False, "", "False"),
+    (True, "True", "True"), (None, "", "None"), ("0", "0", "0"), ("", "", ""), ("null", "null", "null"),
+    (-12345678901234567890, "-12345678901234567890", "-12345678901234567890"), (..., "", ""),
+])
+def test_json_values_become_text(spark, tmp_path, value, text, literal):
+    fields = ("question", "response", "system_prompt", "id")
+    record = {"seq": 1} | ({} if value is ... else dict.fromkeys(fields, value))
+    (tmp_path / "pairs.jsonl").write_text(json.dumps(record))
+    pairs = read_json_pairs(spark, str(tmp_path))
+    rows = pairs.select(text_field(pairs, "question"), text_field(pairs, "response"))
+    assert tuple(rows.first()) == (text, text)
+    rows = pairs.select(literal_field(pairs, "system_prompt"), literal_field(pairs, "id"))
+    assert tuple(rows.first()) == (literal, literal)
+
+
 def test_spread(spark):
     one = spark.read.parquet(f"{MIDDLE}/documents.parquet")
     assert one.rdd.getNumPartitions() == 1

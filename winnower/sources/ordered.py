@@ -1,8 +1,9 @@
 """Parquet scans with a dense row number in stored order.
 
 Spark does not promise any row order, so "the first N rows" needs a number per
-row: the position inside its file plus the rows of all files before it, files
-taken by path.
+row: the position inside its file plus the rows of all files before it. Files
+are taken by folder and then by the numbers in their names, since a job of more
+than 100,000 tasks writes names of unlike lengths.
 """
 
 from __future__ import annotations
@@ -10,45 +11,60 @@ from __future__ import annotations
 import math
 import re
 
+import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-# Largest table of file offsets to broadcast, estimated from the listed paths;
-# beyond it the offsets are joined by a shuffle.
-BROADCAST_LIMIT_BYTES = 256 * 2**20
-_ROW_OVERHEAD_BYTES = 64
-
+_SPARK_HASH_SEED = 42
 _FIRST_HEAD_FILES = 16
 _HEAD_GROWTH = 8
 
 
-def _listed_files(scan: DataFrame) -> list[str]:
-    """Paths of the scan in order, as Spark's own file index on the driver holds them.
+def _stored_order(path: str) -> tuple:
+    """Sort key of a path: its folder, then the name with numbers as numbers."""
+    folder, _, name = path.rpartition("/")
+    parts = re.split(r"(\d+)", name)
+    return folder, [int(part) if i % 2 else part for i, part in enumerate(parts)], name
+
+
+def _listed_files(spark: SparkSession, paths: list[str]) -> list[str]:
+    """Files of the given paths in order, as Spark's own file index on the driver holds them.
 
     Local paths are listed as ``file:///x`` but appear as ``file:/x`` in the
-    metadata of a row.
+    metadata of a row. Several paths keep the order in which they were given.
     """
-    return sorted(re.sub(r"^(\w+):///", r"\1:/", path) for path in scan.inputFiles())
+    files: list[str] = []
+    for path in paths:
+        listed = spark.read.parquet(path).inputFiles()
+        files += sorted((re.sub(r"^(\w+):///", r"\1:/", file) for file in listed), key=_stored_order)
+    return list(dict.fromkeys(files))
+
+
+def _path_hash(path: str) -> int:
+    """Spark's xxhash64 of a path."""
+    unsigned = xxhash.xxh64_intdigest(path, seed=_SPARK_HASH_SEED)
+    return unsigned - (1 << 64) if unsigned >> 63 else unsigned
 
 
 def _file_offsets(scan: DataFrame, files: list[str]) -> DataFrame:
-    """Rows before each file, as ``(_file, _offset)``.
+    """Rows before each file, as ``(_file, _offset)``: 16 bytes for each file.
 
-    Counting reads the parquet footers only, many per task. The running sum goes
-    through groups of about sqrt(files) neighbouring files, so that neither step
-    ever sorts all files in one task.
+    Files are known by a 64-bit hash of their path. Counting reads the parquet
+    footers only. The running sum goes through groups of about sqrt(files)
+    neighbouring files, so that neither step ever sorts all files in one task.
     """
-    group_starts = files[:: math.isqrt(len(files)) + 1]
-    cores = scan.sparkSession.sparkContext.defaultParallelism
+    hashes = [_path_hash(file) for file in files]
+    if len(set(hashes)) < len(files):
+        raise ValueError("two files of the source have paths of equal hash")
+    places = scan.sparkSession.createDataFrame(
+        list(zip(hashes, range(len(files)), strict=True)), "_file long, _place long"
+    )
     counts = (
-        scan.select(F.col("_metadata.file_path").alias("_file"))
-        .coalesce(cores)
+        scan.select(F.xxhash64("_metadata.file_path").alias("_file"))
         .groupBy("_file")
         .agg(F.count(F.lit(1)).alias("_rows"))
-        .withColumn(
-            "_group",
-            F.size(F.filter(F.lit(group_starts), lambda start: start <= F.col("_file"))),
-        )
+        .join(F.broadcast(places), "_file")
+        .withColumn("_group", F.floor(F.col("_place") / (math.isqrt(len(files)) + 1)))
     )
     earlier = (Window.unboundedPreceding, -1)
     group_offsets = (
@@ -61,7 +77,7 @@ def _file_offsets(scan: DataFrame, files: list[str]) -> DataFrame:
             .alias("_group_offset"),
         )
     )
-    in_group = Window.partitionBy("_group").orderBy("_file").rowsBetween(*earlier)
+    in_group = Window.partitionBy("_group").orderBy("_place").rowsBetween(*earlier)
     return (
         counts.withColumn("_within", F.coalesce(F.sum("_rows").over(in_group), F.lit(0)))
         .join(F.broadcast(group_offsets), "_group")
@@ -72,16 +88,16 @@ def _file_offsets(scan: DataFrame, files: list[str]) -> DataFrame:
 
 
 def _numbered(scan: DataFrame, files: list[str], columns: list[str]) -> DataFrame:
-    offsets = _file_offsets(scan, files)
-    if sum(len(path) + _ROW_OVERHEAD_BYTES for path in files) <= BROADCAST_LIMIT_BYTES:
-        offsets = F.broadcast(offsets)
+    """Rows with ``seq``. The offsets are broadcast, so no row of the source is shuffled."""
     rows = scan.select(
-        F.col("_metadata.file_path").alias("_file"),
+        F.xxhash64("_metadata.file_path").alias("_file"),
         F.col("_metadata.row_index").alias("_position"),
         *columns,
     )
-    return rows.join(offsets, "_file").select(
-        (F.col("_offset") + F.col("_position")).alias("seq"), *columns
+    unlisted = F.raise_error(F.lit("a file of the scan is not among the listed ones"))
+    before = F.coalesce(F.col("_offset"), unlisted.cast("long"))
+    return rows.join(F.broadcast(_file_offsets(scan, files)), "_file", "left").select(
+        (before + F.col("_position")).alias("seq"), *columns
     )
 
 
@@ -89,8 +105,9 @@ def read_ordered(
     spark: SparkSession, path: str | list[str], columns: list[str] | None = None
 ) -> DataFrame:
     """Parquet rows with ``seq``, the row number in stored order from 0."""
-    scan = spark.read.parquet(*([path] if isinstance(path, str) else path))
-    return _numbered(scan, _listed_files(scan), columns or scan.columns)
+    paths = [path] if isinstance(path, str) else path
+    scan = spark.read.parquet(*paths)
+    return _numbered(scan, _listed_files(spark, paths), columns or scan.columns)
 
 
 def _head(scan: DataFrame, files: list[str], rows: int) -> tuple[DataFrame, list[str]]:
@@ -101,7 +118,7 @@ def _head(scan: DataFrame, files: list[str], rows: int) -> tuple[DataFrame, list
     """
     taken = _FIRST_HEAD_FILES
     while taken < len(files):
-        head = scan.where(F.col("_metadata.file_path") <= files[taken - 1])
+        head = scan.where(F.col("_metadata.file_path").isin(files[:taken]))
         if head.count() >= rows:
             return head, files[:taken]
         taken *= _HEAD_GROWTH
@@ -115,6 +132,7 @@ def read_first(
     columns: list[str] | None = None,
 ) -> DataFrame:
     """First ``rows`` rows in stored order, with ``seq``, read from leading files only."""
-    scan = spark.read.parquet(*([path] if isinstance(path, str) else path))
-    head, files = _head(scan, _listed_files(scan), rows)
+    paths = [path] if isinstance(path, str) else path
+    scan = spark.read.parquet(*paths)
+    head, files = _head(scan, _listed_files(spark, paths), rows)
     return _numbered(head, files, columns or scan.columns).where(F.col("seq") < rows)

@@ -14,6 +14,7 @@ from winnower.functions.records import instruction_records
 from winnower.operators.selection import select_rows
 
 PROGRESS_NAME = "selection"
+KEPT_NAME = "kept"
 
 _STORE = "spark.sql.streaming.stateStore.providerClass"
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -39,14 +40,15 @@ def stream_select(
     most ``salts`` rows per key. It costs a second, equally large state.
     """
     selected = select_rows(pairs, rules, sampling, PROGRESS_NAME)
+    kept = F.count(F.lit(1)).alias("kept_rows")
     if not dedup:
-        return selected
+        return selected.observe(KEPT_NAME, kept)
     if salt_column:
         salt = F.pmod(F.xxhash64(salt_column), F.lit(salts))
         selected = (
             selected.withColumn("_salt", salt).dropDuplicates(["key", "_salt"]).drop("_salt")
         )
-    return selected.dropDuplicates(["key"])
+    return selected.dropDuplicates(["key"]).observe(KEPT_NAME, kept)
 
 
 @contextmanager
@@ -77,8 +79,10 @@ def start_clean_stream(
 ) -> StreamingQuery:
     """Append the records of everything available to JSON Lines, then stop.
 
-    Set ``tasks`` if a trigger brings fewer files than the cluster has cores;
-    the rows are then spread over that many tasks before the work on them.
+    Bound what a trigger takes by ``maxFilesPerTrigger`` or ``maxBytesPerTrigger``
+    of the source. Nothing is shuffled before rows are selected, unless ``tasks``
+    is set: for a source of few large pieces the rows are then spread over that
+    many tasks before the work on them.
     """
     spread = pairs.repartition(tasks) if tasks else pairs
     selected = stream_select(spread, rules, sampling, dedup, salt_column)
@@ -97,29 +101,52 @@ def start_clean_stream(
 class ProgressLog:
     """Running counters of a stream, the minutes spent and the latest rows per second.
 
-    Spark keeps the progress of the latest triggers (100 unless configured), so
-    ``update`` must be called more often than that. The counters are for
-    watching: Spark may count a row again if it repeats a task before a shuffle.
+    Spark keeps the progress of the latest triggers only (100 unless configured).
+    ``update`` raises if triggers went by unseen rather than lose their counts;
+    call it more often, or have Spark keep more. The counters are for watching:
+    Spark may count a row again if it repeats a task before a shuffle.
     """
 
-    def __init__(self, query: StreamingQuery) -> None:
+    def __init__(self, query: StreamingQuery, sampling: Sampling = Sampling()) -> None:
         self._query = query
-        self._latest_batch = -1
+        self._latest_batch: int | None = None
+        self.p = round(sampling.probability, 6)
         self.counts: dict[str, int] = {}
+        self.triggers = 0
         self.elapsed_min = 0.0
         self.rows_per_sec: float | None = None
 
+    def _add(self, counts: dict[str, int]) -> None:
+        for name, value in counts.items():
+            self.counts[name] = self.counts.get(name, 0) + value
+
     def update(self) -> None:
         """Add the triggers that finished since the last call."""
         for progress in self._query.recentProgress:
-            observed = progress.observedMetrics.get(PROGRESS_NAME)
-            if observed is None or progress.batchId <= self._latest_batch:
+            number, latest = progress.batchId, self._latest_batch
+            if latest is not None and number <= latest:
                 continue
-            for name, value in observed.asDict().items():
-                self.counts[name] = self.counts.get(name, 0) + value
+            if latest is not None and number > latest + 1:
+                raise RuntimeError(f"triggers {latest + 1} to {number - 1} were not seen")
+            self._latest_batch = number
             self.elapsed_min += progress.batchDuration / 60_000
+            observed = progress.observedMetrics
+            if PROGRESS_NAME not in observed:
+                continue
+            self._add(observed[PROGRESS_NAME].asDict())
+            self._add(observed[KEPT_NAME].asDict())
+            self.triggers += 1
+            self.counts["dropped_dedup"] = self.counts["selected_rows"] - self.counts["kept_rows"]
             self.rows_per_sec = progress.processedRowsPerSecond
-            self._latest_batch = progress.batchId
+
+    def report(self) -> dict[str, float | int | None]:
+        """The counters with the probability of selection and the pace."""
+        pace = self.rows_per_sec
+        return self.counts | {
+            "p": self.p,
+            "elapsed_min": round(self.elapsed_min, 2),
+            "rows_per_sec": None if pace is None else round(pace, 2),
+        }
 
     def follow(self, every_sec: int = 10) -> None:
         """Update until the stream ends."""
