@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import csv
 import json
+import math
 from pathlib import Path
 
 import pytest
@@ -91,6 +92,9 @@ EXPECTED = [
 ]
 
 
+CORRUPT = ["base_corrupt", "sft_corrupt"]
+
+
 def _csv_rows(folder):
     files = sorted(Path(folder).glob("part-*.csv"))
     return [row for file in files for row in csv.DictReader(file.open(encoding="utf-8"))]
@@ -103,7 +107,7 @@ def _number(text):
 def test_two_runs_from_files(spark, runs, tmp_path):
     comparison = summarise_two(spark, str(runs / "base"), str(runs / "tuned +1"),
                                f"{tmp_path}/out.csv", f"{tmp_path}/out.md")
-    rows = comparison.orderBy("pos").drop("pos").collect()
+    rows = comparison.orderBy("pos").drop("pos", *CORRUPT).collect()
     assert [tuple(row) for row in rows] == EXPECTED
     assert [
         (row["task"], int(row["fewshot"]), row["metric"] or None,
@@ -134,9 +138,9 @@ def test_many_runs_equal_two_runs(spark, runs, tmp_path):
     results = read_results(spark, str(runs))
     assert {row.run for row in results.select("run").distinct().collect()} == {"base", "tuned +1"}
     scores = resolve_scores(results)
-    many = compare_many(scores, "base").orderBy("run", "pos").drop("pos").collect()
+    many = compare_many(scores, "base").orderBy("run", "pos").drop("pos", *CORRUPT).collect()
     assert [tuple(row) for row in many] == [("tuned +1", *row) for row in EXPECTED]
-    two = compare_runs(spark, scores, "base", "tuned +1").orderBy("pos").drop("pos").collect()
+    two = compare_runs(scores, "base", "tuned +1").orderBy("pos").drop("pos", *CORRUPT).collect()
     assert [tuple(row) for row in two] == EXPECTED
     summarise_many(spark, str(runs), "base", f"{tmp_path}/many.csv")
     assert [row["run"] for row in _csv_rows(f"{tmp_path}/many.csv")] == ["tuned +1"] * 8
@@ -148,7 +152,7 @@ def test_names_with_quotes(spark):
     results = spark.createDataFrame([("r", name, 2, text), ("b", name, 2, text)], RESULTS)
     scores = resolve_scores(results, {name: [metric]})
     for comparison in (compare_many(scores, "b", [(name, 2)]),
-                       compare_runs(spark, scores, "b", "r", [(name, 2)])):
+                       compare_runs(scores, "b", "r", [(name, 2)])):
         row = comparison.first()
         assert (row.task, row.metric, row.sft_score, row.delta) == (name, metric, 0.5, 0.0)
 
@@ -167,3 +171,21 @@ def test_rounding_to_four_decimals(spark):
     texts = [row.t for row in frame.select("n", score_text(F.col("s")).alias("t"))
              .orderBy("n").collect()]
     assert texts == ["" if s is None else f"{s:.4f}" for s in scores]
+
+
+@pytest.mark.parametrize(("block", "metric", "score", "corrupt"), [
+    ('{"acc":NaN,"x":0.5}', "acc", math.nan, False),
+    ('{"x":0.25,"acc_stderr":NaN}', "x", 0.25, False),
+    ('{"acc":1e400}', "acc", math.inf, False),
+    ('{"acc":-Infinity,"x":1}', "acc", -math.inf, False),
+    ('{"acc":"NaN","x":1}', "x", 1.0, False),
+    ('{"acc":0.5', None, None, True),
+])
+def test_numbers_that_json_does_not_hold(spark, block, metric, score, corrupt):
+    value = f'{{"results":{{"boolq":{block}}}}}' if not corrupt else f'{{"results":{block}'
+    rows = spark.createDataFrame([("r", "boolq", 0, value)],
+                                 "run string, task string, fewshot int, value string")
+    row = resolve_scores(rows).first()
+    assert (row.metric, repr(row.score), row.corrupt) == (metric, repr(score), corrupt)
+    two = compare_runs(resolve_scores(rows), "r", "other").where("task = 'boolq'").first()
+    assert (two.base_corrupt, two.sft_corrupt) == (corrupt, False)

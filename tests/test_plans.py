@@ -6,16 +6,18 @@ import re
 
 import pytest
 
-import __spark_entry__ as contract
 from winnower import fixtures
 from winnower.operators.cleaning import label_rows
-from winnower.operators.compare import compare_many, resolve_scores
+from winnower.operators.compare import compare_many, compare_runs, resolve_scores, run_scores
 from winnower.operators.tally import drop_waterfall
 from winnower.plans.prepare import clean_records
+from winnower.queries import QUERIES
+from winnower.streaming.clean import stream_select
 
 MIDDLE = "/root/testdata/sf0.01"
 WRITING = {"bad_records", "jsonl_roundtrip", "metric_csv", "stream_clean", "stats_roundtrip",
-           "stream_progress", "result_files", "dedup_in_order"}
+           "stream_progress", "result_files", "dedup_in_order", "demo_dataset", "manifest",
+           "written_order", "prepare_first_n", "source_scan_many_files"}
 
 
 def plan_of(spark, frame):
@@ -31,9 +33,9 @@ def whole_plans(spark):
     spark.conf.unset("spark.sql.debug.maxToStringFields")
 
 
-@pytest.mark.parametrize("name", sorted(set(contract.queries()) - WRITING))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - WRITING))
 def test_no_python_and_no_all_pairs(spark, name):
-    plan = plan_of(spark, contract.queries()[name](spark, MIDDLE))
+    plan = plan_of(spark, QUERIES[name](spark, MIDDLE))
     assert not re.search(r"Python|Pandas|Arrow|CartesianProduct|NestedLoop", plan)
 
 
@@ -44,7 +46,7 @@ def test_no_python_and_no_all_pairs(spark, name):
      ("cleaning_stats", 2)],
 )
 def test_each_text_is_normalised_once(spark, name, times):
-    plan = plan_of(spark, contract.queries()[name](spark, MIDDLE))
+    plan = plan_of(spark, QUERIES[name](spark, MIDDLE))
     assert plan.count("regexp_replace") == times
 
 
@@ -63,10 +65,27 @@ def test_one_shuffle_of_what_is_kept(spark):
     assert plan.count("WindowGroupLimit") == 2
 
 
-def test_many_runs_shuffle_narrow_partial_results(spark, tmp_path):
+def test_comparisons_read_the_results_once(spark, tmp_path):
     fixtures.evaluation_results(spark, MIDDLE).write.parquet(f"{tmp_path}/results")
     scores = resolve_scores(spark.read.parquet(f"{tmp_path}/results"))
+    for frame, aggregates in ((compare_runs(scores, "src0", "src1"), 16), (run_scores(scores), 8)):
+        plan = plan_of(spark, frame)
+        assert plan.count("FileScan") == plan.count("Exchange ") == 1
+        assert plan.count("partial_max") == aggregates
     plan = plan_of(spark, compare_many(scores, "src0"))
-    assert "SortMergeJoin" not in plan
-    assert plan.count("Exchange hashpartitioning(run") == 2  # candidates, and one baseline run
-    assert plan.count("partial_max") == 16
+    assert "SortMergeJoin" not in plan and "partial_max" not in plan
+
+
+def test_a_stream_shuffles_selected_rows_only(spark, tmp_path):
+    fixtures.document_pairs(spark, MIDDLE).write.parquet(f"{tmp_path}/pairs")
+    schema = spark.read.parquet(f"{tmp_path}/pairs").schema
+    stream = spark.readStream.schema(schema).parquet(f"{tmp_path}/pairs")
+    query = (
+        stream_select(stream, dedup=True, salt_column="seq").writeStream.format("noop")
+        .option("checkpointLocation", f"{tmp_path}/state").trigger(availableNow=True).start()
+    )
+    assert query.awaitTermination(120)
+    plan = query._jsq.explainInternal(False) if hasattr(query._jsq, "explainInternal") else ""
+    below = plan.split("Exchange hashpartitioning(key")[-1]
+    assert "Exchange" in plan and "Exchange" not in below
+    assert "decision" in below and "Filter" in below

@@ -53,3 +53,9 @@ PREFERRED_METRICS = {
     "piqa": ["acc,none", "acc"],
     "boolq": ["acc,none", "acc"],
 }
+
+# The two header lines of a Markdown comparison.
+MARKDOWN_HEADER = [
+    "| task | fewshot | metric | base | sft | delta |",
+    "|---|---:|---|---:|---:|---:|",
+]

@@ -10,6 +10,8 @@ from winnower import fixed_values as fixed
 # JSON types that count as a number; true and false do, text never does.
 _NUMERIC_VARIANT = r"^(BIGINT|DOUBLE|BOOLEAN|DECIMAL\(.*)$"
 _METRICS_TYPE = "map<string,variant>"
+# Numbers that a variant does not hold: not finite, or beyond a double.
+_BARE_NUMBER = r"\s*:\s*-?(?:NaN|Infinity|[0-9][0-9.eE+-]*)\s*[,}]"
 
 
 def quoted(text: str) -> str:
@@ -36,24 +38,36 @@ def best_metric(
     metrics: Column,
     task: Column,
     preferences: dict[str, list[str]] = fixed.PREFERRED_METRICS,
+    text: Column | None = None,
+    source: Column | None = None,
 ) -> Column:
     """Best of a map of metrics in file order, with ``metric`` and ``score``.
 
     The first preferred name with a numeric value wins, else the first numeric
     value in file order; NULL if there is none. Works on the row alone: nothing
     is exploded, so any number of files needs no shuffle.
+
+    ``text`` is the JSON text of the metrics, from which NaN, infinities and
+    overflowing numbers are read, which a variant cannot hold; ``source`` is the
+    text of the whole file, which tells them from quoted ones.
     """
+    written = None if text is None else F.from_json(text, "map<string,string>")
     names = F.try_element_at(_preference_map(preferences), task)
 
     def candidate(name: Column, position: Column) -> Column:
         value = _last_value(metrics, name)
         preferred = F.nullif(F.array_position(names, name), F.lit(0))
         numeric = F.schema_of_variant(value).rlike(_NUMERIC_VARIANT)
+        score = F.when(numeric, F.try_variant_get(value, "$", "double"))
+        if written is not None:
+            bare = F.concat(F.lit('"\\Q'), name, F.lit('\\E"' + _BARE_NUMBER))
+            other = F.when(F.rlike(source, bare), _last_value(written, name).try_cast("double"))
+            score = F.coalesce(score, other)
         return F.struct(
             preferred.isNull().alias("fallback"),
             F.coalesce(preferred, position.cast("bigint")).alias("rank"),
             name.alias("metric"),
-            F.when(numeric, F.try_variant_get(value, "$", "double")).alias("score"),
+            score.alias("score"),
         )
 
     candidates = F.transform(F.array_distinct(F.map_keys(metrics)), candidate)
@@ -72,25 +86,26 @@ def with_best_metric(
     """
     task, value = F.col("task"), F.col("value")
     by_task = F.from_json(value, "results map<string,string>")["results"]
-    block = F.from_json(_last_value(F.col("_by_task"), task), _METRICS_TYPE)
-    whole = F.from_json(F.from_json(value, "results string")["results"], _METRICS_TYPE)
+    block = _last_value(F.col("_by_task"), task)
+    whole = F.from_json(value, "results string")["results"]
+    in_block = F.size(F.from_json("_block", "map<string,string>")) > 0
     return (
         results.withColumn("_by_task", by_task)
         .withColumn("_block", block)
         .withColumn(
-            "_metrics",
-            F.when(F.size("_block") > 0, F.col("_block")).when(
-                F.col("_by_task").isNotNull(), whole
-            ),
+            "_text",
+            F.when(in_block, F.col("_block")).when(F.col("_by_task").isNotNull(), whole),
         )
-        .withColumn("best", best_metric(F.col("_metrics"), task, preferences))
-        .drop("_by_task", "_block", "_metrics")
+        .withColumn("_metrics", F.from_json("_text", _METRICS_TYPE))
+        .withColumn("best", best_metric(F.col("_metrics"), task, preferences, F.col("_text"), value))
+        .drop("_by_task", "_block", "_text", "_metrics")
     )
 
 
 def is_corrupt(value: Column) -> Column:
-    """Whether a result file is not JSON at all."""
-    return F.try_parse_json(value).isNull() & value.isNotNull()
+    """Whether a result file does not parse as JSON, in which NaN and infinities may stand."""
+    unread = F.from_json(value, "map<string,string>").isNull()
+    return unread & F.try_parse_json(value).isNull() & value.isNotNull()
 
 
 def score_text(score: Column) -> Column:

@@ -2,16 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from winnower import fixed_values as fixed
 from winnower.functions.metrics import is_corrupt, quoted, score_text, with_best_metric
-
-MARKDOWN_HEADER = [
-    "| task | fewshot | metric | base | sft | delta |",
-    "|---|---:|---|---:|---:|---:|",
-]
+from winnower.storage import written
 
 
 def _report_rows(tasks: list[tuple[str, int]], *scores: str) -> str:
@@ -42,13 +38,18 @@ def resolve_scores(
     )
 
 
-def _side(scores: DataFrame, name: str) -> DataFrame:
-    return scores.select(
-        "task",
-        "fewshot",
-        F.col("metric").alias(f"_{name}_metric"),
-        F.col("score").alias(f"{name}_score"),
-    )
+def _best_of_run(pos: int, task: str, fewshot: int, alias: str, of_run: str = "true") -> Column:
+    """Aggregate of the one result for a report task; NULL if there is no file."""
+    condition = f"{of_run} and task = {quoted(task)} and fewshot = {fewshot}"
+    return F.expr(f"max(if({condition}, struct(metric, score, corrupt), null)) as {alias}_{pos}")
+
+
+def _side_fields(column: str, name: str) -> list[str]:
+    return [
+        f"{column}_#.metric as _{name}_metric",
+        f"{column}_#.score as {name}_score",
+        f"coalesce({column}_#.corrupt, false) as {name}_corrupt",
+    ]
 
 
 def _reported(joined: DataFrame, *first: str) -> DataFrame:
@@ -63,45 +64,43 @@ def _reported(joined: DataFrame, *first: str) -> DataFrame:
         "base_score",
         "sft_score",
         (F.col("sft_score") - F.col("base_score")).alias("delta"),
+        "base_corrupt",
+        "sft_corrupt",
     )
 
 
-def run_scores(scores: DataFrame, tasks: list[tuple[str, int]] = fixed.TASKS) -> DataFrame:
+def run_scores(
+    scores: DataFrame, tasks: list[tuple[str, int]] = fixed.TASKS, name: str = "sft"
+) -> DataFrame:
     """One row per run and report task, with NULL scores for a missing file.
 
     A fixed set of aggregates per run combines before the shuffle, so neither
     many runs nor a run with many files gathers in one task.
     """
-
-    best = [
-        F.expr(
-            f"max(if(task = {quoted(task)} and fewshot = {fewshot},"
-            f" struct(metric, score), null)) as _{pos}"
-        )
-        for pos, (task, fewshot) in enumerate(tasks)
-    ]
-    rows = _report_rows(tasks, "_#.metric as metric", "_#.score as score")
+    best = [_best_of_run(pos, task, fewshot, "_best") for pos, (task, fewshot) in enumerate(tasks)]
+    rows = _report_rows(tasks, *_side_fields("_best", name))
     return scores.groupBy("run").agg(*best).selectExpr("run", rows)
 
 
 def compare_runs(
-    spark: SparkSession,
     scores: DataFrame,
     baseline: str,
     candidate: str,
     tasks: list[tuple[str, int]] = fixed.TASKS,
 ) -> DataFrame:
-    """One row per report task for two runs; a missing file gives NULL scores.
+    """One row per report task for two runs, from one pass over the scores.
 
-    Either side has at most one row per report task, which bounds what is
-    broadcast.
+    A missing file gives NULL scores, and one that did not parse also sets
+    ``base_corrupt`` or ``sft_corrupt``.
     """
-    listed = scores.where(F.col("task").isin([task for task, _ in tasks]))
-    report = spark.range(1).selectExpr(_report_rows(tasks))
-    for run, name in ((baseline, "base"), (candidate, "sft")):
-        side = _side(run_scores(listed.where(F.col("run") == run), tasks), name)
-        report = report.join(F.broadcast(side), ["task", "fewshot"], "left")
-    return _reported(report)
+    best = [
+        _best_of_run(pos, task, fewshot, f"_{name}", f"run = {quoted(run)}")
+        for run, name in ((baseline, "base"), (candidate, "sft"))
+        for pos, (task, fewshot) in enumerate(tasks)
+    ]
+    rows = _report_rows(tasks, *_side_fields("_base", "base"), *_side_fields("_sft", "sft"))
+    both = scores.where(F.col("run").isin(baseline, candidate)).agg(*best).selectExpr(rows)
+    return _reported(both)
 
 
 def compare_many(
@@ -109,14 +108,19 @@ def compare_many(
 ) -> DataFrame:
     """One row per candidate run and report task, against one baseline run.
 
-    The baseline has exactly one row per report task, which bounds what is
-    broadcast.
+    Scores are read once, into a table of one row per run and task. The baseline
+    has exactly one row per report task, which bounds what is broadcast.
     """
-    candidates = run_scores(scores.where(F.col("run") != baseline), tasks).withColumnsRenamed(
-        {"metric": "_sft_metric", "score": "sft_score"}
+    table = written(scores.sparkSession, run_scores(scores, tasks), "run-scores")
+    base = table.where(F.col("run") == baseline).select(
+        "pos",
+        F.col("_sft_metric").alias("_base_metric"),
+        F.col("sft_score").alias("base_score"),
+        F.col("sft_corrupt").alias("base_corrupt"),
     )
-    base = _side(run_scores(scores.where(F.col("run") == baseline), tasks), "base")
-    return _reported(candidates.join(F.broadcast(base), ["task", "fewshot"], "left"), "run")
+    joined = table.where(F.col("run") != baseline).join(F.broadcast(base), "pos", "left")
+    known = joined.withColumn("base_corrupt", F.coalesce("base_corrupt", F.lit(False)))
+    return _reported(known, "run")
 
 
 def markdown_lines(comparison: DataFrame) -> DataFrame:

@@ -117,7 +117,8 @@ scores as (
 _TWO_RUNS = f"""{_SCORES},
 compared as (
   select pos, task, fewshot, coalesce(c.metric, b.metric) as metric, b.score as base_score,
-         c.score as sft_score, c.score - b.score as delta
+         c.score as sft_score, c.score - b.score as delta,
+         false as base_corrupt, false as sft_corrupt
   from tasks
   left join (select * from scores where run = '{BASELINE}') b using (task, fewshot)
   left join (select * from scores where run = '{CANDIDATE}') c using (task, fewshot))"""
@@ -125,7 +126,8 @@ compared as (
 _MANY_RUNS = f"""{_SCORES},
 compared as (
   select runs.run, pos, task, fewshot, coalesce(c.metric, b.metric) as metric,
-         b.score as base_score, c.score as sft_score, c.score - b.score as delta
+         b.score as base_score, c.score as sft_score, c.score - b.score as delta,
+         false as base_corrupt, false as sft_corrupt
   from (select distinct run from scores where run <> '{BASELINE}') runs
   cross join tasks
   left join (select * from scores where run = '{BASELINE}') b using (task, fewshot)
@@ -147,6 +149,8 @@ pairs as (
   from turns u join turns a on a.conv_id = u.conv_id and a.turn = u.turn + 1
   where u.role = 'user' and a.role = 'assistant')"""
 
+_MANIFEST_ROWS = ", ".join(f"('{n}', '{field}')" for n, field in fixed.MANIFEST_COLUMNS.items())
+
 ORACLE_SQL: dict[str, str] = {
     "coerce_fields": f"""with {_PAIRS}
 select seq, coalesce(question, '') as question, coalesce(response, '') as response,
@@ -225,6 +229,26 @@ select {fixed.MIN_QUESTION_CHARS} as min_question_chars,
   selected_rows - kept_rows as dropped_dedup,
   0::bigint as dropped_other
 from h""",
+    "demo_dataset": f"""with {_SCORED}, {_selected(_QUARTER_BOUND)}, {_FIRST}
+select row_number() over (order by seq) - 1 as place, id as source_id, q as instruction
+from d where copy = 1 order by seq limit {fixed.DEMO_ROWS}""",
+    "written_order": f"""with {_SCORED}, {_selected(_QUARTER_BOUND)}, {_FIRST}
+select row_number() over (order by seq) - 1 as place, id as source_id, q as instruction
+from d where copy = 1""",
+    "prepare_first_n": f"""with {_SCORED},
+s as (
+  select * from h where drop_reason = 'valid'
+    and seq in (select doc_id from documents order by doc_id limit {FIRST_ROWS})
+), {_FIRST},
+p as (
+  select row_number() over (order by seq) - 1 as place, id as source_id, q as instruction
+  from d where copy = 1)
+select *, 'dataset' as file from p union all select *, 'demo' as file from p where place < 20""",
+    "manifest": f"""select 'instructions' as dataset, f.file_name, c.name, c.field
+from (values ('instructions'), ('instructions_demo')) f(file_name),
+  (values {_MANIFEST_ROWS}) c(name, field)""",
+    "source_scan_many_files": """select row_number() over (order by doc_id) - 1 as seq, doc_id, source
+from documents""",
     "source_scan": "select row_number() over () - 1 as seq, doc_id, source from documents",
     "first_n_rows": f"""select seq, doc_id, text
 from (select row_number() over () - 1 as seq, doc_id, text from documents)
@@ -255,7 +279,8 @@ from pairs""",
 select lower(q) as q, lower(r) as r from d where copy = 1""",
 }
 ORACLE_SQL["stream_progress"] = f"""select seen_rows, selected_rows, not_sampled_rows,
-  dropped_empty, dropped_length, dropped_char_run, dropped_repetition, dropped_other
+  kept_rows, dropped_dedup, dropped_empty, dropped_length, dropped_char_run,
+  dropped_repetition, dropped_other, {QUARTER.probability}::double as p
 from ({ORACLE_SQL["cleaning_stats"]})"""
 ORACLE_SQL["stats_roundtrip"] = ORACLE_SQL["cleaning_stats"]
 ORACLE_SQL["result_files"] = ORACLE_SQL["metric_resolve"]

@@ -8,6 +8,7 @@ from winnower import fixed_values as fixed
 from winnower.operators.compare import compare_many, compare_runs, resolve_scores
 from winnower.sinks.comparison import write_csv, write_markdown
 from winnower.sources.results import read_results, read_run
+from winnower.storage import written
 
 
 def summarise_two(
@@ -21,7 +22,7 @@ def summarise_two(
     """Compare the result files of two folders, and write CSV and Markdown."""
     results = read_run(spark, base_dir, "base").unionByName(read_run(spark, sft_dir, "sft"))
     scores = resolve_scores(results)
-    comparison = compare_runs(spark, scores, "base", "sft", tasks)
+    comparison = written(spark, compare_runs(scores, "base", "sft", tasks), "comparison")
     write_csv(comparison, csv_path)
     write_markdown(comparison, markdown_path)
     return comparison
@@ -36,6 +37,6 @@ def summarise_many(
 ) -> DataFrame:
     """Compare every run below a folder with one baseline run, and write CSV."""
     scores = resolve_scores(read_results(spark, results_dir))
-    comparison = compare_many(scores, baseline, tasks)
+    comparison = written(spark, compare_many(scores, baseline, tasks), "comparison")
     write_csv(comparison, csv_path)
     return comparison

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from winnower import fixed_values as fixed
@@ -30,23 +30,26 @@ from winnower.operators.cleaning import (
     with_normalised,
 )
 from winnower.operators.compare import compare_many, compare_runs, resolve_scores
-from winnower.operators.dedup import keep_first, keep_first_in_order
+from winnower.operators.dedup import first_kept, keep_first, keep_first_in_order
 from winnower.operators.selection import decide_rows, select_rows
 from winnower.operators.tally import drop_waterfall as waterfall
 from winnower.operators.tally import stats_counts, stats_report
 from winnower.plans.prepare import clean_records as cleaned
 from winnower.plans.prepare import prepare_dataset
 from winnower.sinks.comparison import markdown_table, write_csv
+from winnower.sinks.dataset import DEMO_MANIFEST_FILE, MANIFEST_FILE
 from winnower.sources.json_pairs import read_json_pairs
 from winnower.sources.ordered import read_first, read_ordered
 from winnower.sources.results import read_results
-from winnower.storage import shared_folder
+from winnower.storage import shared_folder, written
 from winnower.streaming.clean import ProgressLog, start_clean_stream
 
 RULES = CleaningRules()
 QUARTER = Sampling(hash_prob=0.25)
 EVERYTHING = Sampling(hash_prob=1.0)
 FIRST_ROWS = 333
+STREAM_FILES = 6
+SCAN_FILES = 40
 BASELINE, CANDIDATE = "src0", "src1"
 
 
@@ -202,8 +205,9 @@ def json_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def demo_200(spark: SparkSession, sf_dir: str) -> DataFrame:
-    records = cleaned(fixtures.document_pairs(spark, sf_dir), RULES, EVERYTHING, dedup=True)
-    return _flat_history(records.orderBy("seq").limit(fixed.DEMO_ROWS))
+    selected = select_rows(fixtures.document_pairs(spark, sf_dir), RULES, EVERYTHING)
+    head = first_kept(written(spark, selected, "selected"), fixed.DEMO_ROWS)
+    return _flat_history(instruction_records(head, keep=("seq",)))
 
 
 def jsonl_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -259,6 +263,99 @@ def first_n_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_first(spark, f"{sf_dir}/documents.parquet", FIRST_ROWS, ["doc_id", "text"])
 
 
+def source_scan_many_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row numbers over many uneven files, whose order is that of doc_id."""
+    folder = shared_folder(spark, "many-files")
+    documents = fixtures.table(spark, sf_dir, "documents").select("doc_id", "source")
+    last = documents.agg(F.max("doc_id")).first()[0] or 0
+    part = F.floor(F.sqrt(F.col("doc_id") / F.lit(last + 1)) * SCAN_FILES)
+    parts = documents.withColumn("part", F.lpad(part.cast("string"), 3, "0"))
+    ordered = parts.repartition(SCAN_FILES, "part").sortWithinPartitions("part", "doc_id")
+    ordered.write.partitionBy("part").parquet(folder)
+    return read_ordered(spark, folder, ["doc_id", "source"])
+
+
+def prepare_first_n(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main path as a whole: first rows of many files, prepared in order, with all sinks.
+
+    Returns the lines of the dataset with their place, and the demo's.
+    """
+    folder, source = shared_folder(spark, "first-n"), shared_folder(spark, "first-n-source")
+    documents = fixtures.table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    documents.repartitionByRange(8, "doc_id").sortWithinPartitions("doc_id").write.parquet(source)
+    first = read_first(spark, source, FIRST_ROWS, ["doc_id", "text", "lang"])
+    prepared = prepare_dataset(
+        fixtures.pairs_of_documents(first.drop("seq")),
+        folder,
+        "instructions",
+        f"{folder}/stats",
+        rules=RULES,
+        sampling=EVERYTHING,
+        dedup=True,
+        demo_dir=folder,
+        demo_rows=20,
+    )
+    lines = [
+        _written_lines(spark, path).withColumn("file", F.lit(name))
+        for path, name in ((prepared.dataset, "dataset"), (prepared.demo, "demo"))
+    ]
+    return lines[0].unionByName(lines[1])
+
+
+def _written_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(place, source_id, instruction) of JSON Lines, numbered by part file and line."""
+    rows = spark.read.schema("source_id string, instruction string").json(path)
+    part = F.regexp_extract(F.col("_metadata.file_path"), r"part-(\d+)", 1).cast("long")
+    numbered = rows.withColumn("_line", F.monotonically_increasing_id()).withColumn("_part", part)
+    order = Window.orderBy("_part", "_line")
+    return numbered.select(
+        (F.row_number().over(order) - 1).cast("long").alias("place"), "source_id", "instruction"
+    )
+
+
+def written_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place of each line of an ordered dataset, by part file and line."""
+    prepared = prepare_dataset(
+        fixtures.document_pairs(spark, sf_dir),
+        shared_folder(spark, "dataset"),
+        "instructions",
+        rules=RULES,
+        sampling=QUARTER,
+        dedup=True,
+    )
+    return _written_lines(spark, prepared.dataset)
+
+
+def demo_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The demo of a run, read back from the folder that it shares with the dataset."""
+    folder = shared_folder(spark, "dataset")
+    prepared = prepare_dataset(
+        fixtures.document_pairs(spark, sf_dir),
+        folder,
+        "instructions",
+        rules=RULES,
+        sampling=QUARTER,
+        dedup=True,
+        demo_dir=folder,
+    )
+    return _written_lines(spark, prepared.demo)
+
+
+def manifests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Manifests of a dataset and its demo, a row for each column that they name."""
+    folder = shared_folder(spark, "dataset")
+    pairs = fixtures.document_pairs(spark, sf_dir)
+    prepare_dataset(pairs, folder, "instructions", sampling=QUARTER, demo_dir=folder)
+    schema = "map<string,struct<file_name:string,columns:map<string,string>>>"
+    files = spark.read.text(
+        [f"{folder}/{name}" for name in (MANIFEST_FILE, DEMO_MANIFEST_FILE)], wholetext=True
+    )
+    named = files.select(F.explode(F.from_json("value", schema)).alias("dataset", "info"))
+    return named.select(
+        "dataset", "info.file_name", F.explode("info.columns").alias("name", "field")
+    )
+
+
 # Evaluation results
 
 
@@ -280,7 +377,7 @@ def result_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def metric_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return compare_runs(spark, _scores(spark, sf_dir), BASELINE, CANDIDATE)
+    return compare_runs(_scores(spark, sf_dir), BASELINE, CANDIDATE)
 
 
 def metric_compare_many_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -326,9 +423,12 @@ def conversation_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _document_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = fixtures.table(spark, sf_dir, "documents")
-    stream = spark.readStream.schema(documents.schema).parquet(f"{sf_dir}/documents*.parquet")
-    return fixtures.pairs_of_documents(stream.select("doc_id", "text", "lang"))
+    """Pairs of all documents from a source of several files, two for each trigger."""
+    folder = shared_folder(spark, "stream-source")
+    documents = fixtures.table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    documents.repartition(STREAM_FILES, "doc_id").write.parquet(folder)
+    reader = spark.readStream.schema(documents.schema).option("maxFilesPerTrigger", 2)
+    return fixtures.pairs_of_documents(reader.parquet(folder))
 
 
 def stream_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -346,26 +446,27 @@ def stream_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
         EVERYTHING,
         dedup=True,
         salt_column="seq",
-        tasks=spark.sparkContext.defaultParallelism,
     ).awaitTermination()
-    written = spark.read.schema("instruction string, output string").json(output)
-    return written.select(F.lower("instruction").alias("q"), F.lower("output").alias("r"))
+    texts = spark.read.schema("instruction string, output string").json(output)
+    return texts.select(F.lower("instruction").alias("q"), F.lower("output").alias("r"))
 
 
 def stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Counters that a stream over all documents reported while it ran."""
+    """Counters that a deduplicating stream over all documents reported while it ran."""
     query = start_clean_stream(
         _document_stream(spark, sf_dir),
         shared_folder(spark, "stream"),
         shared_folder(spark, "stream-state"),
         RULES,
         QUARTER,
-        tasks=spark.sparkContext.defaultParallelism,
+        dedup=True,
+        salt_column="seq",
     )
-    log = ProgressLog(query)
+    log = ProgressLog(query, QUARTER)
     log.follow()
     schema = ", ".join(f"{name} bigint" for name in log.counts)
-    return spark.createDataFrame([tuple(log.counts.values())], schema)
+    counts = spark.createDataFrame([tuple(log.counts.values())], schema)
+    return counts.withColumn("p", F.lit(log.p))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -391,10 +492,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "clean_records": clean_records,
     "json_records": json_records,
     "demo_200": demo_200,
+    "demo_dataset": demo_dataset,
+    "manifest": manifests,
     "jsonl_roundtrip": jsonl_roundtrip,
+    "written_order": written_order,
+    "prepare_first_n": prepare_first_n,
     "cleaning_stats": cleaning_stats,
     "stats_roundtrip": stats_roundtrip,
     "source_scan": source_scan,
+    "source_scan_many_files": source_scan_many_files,
     "first_n_rows": first_n_rows,
     "metric_resolve": metric_resolve,
     "result_files": result_files,

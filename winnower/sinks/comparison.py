@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from winnower.operators.compare import MARKDOWN_HEADER, markdown_lines
+from winnower.fixed_values import MARKDOWN_HEADER
+from winnower.operators.compare import markdown_lines
 
 _REPORT_COLUMNS = ["task", "fewshot", "metric", "base_score", "sft_score", "delta"]
 
