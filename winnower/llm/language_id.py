@@ -10,7 +10,8 @@ Texts become sequences of letter codes: lower case, one code for any run of
 other characters, one for letters not seen in training. They are cut into
 segments of ``SEGMENT`` codes, at whose ends a phrase ends in every language,
 and all segments of a batch are parsed side by side; a transition that an
-automaton lacks leads to the start of the next phrase and is counted.
+automaton lacks leads to the start of the next phrase and is counted. A letter
+that no training text has is a phrase of its own.
 
 Training reads a bounded sample: of each language the ``docs_per_language``
 documents lowest by a hash of doc_id, ``letters_per_doc`` letters each. Every
@@ -36,7 +37,7 @@ from pyspark.sql import functions as F
 UNKNOWN = "und"
 SEGMENT = 256
 _LANES = 8192
-_FLAG = 1 << 30
+_ENDED = 29  # bits above hold how many phrases a move ends
 _GAP, _OTHER = 0, 1
 _CODE_POINTS = 0x110000
 _SHARPNESS = 24.0
@@ -96,8 +97,9 @@ def suffix_automaton(text: str) -> list[dict[str, int]]:
 class Languages:
     """Automata of all languages in one table of moves.
 
-    ``moves[state, code]`` is the next state; with the flag set, a phrase ended
-    and the next one began with this code.
+    ``moves[state, code]`` is the next state and how many phrases the move ends:
+    none within a match, one where the next phrase begins with this code, and
+    the code itself as well if no phrase can begin with it.
     """
 
     def __init__(self, texts: dict[str, list[str]]):
@@ -114,15 +116,18 @@ class Languages:
             for state, found in enumerate(moves):
                 for c, target in found.items():
                     table[state, self.codes[c]] = target + states
-            start = np.where(table[0] >= 0, table[0], states)
-            tables.append(np.where(table >= 0, table, start | _FLAG))
+            lacking = table[0] < 0
+            start = np.where(lacking, states, table[0])
+            ended = np.where(table >= 0, 0, 1 + lacking) << _ENDED
+            ended[0] = lacking.astype(np.int64) << _ENDED
+            tables.append(np.where(table >= 0, table, start) | ended)
             self.starts.append(states)
             states += len(moves)
         stacked = np.concatenate(tables) if tables else np.zeros((0, self.width), np.int64)
         # Next states are kept as offsets of their rows, which saves a product.
-        flags = stacked & _FLAG
-        self.moves = ((stacked & (_FLAG - 1)) * self.width | flags).astype(np.int32).ravel()
-        if states * self.width >= _FLAG:
+        ended, target = stacked >> _ENDED << _ENDED, stacked & ((1 << _ENDED) - 1)
+        self.moves = (target * self.width | ended).astype(np.int32).ravel()
+        if states * self.width >= 1 << _ENDED:
             raise ValueError("training text is too large for the table of moves")
         self.weights = np.array([np.log2(max(2, len(text))) for text in joined.values()])
         self._by_point: np.ndarray | None = None
@@ -149,13 +154,14 @@ class Languages:
     def _phrases(self, lanes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """Phrases of each lane (longest first) in each language."""
         counts = np.zeros((len(self.names), len(lanes)), np.int32)
-        state = np.repeat(np.array(self.starts, np.int32)[:, None] * self.width, len(lanes), axis=1)
+        start = np.array(self.starts, np.int32)[:, None] * self.width
+        state = np.repeat(start, len(lanes), axis=1)
         for t in range(int(sizes[0]) if len(sizes) else 0):
             n = int(np.searchsorted(-sizes, -t, "left"))
             found = self.moves.take(state[:, :n] + lanes[:n, t])
-            counts[:, :n] += found >> 30
-            state[:, :n] = found & (_FLAG - 1)
-        return counts + 1
+            counts[:, :n] += found >> _ENDED
+            state[:, :n] = found & ((1 << _ENDED) - 1)
+        return counts + (state != start)
 
     def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
         """(language, score) of each text."""
