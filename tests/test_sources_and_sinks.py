@@ -19,7 +19,7 @@ from winnower.plans.prepare import clean_records, prepare_dataset
 from winnower.sources import ordered
 from winnower.sources.json_pairs import read_json_pairs
 from winnower.sources.ordered import read_first, read_ordered
-from winnower.sources.spread import spread
+from winnower.sources.spread import PIECES_SETTING, spread
 
 MIDDLE = "/root/testdata/sf0.01"
 
@@ -120,11 +120,14 @@ def test_json_values_become_text(spark, tmp_path, value, text, literal):
 
 def test_spread(spark):
     one = spark.read.parquet(f"{MIDDLE}/documents.parquet")
-    assert one.rdd.getNumPartitions() == 1
-    assert spread(one).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    assert spread(one).count() == 1_000
-    many = spark.range(0, 100, 1, 64)
-    assert spread(many) is many
+    assert spread(one, None) is one
+    assert spread(one, 5).rdd.getNumPartitions() == 5
+    assert spread(one, 5).count() == 1_000
+    spark.conf.set(PIECES_SETTING, "3")
+    try:
+        assert fixtures.document_pairs(spark, MIDDLE).rdd.getNumPartitions() == 3
+    finally:
+        spark.conf.unset(PIECES_SETTING)
 
 
 def _lines(folder):

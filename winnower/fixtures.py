@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from winnower import fixed_values as fixed
-from winnower.sources.spread import spread
+from winnower.sources.spread import PIECES_SETTING, spread
+
+_SALTS = 16
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,9 +38,10 @@ def pairs_of_documents(documents: DataFrame) -> DataFrame:
 
 
 def document_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pairs_of_documents(
-        spread(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
-    )
+    """Pairs of all documents, dealt to as many tasks as the session asks for, if it does."""
+    pieces = spark.conf.get(PIECES_SETTING, None)
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return pairs_of_documents(spread(documents, int(pieces) if pieces else None))
 
 
 def json_lines_of_pairs(pairs: DataFrame) -> DataFrame:
@@ -54,7 +57,8 @@ def conversation_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Joined on unique ``(conv_id, turn)`` keys rather than by a window over the
     conversation, so one huge conversation still spreads over all tasks. The
-    system prompt is the first system turn of the conversation, if earlier.
+    system prompt is the first system turn of the conversation, if earlier; its
+    narrow row is joined by a salt as well, for the same reason.
     """
     turns = table(spark, sf_dir, "conversations")
     asked = turns.where(F.col("role") == "user").select(
@@ -68,7 +72,12 @@ def conversation_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy("conv_id")
         .agg(F.min("turn").alias("_since"), F.min_by("text", "turn").alias("_system"))
     )
-    pairs = asked.join(answered, ["conv_id", "_next"]).join(system, "conv_id", "left")
+    salts = F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).alias("_salt")
+    pairs = (
+        asked.join(answered, ["conv_id", "_next"])
+        .withColumn("_salt", F.pmod(F.xxhash64("turn"), F.lit(_SALTS)).cast("int"))
+        .join(system.select("*", salts), ["conv_id", "_salt"], "left")
+    )
     return pairs.select(
         "conv_id",
         "turn",

@@ -4,16 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+PIECES_SETTING = "winnower.source.pieces"
 
-def spread(scan: DataFrame) -> DataFrame:
-    """Redistribute a scan that has fewer tasks than the session has cores.
+
+def spread(scan: DataFrame, pieces: int | None) -> DataFrame:
+    """The scan, dealt to so many tasks if the caller asks for it.
 
     A file of one row group, or a compressed JSON file, is one task however
-    expensive the work on its rows. A large table has more pieces than cores
-    and comes back as it is, without a shuffle. Ask for plain scans only: with
-    a shuffle below, counting the tasks would run it.
+    expensive the work on its rows, so a small table may be worth a shuffle of
+    its rows. A large one has pieces enough; nothing is decided by counting.
     """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    if scan.rdd.getNumPartitions() < cores:
-        return scan.repartition(cores)
-    return scan
+    return scan.repartition(pieces) if pieces else scan
