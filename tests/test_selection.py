@@ -24,21 +24,21 @@ PAIR = "seq bigint, question string, response string, system_prompt string, id s
 
 # Reasons in the order empty, length, char_run, repetition, valid.
 EXPECTED_REASONS = {
-    SMALL: (5, 4, 2, 4, 185),
-    MIDDLE: (21, 16, 10, 21, 932),
-    LARGE: (202, 109, 93, 285, 9_311),
+    SMALL: (5, 27, 4, 4, 160),
+    MIDDLE: (21, 129, 20, 19, 811),
+    LARGE: (202, 997, 174, 263, 8_364),
 }
 # (selected, kept, sum of seq over kept rows)
 EXPECTED_KEPT = {
-    (SMALL, 0.25): (46, 43, 3_864),
-    (SMALL, 0.5): (100, 95, 9_148),
-    (SMALL, 1.0): (185, 175, 17_147),
-    (MIDDLE, 0.25): (216, 199, 94_824),
-    (MIDDLE, 0.5): (453, 416, 194_697),
-    (MIDDLE, 1.0): (932, 862, 415_656),
-    (LARGE, 0.25): (2_369, 2_198, 10_846_883),
-    (LARGE, 0.5): (4_739, 4_390, 21_276_699),
-    (LARGE, 1.0): (9_311, 8_667, 42_391_327),
+    (SMALL, 0.25): (36, 35, 3_158),
+    (SMALL, 0.5): (70, 68, 6_224),
+    (SMALL, 1.0): (160, 156, 15_588),
+    (MIDDLE, 0.25): (203, 194, 95_112),
+    (MIDDLE, 0.5): (408, 387, 190_751),
+    (MIDDLE, 1.0): (811, 767, 371_689),
+    (LARGE, 0.25): (2_066, 1_934, 9_523_391),
+    (LARGE, 0.5): (4_127, 3_887, 19_184_372),
+    (LARGE, 1.0): (8_364, 7_881, 38_772_807),
 }
 
 
@@ -182,9 +182,9 @@ def test_accounting(spark):
                                                   "other"))
     assert stats.seen_rows == 1_000
     assert stats.seen_rows == dropped + stats.not_sampled_rows + stats.selected_rows
-    assert (stats.selected_rows, stats.kept_rows, stats.dropped_dedup) == (216, 199, 17)
+    assert (stats.selected_rows, stats.kept_rows, stats.dropped_dedup) == (203, 194, 9)
     without = stats_counts(decide_rows(pairs), dedup=False).first()
-    assert (without.kept_rows, without.dropped_dedup) == (216, 0)
+    assert (without.kept_rows, without.dropped_dedup) == (203, 0)
 
 
 def test_single_rule_counts(spark):

@@ -157,15 +157,15 @@ def test_prepared_dataset(spark, tmp_path, dedup, in_order):
     assert _lines(result.demo) == expected[:50]
     assert result.selected is None
 
-    kept = 416 if dedup else 453
+    kept = 387 if dedup else 408
     assert result.counts["kept_rows"] == kept == len(written)
     [report] = _lines(f"{tmp_path}/stats")
     assert report["cleaning_config"] == CleaningRules().as_dict()
     assert report["stats"] == {
         "source_rows_requested": 1_000_000, "source_revision": "e9c87b4", "seen_rows": 1_000,
-        "kept_rows": kept, "selected_rows": 453, "not_sampled_rows": 479, "dropped_empty": 21,
-        "dropped_length": 16, "dropped_char_run": 10, "dropped_repetition": 21,
-        "dropped_dedup": 453 - kept, "dropped_other": 0,
+        "kept_rows": kept, "selected_rows": 408, "not_sampled_rows": 403, "dropped_empty": 21,
+        "dropped_length": 129, "dropped_char_run": 20, "dropped_repetition": 19,
+        "dropped_dedup": 408 - kept, "dropped_other": 0,
     }
     columns = {"prompt": "instruction", "query": "input", "response": "output",
                "system": "system", "history": "history"}
@@ -207,7 +207,7 @@ def test_plain_run_writes_no_table_between(spark, tmp_path):
     result = prepare_dataset(pairs, str(tmp_path), "x", f"{tmp_path}/stats", ordered=False)
     assert result.selected is None
     assert result.counts["seen_rows"] == 1_000
-    assert len(_lines(result.dataset)) == result.counts["kept_rows"] == 216
+    assert len(_lines(result.dataset)) == result.counts["kept_rows"] == 203
 
 
 def test_retried_tasks_change_nothing(spark, tmp_path):
@@ -224,11 +224,11 @@ def test_retried_tasks_change_nothing(spark, tmp_path):
         flaky, str(tmp_path), "x", sampling=Sampling(hash_prob=0.5), dedup=True
     )
     assert result.counts == {
-        "seen_rows": 1_000, "selected_rows": 453, "not_sampled_rows": 479, "kept_rows": 416,
-        "dropped_empty": 21, "dropped_length": 16, "dropped_char_run": 10,
-        "dropped_repetition": 21, "dropped_other": 0, "dropped_dedup": 37,
+        "seen_rows": 1_000, "selected_rows": 408, "not_sampled_rows": 403, "kept_rows": 387,
+        "dropped_empty": 21, "dropped_length": 129, "dropped_char_run": 20,
+        "dropped_repetition": 19, "dropped_other": 0, "dropped_dedup": 21,
     }
-    assert len(_lines(result.dataset)) == 416
+    assert len(_lines(result.dataset)) == 387
 
 
 def test_text_beyond_ascii_is_written_raw(spark, tmp_path):

@@ -18,14 +18,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def pairs_of_documents(documents: DataFrame) -> DataFrame:
     """Question/response pairs of all documents, with faults spread over them.
 
+    A question is a document's first sentence, or all of it for one in eleven.
     The documents themselves never trip the empty and character-run rules, so
-    some questions are made NULL or blank and some responses get a long run.
+    some questions are made NULL or blank, and some texts get a long run.
     """
     doc_id, text = F.col("doc_id"), F.col("text")
+    first_sentence = F.substring_index(text, ".", 1)
     question = (
         F.when(doc_id % 97 == 5, F.lit(None).cast("string"))
         .when(doc_id % 101 == 7, F.lit("  \t"))
-        .otherwise(F.substring(text, 1, 60))
+        .when(doc_id % 107 == 3, F.concat(first_sentence, F.lit("y" * 130)))
+        .when(doc_id % 11 == 2, text)
+        .otherwise(first_sentence)
     )
     response = F.when(doc_id % 103 == 9, F.concat(text, F.lit("z" * 130))).otherwise(text)
     return documents.select(

@@ -15,7 +15,8 @@ _PAIRS = """
 src as (
   select doc_id as seq,
     case when doc_id % 97 = 5 then null when doc_id % 101 = 7 then E'  \\t'
-         else substring(text, 1, 60) end as question,
+         when doc_id % 107 = 3 then split_part(text, '.', 1) || repeat('y', 130)
+         when doc_id % 11 = 2 then text else split_part(text, '.', 1) end as question,
     case when doc_id % 103 = 9 then text || repeat('z', 130) else text end as response,
     case when doc_id % 3 = 0 then null else 'lang ' || lang end as system_prompt,
     cast(doc_id as varchar) as id
