@@ -240,9 +240,16 @@ def clean_by_quality(
         F.xxhash64(text).alias("_text_hash"),
     )
     raw = f"c_{docs.columns.index(text)}"
+    # Observing the counts also keeps the filter above them: pushed below, it
+    # would repeat every array expression inside every other that uses it.
     counted = (
         with_text_counts(keyed, F.col(raw))
         .withColumn("base_failed", _base_failed(limits))
+        .observe(
+            "quality rules",
+            F.count(F.lit(1)).alias("seen_rows"),
+            F.count_if("base_failed").alias("failed_rows"),
+        )
         .filter(~F.col("base_failed"))
     )
     scored = _with_lost(counted, docs, limits, text, host, doc_id).filter(_verdict(limits))
