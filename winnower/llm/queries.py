@@ -20,10 +20,12 @@ from winnower.llm.token_counts import count_tokens
 from winnower.llm.token_files import token_file_round_trip
 from winnower.llm.toxicity import score_toxicity
 from winnower.llm.warc import archive_round_trip
+from winnower.llm.workers import package_on_workers
 from winnower.storage import written
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    package_on_workers(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
