@@ -1,0 +1,82 @@
+"""The near-duplicate stage: five-word-shingle similarity of 0.8 or more, by brute force."""
+
+from __future__ import annotations
+
+import random
+
+import corpus_pipeline
+from pyspark.sql import functions as F
+
+from winnower.llm.line_quality import clean_by_quality
+from winnower.llm.shingle_sets import band_keys, drop_similar, shingle_set
+from winnower.storage import written
+
+MIDDLE = "/root/testdata/sf0.01"
+
+
+def _shingles(text):
+    words = (text or "").lower().split()
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def _similarity(a, b):
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+def test_sets_have_the_sizes_of_the_shingles():
+    for text in (None, "", "a", "a b c d e", "a b c d e f", "x y " * 40, "a b " * 9 + "c"):
+        assert len(shingle_set(text)) == len(_shingles(text))
+    assert set(shingle_set("q a b c d e").tolist()) > set(shingle_set("A B\nc d e").tolist())
+    assert not set(shingle_set("a b c d e").tolist()) & set(shingle_set("b a c d e").tolist())
+
+
+def test_recall_of_bands():
+    rng = random.Random(8)
+    for changes, least in ((4, 0.99), (2, 0.99)):  # similarities of 0.82 and 0.90
+        found = 0
+        for _ in range(200):
+            words = [f"w{rng.randrange(10**6)}" for _ in range(204)]
+            other = list(words)
+            for i in range(changes):
+                other[20 + 40 * i] = "edit"
+            a, b = shingle_set(" ".join(words)), shingle_set(" ".join(other))
+            assert 0.8 <= _similarity(set(a.tolist()), set(b.tolist())) <= 0.95
+            found += bool((band_keys(a) == band_keys(b)).any())
+        assert found >= least * 200
+
+
+def test_no_similar_documents_stay(spark):
+    docs = written(spark, clean_by_quality(spark.read.parquet(f"{MIDDLE}/documents.parquet")), "kept")
+    before = {r.doc_id: _shingles(r.text) for r in docs.collect()}
+    after = {r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, MIDDLE).collect()}
+    links = [
+        (a, b) for a in before for b in before
+        if a < b and 2 * min(len(before[a]), len(before[b])) > max(len(before[a]), len(before[b]))
+        and not before[a].isdisjoint(before[b]) and _similarity(before[a], before[b]) >= 0.8
+    ]
+    assert not [pair for pair in links if set(pair) <= after]
+    assert all(any(b == doc for _, b in links) for doc in before.keys() - after)
+    assert min(before) in after and len(links) > 50
+
+
+def test_similarity_decides_and_large_groups_collapse(spark):
+    rng = random.Random(3)
+    base = [f"w{i}" for i in range(204)]
+    rows = [(0, base)]
+    for i in range(1, 300):  # near copies of the first
+        words = list(base)
+        words[rng.randrange(10, 190)] = f"own{i}"
+        rows.append((i, words))
+    half = base[:120] + [f"x{i}" for i in range(84)]  # similar to none of them
+    near_half = [*half[:-3], "y1", "y2", "y3"]
+    rows += [(1000, half), (1001, near_half), (None, base)]
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string")
+    kept = drop_similar(docs.withColumn("place", F.lit("own column")))
+    assert sorted(r.doc_id for r in kept.collect()) == [0, 1000]
+
+
+def test_wordless_and_repeated_rows(spark):
+    rows = [(1, None), (2, ""), (3, " \t"), (4, "a b"), (4, "a b"), (None, "c"), (None, "c"), (5, "A\nb")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(str(r.doc_id) for r in drop_similar(docs).collect()) == ["1", "4", "None"]
+    assert drop_similar(docs.limit(0)).collect() == []
