@@ -12,7 +12,9 @@ by the overlap of their question and answer with the passages.
 
 The index is a stated side input. Items are dealt to shards of bounded size,
 and only one shard is broadcast with a scan of the documents, so the size of
-what is broadcast does not grow with the benchmark.
+what is broadcast does not grow with the benchmark. Units by term, their number
+and mean length are counted over the whole benchmark before, so that a score
+does not depend on how items are dealt.
 
 Defined cases: a null or wordless text, or item, matches nothing; repeated
 items are reported once for each row; repeated documents likewise; an empty
@@ -22,7 +24,7 @@ benchmark leaves every document clean.
 from __future__ import annotations
 
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from itertools import chain, repeat
@@ -33,6 +35,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from winnower.storage import written
+
 UNIT_WORDS = 64
 UNITS_PER_BLOCK = 4
 ITEMS_PER_SHARD = 500
@@ -60,19 +64,43 @@ def _ngrams(words: list[str]) -> set[tuple[str, ...]]:
     return set(zip(*(words[i:] for i in range(size)), strict=False))
 
 
+def _units(words: list[str]) -> list[list[str]]:
+    return [words[i : i + UNIT_WORDS] for i in range(0, len(words), UNIT_WORDS)]
+
+
+@dataclass(frozen=True)
+class Statistics:
+    """Units, their mean length, and for each term the units that hold it."""
+
+    units: int
+    mean_words: float
+    holding: dict[str, int]
+
+    @classmethod
+    def of(cls, units: list[list[str]]) -> Statistics:
+        holding = Counter(chain.from_iterable(map(set, units)))
+        return cls(len(units), sum(map(len, units)) / max(1, len(units)), holding)
+
+
 class Index:
     """Inverted index over the units of one shard of items.
 
+    ``statistics`` are those of the whole benchmark; without them the items
+    given are all there are.
+
     ``block_max[term, block]`` is the highest impact of a term in a block, and
     ``impacts[slot[term, block]]`` its impacts on the units of that block.
     """
 
-    def __init__(self, items: list[tuple[int, list[str], list[str]]]):
+    def __init__(
+        self,
+        items: list[tuple[int, list[str], list[str]]],
+        statistics: Statistics | None = None,
+    ):
         self.items = [item for item in items if item[1] or item[2]]
         units = []
         for at, (_, question, answer) in enumerate(self.items):
-            words = question + answer
-            units += [(at, words[i : i + UNIT_WORDS]) for i in range(0, len(words), UNIT_WORDS)]
+            units += [(at, words) for words in _units(question + answer)]
         units.sort(key=lambda unit: len(unit[1]))
         self.unit_item = [at for at, _ in units]
         vocabulary = dict.fromkeys(chain.from_iterable(words for _, words in units))
@@ -81,7 +109,8 @@ class Index:
         self.block_max = np.zeros((len(self.terms), blocks), np.float32)
         self.slot = np.zeros((len(self.terms), blocks), np.int32)
         impacts = [np.zeros(UNITS_PER_BLOCK, np.float32)]
-        for unit, found in enumerate(self._unit_impacts(units)):
+        statistics = statistics or Statistics.of([words for _, words in units])
+        for unit, found in enumerate(self._unit_impacts(units, statistics)):
             block, place = divmod(unit, UNITS_PER_BLOCK)
             for term, impact in found.items():
                 if not self.slot[term, block]:
@@ -91,23 +120,14 @@ class Index:
                 self.block_max[term, block] = max(self.block_max[term, block], impact)
         self.impacts = np.array(impacts)
 
-    def _unit_impacts(self, units) -> Iterator[dict[int, float]]:
-        counts = []
+    def _unit_impacts(self, units, statistics: Statistics) -> Iterator[dict[int, float]]:
+        n_units, holding = statistics.units, statistics.holding
         for _, words in units:
-            found: dict[int, int] = defaultdict(int)
-            for word in words:
-                found[self.terms[word]] += 1
-            counts.append(found)
-        documents = np.zeros(len(self.terms))
-        for found in counts:
-            documents[list(found)] += 1
-        mean = sum(len(words) for _, words in units) / max(1, len(units))
-        for found, (_, words) in zip(counts, units, strict=True):
-            long = _K1 * (1 - _B + _B * len(words) / mean)
+            long = _K1 * (1 - _B + _B * len(words) / statistics.mean_words)
             raw = {
-                t: log(1 + (len(units) - documents[t] + 0.5) / (documents[t] + 0.5))
+                self.terms[word]: log(1 + (n_units - holding[word] + 0.5) / (holding[word] + 0.5))
                 * n * (_K1 + 1) / (n + long)
-                for t, n in found.items()
+                for word, n in Counter(words).items()
             }
             total = sum(raw.values())
             yield {t: impact / total for t, impact in raw.items()}
@@ -136,7 +156,8 @@ class Index:
         slack = np.float32(min_score * 0.9999)  # sums of single precision
         for at, block in zip(*np.nonzero(bounds >= slack), strict=True):
             own = ids[ends[at] : ends[at + 1]]
-            scores = self.impacts[self.slot[own, block]].sum(axis=0)
+            # In double precision, so that the order of terms in a shard does not matter.
+            scores = self.impacts[self.slot[own, block]].sum(axis=0, dtype=np.float64)
             for place in np.flatnonzero(scores >= slack).tolist():
                 item = self.unit_item[block * UNITS_PER_BLOCK + place]
                 where, score = int(passage[starts[at]]), round(float(scores[place]), 6)
@@ -173,6 +194,49 @@ def _halves(text: str | None) -> tuple[list[str], list[str]]:
     return words[:middle], words[middle:]
 
 
+def _parts(row, answer: str | None) -> tuple[list[str], list[str]]:
+    if answer is None:
+        return _halves(row["question"])
+    return words_of(row["question"]), words_of(row["answer"])
+
+
+def _shard_terms(dealt: DataFrame, answer: str | None) -> DataFrame:
+    """(shard, word, holding, size): units of the whole benchmark that hold a shard's words.
+
+    The row of a shard whose word is null has the number of its own units and
+    the sum of their words.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows: list[tuple] = []
+            for item in batch.to_pylist():
+                units = _units([*chain.from_iterable(_parts(item, answer))])
+                rows.append((item["shard"], None, len(units), sum(map(len, units))))
+                holding = Statistics.of(units).holding
+                rows += [(item["shard"], word, n, 0) for word, n in holding.items()]
+            names = ["shard", "word", "holding", "size"]
+            kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64()]
+            columns = list(zip(*rows, strict=True)) or [()] * 4
+            arrays = [pa.array(c, kind) for c, kind in zip(columns, kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays(arrays, names)
+
+    counted = dealt.select(F.col("shard").cast("long").alias("shard"), "question", "answer")
+    counted = counted.mapInArrow(count, "shard long, word string, holding long, size long")
+    counted = counted.groupBy("shard", "word").agg(
+        F.sum("holding").alias("holding"), F.sum("size").alias("size")
+    )
+    counted = written(dealt.sparkSession, counted, "shard-terms")
+    whole = counted.filter("word is not null").groupBy("word").agg(F.sum("holding").alias("holding"))
+    named = counted.select("shard", "word").join(whole, "word").select("shard", "word", "holding")
+    sizes = counted.filter("word is null")
+    return written(
+        dealt.sparkSession,
+        named.withColumn("size", F.lit(0).cast("long")).union(sizes),
+        "benchmark-terms",
+    )
+
+
 def _shards(items: DataFrame, item_id: str, text: str, answer: str | None) -> Iterator[Index]:
     """One index at a time. ``answer`` None: the second half of the text is the answer."""
     rows = items.select(
@@ -183,13 +247,20 @@ def _shards(items: DataFrame, item_id: str, text: str, answer: str | None) -> It
     size = F.coalesce(F.sum(F.length("question") + F.coalesce(F.length("answer"), F.lit(0))), F.lit(0))
     total = rows.agg(F.count("*").alias("n"), size.alias("size")).first()
     shards = max(-(-total["n"] // ITEMS_PER_SHARD), -(-total["size"] // SHARD_BYTES))
-    dealt = rows.withColumn("shard", F.pmod(F.xxhash64("item_id", "question"), F.lit(max(shards, 1))))
+    if not shards:
+        return
+    dealt = rows.withColumn("shard", F.pmod(F.xxhash64("item_id", "question"), F.lit(shards)))
+    terms = _shard_terms(dealt, answer)
+    sizes = terms.filter("word is null").agg(F.sum("holding").alias("n"), F.sum("size").alias("w"))
+    whole = sizes.first()
+    mean = whole["w"] / max(1, whole["n"])
     for shard in range(shards):
-        own = dealt.filter(F.col("shard") == shard).toLocalIterator()
-        if answer is None:
-            yield Index([(row["item_id"], *_halves(row["question"])) for row in own])
-        else:
-            yield Index([(r["item_id"], words_of(r["question"]), words_of(r["answer"])) for r in own])
+        here = F.col("shard") == shard
+        known = terms.filter(here & F.col("word").isNotNull()).toLocalIterator()
+        holding = {row["word"]: row["holding"] for row in known}
+        own = dealt.filter(here).toLocalIterator()
+        found = [(row["item_id"], *_parts(row, answer)) for row in own]
+        yield Index(found, Statistics(whole["n"], mean, holding))
 
 
 def _mapped(docs: DataFrame, index: Index, make: Callable, schema) -> DataFrame:
