@@ -177,6 +177,7 @@ def link_shard(points: np.ndarray, max_bits: int) -> list[int]:
 
 def _links(points: DataFrame, nodes: list[tuple[int, int]], max_bits: int) -> DataFrame:
     """(a, b) with a < b as signed longs: spanning forests of all shards."""
+    shards = len(nodes) + 1
 
     def visits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -191,6 +192,8 @@ def _links(points: DataFrame, nodes: list[tuple[int, int]], max_bits: int) -> Da
         return pd.DataFrame({"a": roots[linked], "b": values[linked]})
 
     dealt = points.select("fp").mapInPandas(visits, "shard int, fp long")
+    # A given number, as adaptive execution would merge shards by their few bytes.
+    dealt = dealt.repartition(shards, "shard")
     return dealt.groupBy("shard").applyInPandas(forest, "a long, b long").distinct()
 
 
@@ -276,12 +279,18 @@ def fingerprint_hex(fp: Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
 
-def drop_near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+def drop_near_duplicates(
+    docs: DataFrame,
+    text: str = "text",
+    doc_id: str = "doc_id",
+    max_bits: int = 3,
+    shingle: int = 3,
+) -> DataFrame:
     """The rows of ``docs`` that represent their component, one each.
 
     That is the row of the smallest doc_id (nulls last, then the text's hash).
     """
-    found = simhash_components(docs, text, doc_id)
+    found = simhash_components(docs, text, doc_id, max_bits, shingle)
     order = F.struct(
         F.col("doc_id").isNull().alias("n"), F.col("doc_id"), F.col("text_hash")
     )
