@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from winnower.llm.decontaminate import drop_contaminated
 from winnower.llm.line_quality import clean_by_quality
 from winnower.llm.mixing import sample_mix
-from winnower.llm.shingle_sets import drop_similar
+from winnower.llm.simhash import drop_near_duplicates
 from winnower.llm.token_files import token_file_round_trip
 from winnower.llm.workers import package_on_workers
 from winnower.storage import written
@@ -20,8 +20,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents at five-word-shingle similarity of 0.8 or more, the smallest doc_id stays."""
-    return drop_similar(docs)
+    """Of documents whose fingerprints link at three bits or fewer, the smallest doc_id stays."""
+    return drop_near_duplicates(docs, shingle=3, max_bits=3)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
