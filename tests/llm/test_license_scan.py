@@ -1,0 +1,172 @@
+"""Licence detection against a plain version that knows no prefilter and no interval lookup."""
+
+from __future__ import annotations
+
+import random
+import re
+from re import _constants as kind
+from re import _parser as parser
+
+import pytest
+from hypothesis import given
+from hypothesis import strategies as st
+
+from winnower.llm.license_scan import BASE, detections, resolved, rules, scan_licenses, scan_text
+from winnower.llm.queries import op11_license_scan
+
+SMALL = "/root/testdata/sf0.001"
+WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
+
+
+def _words(text):
+    return WORD.findall("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
+
+
+def _plain(text):
+    words = _words(text)
+    places = [
+        (i, label)
+        for i in range(len(words))
+        for phrase, label in BASE.items()
+        if words[i : i + len(phrase.split())] == phrase.split()
+    ]
+    base = {label for _, label in places}
+    found = []
+    joined = " ".join(words)
+    for rule in rules():
+        pattern = re.compile(rf"(?<![^ ])(?:{_source(rule)})(?![^ ])", re.ASCII)
+        for match in pattern.finditer(joined):
+            first = joined[: match.start()].count(" ")
+            found.append((rule, first, first + len(match[0].split(" "))))
+    kept = []
+    for rule, first, end in sorted(found, key=lambda x: (x[0].place, x[1] - x[2], x[1])):
+        if not any(a <= first and end <= b for _, a, b in kept):
+            kept.append((rule, first, end))
+    labels = base | {rule.label for rule, *_ in kept}
+    return (
+        len(words),
+        len(places),
+        min((i for i, _ in places), default=None),
+        max((i for i, _ in places), default=None),
+        ",".join(sorted(base)),
+        ",".join(sorted(labels)),
+        max((rule.weight for rule, *_ in kept), default=0.0),
+    )
+
+
+def _source(rule):
+    return rule.pattern.pattern.decode().removeprefix("(?:").removesuffix(")(?![^ ])")
+
+
+def _sample(parsed, rng):
+    """A random text that the parsed pattern matches."""
+    out = []
+    for op, value in parsed:
+        if op is kind.LITERAL:
+            out.append(chr(value))
+        elif op is kind.SUBPATTERN:
+            out.append(_sample(value[-1], rng))
+        elif op is kind.BRANCH:
+            out.append(_sample(rng.choice(value[1]), rng))
+        elif op is kind.MAX_REPEAT:
+            low, high, inner = value
+            for _ in range(rng.randint(low, min(high, low + 3))):
+                out.append(_sample(inner, rng))
+        elif op is kind.IN:
+            head, what = value[0]
+            out.append(chr(what) if head is kind.LITERAL else "7" if what is kind.CATEGORY_DIGIT else "x")
+        else:
+            raise AssertionError(op)
+    return "".join(out)
+
+
+def test_there_are_hundreds_of_rules_and_all_can_match():
+    assert len(rules()) > 200
+    rng = random.Random(1)
+    for rule in rules():
+        for _ in range(30):
+            text = _sample(parser.parse(_source(rule)), rng)
+            assert set(text.encode().split(b" ")) & set(rule.keywords), (rule.label, text)
+            assert [d.rule for d in detections(text.encode().split(), [rule])][:1] == [rule], text
+
+
+def _texts():
+    rng = random.Random(2)
+    pieces = [_sample(parser.parse(_source(rule)), rng) for rule in rules()]
+    for i in range(150):
+        chosen = rng.choices(pieces, k=rng.randint(1, 6))
+        filler = rng.choices(["lorem", "cc", "by", "gnu", "the", "ünïcode", "mit", "license"], k=4)
+        mixed = [*chosen, *filler]
+        rng.shuffle(mixed)
+        yield rng.choice([" ", ", ", "\n"]).join(mixed).title() if i % 3 else " ".join(mixed)
+
+
+def test_texts_made_of_signatures_equal_the_plain_version():
+    for text in _texts():
+        assert scan_text(text.encode()) == _plain(text)
+
+
+def test_resolution_by_priority_and_containment():
+    def labels(text):
+        return scan_text(text.encode())[5]
+
+    assert labels("Licensed under the Apache License, Version 2.0.") == "apache,apache-2.0"
+    assert labels("CC BY-NC 4.0") == "cc-by,cc-by-nc-4.0"
+    assert labels("the GNU Lesser General Public License v2.1") == "lgpl-2.1"
+    assert labels("SPDX-License-Identifier: MIT") == "mit"
+    assert labels("// SPDX-License-Identifier: GPL-2.0 WITH Linux-syscall-note") == "gpl-2.0-with-linux-note"
+    assert labels("a commit licensed to mitigate apachean risks") == ""
+    assert labels("http://creativecommons.org/licenses/by-sa/3.0/") == "cc-by-sa-3.0"
+
+
+@given(st.lists(st.tuples(st.integers(0, 12), st.integers(0, 30), st.integers(1, 12)), max_size=25))
+def test_resolution_equals_comparing_all(rows):
+    from winnower.llm.license_scan import Detection
+
+    found = [Detection(rules()[place], start, start + size) for place, start, size in rows]
+    kept = []
+    for one in sorted(found, key=lambda d: (d.rule.place, d.start - d.end, d.start)):
+        if not any(k.start <= one.start and one.end <= k.end for k in kept):
+            kept.append(one)
+    assert resolved(found) == kept
+
+
+def test_query_over_the_whole_table(spark):
+    documents = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").collect()
+    expected = sorted((row.doc_id, *_plain(row.text)) for row in documents)
+    found = op11_license_scan(spark, SMALL)
+    assert found.columns == [
+        "doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score",
+    ]
+    assert sorted(map(tuple, found.collect())) == expected
+    assert any(row[6] for row in expected)
+
+
+def test_edge_cases(spark):
+    long = "plain words " * 300_000 + "under the MIT license. " + "MIT License\n" * 3
+    rows = [(1, None), (1, ""), (None, " .,;"), (2, long), (3, "MIT LİCENSE mit license"), (3, "gnu")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    docs = docs.selectExpr("*", "'own' as labels", "'own' as score", "'own' as _text")
+    found = scan_licenses(docs).collect()
+    empty = (0, 0, None, None, "", "", 0.0)
+    assert sorted(map(str, map(tuple, found))) == sorted(
+        map(
+            str,
+            [
+                (1, *empty),
+                (1, *empty),
+                (None, *empty),
+                (2, 600_010, 4, 600_002, 600_008, "mit", "mit", 0.75),
+                (3, 4, 1, 2, 2, "mit", "mit", 0.75),
+                (3, 1, 0, None, None, "", "", 0.0),
+            ],
+        )
+    )
+    assert scan_licenses(docs.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("text", ["mit license " * 4000, "all rights reserved gnu gpl " * 2000])
+def test_many_detections_in_one_text(text):
+    found = scan_text(text.encode())
+    assert found[0] == len(text.split())
+    assert found[1] == (4000 if text.startswith("mit") else 0)

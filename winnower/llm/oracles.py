@@ -107,3 +107,43 @@ select conv_id, count(*)::bigint as n_turns,
   sum(chars)::bigint as formatted_chars
 from sized group by conv_id
 """
+
+OP12_SQL = r"""
+with docs as (
+  select row_number() over () as row_id, doc_id,
+    regexp_extract_all(text, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as words
+  from documents
+),
+postings as (
+  select row_id, doc_id, any_value(n) as n, term, count(*) as tf from (
+    select row_id, doc_id, len(words) as n, translate(unnest(words),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as term
+    from docs
+  ) group by row_id, doc_id, term
+),
+total as (
+  select count(*) as docs, sum(len(words))::bigint as terms from docs where len(words) > 0
+),
+held as (select term, count(*) as df from postings group by term),
+asked as (
+  select distinct item_id, translate(
+    unnest(regexp_extract_all(text, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as term
+  from benchmark
+),
+weights as (
+  select item_id, term, floor(1000 * ln((2 * docs + 2) / (2 * df + 1)))::bigint as w
+  from asked join held using (term), total
+),
+scores as (
+  select item_id, doc_id, row_id,
+    sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // terms))))::bigint
+      as score
+  from weights join postings using (term), total
+  group by item_id, doc_id, row_id
+)
+select item_id, (row_number() over (
+    partition by item_id order by score desc, doc_id nulls first
+  ))::int as rank, doc_id, score
+from scores where score > 0 qualify rank <= 50
+"""

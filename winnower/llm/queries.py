@@ -12,9 +12,11 @@ import corpus_pipeline
 from winnower.llm.conversations import conversation_digests, format_turns, to_turns
 from winnower.llm.decontaminate import find_contamination
 from winnower.llm.language_id import identify_language
+from winnower.llm.license_scan import scan_licenses
 from winnower.llm.line_quality import score_quality
 from winnower.llm.mixing import mix_sql, with_probability
-from winnower.llm.oracles import OP1_SQL, OP5_SQL, OP6_SQL
+from winnower.llm.oracles import OP1_SQL, OP5_SQL, OP6_SQL, OP12_SQL
+from winnower.llm.ranked_search import search_ranked
 from winnower.llm.simhash import fingerprint_hex, simhash_components
 from winnower.llm.token_counts import count_tokens
 from winnower.llm.token_files import token_file_round_trip
@@ -92,6 +94,17 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_probability(_table(spark, sf_dir, "documents"))
 
 
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence labels and base places of every document."""
+    return scan_licenses(_table(spark, sf_dir, "documents"))
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 best documents of every benchmark item."""
+    documents, benchmark = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    return search_ranked(documents, benchmark)
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pipeline": corpus_pipeline.run,
     "op1_warc": op1_warc,
@@ -104,6 +117,8 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_token_output": op9_token_output,
     "op10_mix_sources": op10_mix_sources,
+    "op11_license_scan": op11_license_scan,
+    "op12_ranked_search": op12_ranked_search,
 }
 
 LLM_ORACLE_SQL: dict[str, str] = {
@@ -111,4 +126,5 @@ LLM_ORACLE_SQL: dict[str, str] = {
     "op5_quality_rules": OP5_SQL,
     "op6_chat_format": OP6_SQL,
     "op10_mix_sources": mix_sql(),
+    "op12_ranked_search": OP12_SQL,
 }
