@@ -27,7 +27,7 @@ bsd-source-code ~ redistributions ~ redistributions of source code must retain t
 apache-2.0 ~ perpetual ~ each contributor hereby grants to you a perpetual worldwide non exclusive no charge royalty free irrevocable copyright license
 apache-2.0 ~ compliance ~ you may not use this file except in compliance with the license you may obtain a copy of the license at http s? ?www apache org licenses license 2 0
 apache-2.0 ~ compliance ~ you may not use this file except in compliance with the license
-apache-1.1 ~ acknowledgment ~ this product includes software developed by the apache software foundation
+apache-1.1 ~ foundation ~ this product includes software developed by the apache software foundation
 agpl-3.0-or-later ~ affero ~ (?:under|of) the terms of the gnu affero general public license as published by the free software foundation either version 3 of the license or at your option any later version
 agpl-3.0-only ~ affero ~ (?:under|of) the terms of the gnu affero general public license version 3(?: 0)? as published by the free software foundation
 agpl-3.0 ~ affero ~ gnu affero general public license version 3 19 november 2007
@@ -62,7 +62,7 @@ unlicense ~ unencumbered ~ this is free and unencumbered software released into
 wtfpl ~ fuck ~ you just do what the fuck you want to
 cc0-1.0 ~ waives ~ (?:affirmer )?hereby overtly fully permanently irrevocably and unconditionally waives abandons and surrenders
 cc0-1.0 ~ waived ~ (?:has|have) waived all copyright and related or neighboring rights
-artistic-2.0 ~ artistic ~ everyone is permitted to copy and distribute verbatim copies of this license document but changing it is not allowed preamble this license establishes the terms
+artistic-2.0 ~ establishes ~ everyone is permitted to copy and distribute verbatim copies of this license document but changing it is not allowed preamble this license establishes the terms
 ofl-1.1 ~ font ~ this font software is licensed under the sil open font license version 1 1
 postgresql ~ postgresql ~ postgresql database management system formerly known as postgres
 python-2.0 ~ psf ~ psf is making python available to licensee on an as is basis
