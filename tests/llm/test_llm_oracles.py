@@ -27,4 +27,4 @@ def test_query_matches_oracle(spark, name):
 
 def test_every_dealt_operator_is_registered():
     numbers = {name.split("_")[0] for name in LLM_QUERIES}
-    assert numbers == {"pipeline"} | {f"op{n}" for n in range(1, 11)}
+    assert numbers == {"pipeline"} | {f"op{n}" for n in range(1, 14)}

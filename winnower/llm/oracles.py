@@ -147,3 +147,67 @@ select item_id, (row_number() over (
   ))::int as rank, doc_id, score
 from scores where score > 0 qualify rank <= 50
 """
+
+OP13_SQL = r"""
+with turns as (
+  select conv_id, coalesce(role, '') as role, coalesce(text, '') as text,
+    row_number() over (
+      partition by conv_id order by turn nulls first,
+        md5(concat_ws(chr(10), length(coalesce(role, '')), coalesce(role, ''), coalesce(text, '')))
+    ) - 1 as pos
+  from conversations where conv_id is not null
+),
+convs as (
+  select conv_id, conv_id - conv_id % 20 as base, (4294967295 - list_reduce(
+      list_concat([4294967295::bigint], flatten(list_transform(
+        range(1, length(conv_id::varchar) + 1),
+        lambda i: [ascii(substr(conv_id::varchar, i::int, 1))::bigint, -1, -1, -1, -1, -1, -1, -1, -1]
+      ))),
+      lambda c, b: case when b >= 0 then xor(c, b) when c & 1 = 1 then xor(c >> 1, 3988292384)
+        else c >> 1 end
+    )) % 4 as h
+  from (select distinct conv_id from turns)
+),
+rebuilt as (
+  select c.conv_id, list({'role': t.role, 'text': t.text} order by t.conv_id = c.conv_id and t.pos >= h, t.pos)
+    filter (t.pos is not null) as said
+  from convs c left join turns t
+    on (t.conv_id = c.base and t.pos < h) or (t.conv_id = c.conv_id and t.pos >= h)
+  group by c.conv_id
+),
+ids as (
+  select conv_id, coalesce(len(said), 0) as size, coalesce(list_transform(said,
+    lambda t: md5(concat_ws(chr(10), length(t.role), t.role, t.text))), []) as turn_ids, said
+  from rebuilt
+),
+places as (
+  select conv_id, depth, size, md5(array_to_string(list_slice(turn_ids, 1, depth), ',')) as node,
+    case when depth > 0 then md5(array_to_string(list_slice(turn_ids, 1, depth - 1), ',')) end as above,
+    case when depth > 0
+      then len(regexp_extract_all(said[depth].text, '[^\x20\x09-\x0D]+')) else 0 end as words
+  from ids, lateral (select unnest(range(0, size + 1)) as depth)
+),
+nodes as (
+  select node, depth, any_value(above) as above, min(conv_id) as conv_id, count(*) as n_convs,
+    any_value(words) as words,
+    string_agg(conv_id::varchar, ',' order by conv_id) filter (size = depth) as ended
+  from places group by node, depth
+),
+children as (select above as node, depth - 1 as depth, count(*) as n_children from nodes group by all),
+below as (
+  select distinct p.node, p.depth, q.node as under, q.depth as under_depth
+  from places p join places q on p.conv_id = q.conv_id and q.depth >= p.depth
+),
+sums as (
+  select b.node, b.depth, sum((n.n_convs - 1) * n.words) as saved_tokens,
+    count(*) filter (c.n_children is null) as n_leaves
+  from below b join nodes n on n.node = b.under and n.depth = b.under_depth
+    left join children c on c.node = b.under and c.depth = b.under_depth
+  group by b.node, b.depth
+)
+select n.conv_id, n.depth::bigint as depth, p.conv_id as parent_conv_id, n.n_convs::bigint as n_convs,
+  coalesce(c.n_children, 0)::bigint as n_children, s.n_leaves::bigint as n_leaves,
+  s.saved_tokens::bigint as saved_tokens, sha256(coalesce(n.ended, '')) as ends_sha256
+from nodes n join sums s using (node, depth) left join children c using (node, depth)
+  left join nodes p on p.node = n.above and p.depth = n.depth - 1
+"""

@@ -15,7 +15,8 @@ from winnower.llm.language_id import identify_language
 from winnower.llm.license_scan import scan_licenses
 from winnower.llm.line_quality import score_quality
 from winnower.llm.mixing import mix_sql, with_probability
-from winnower.llm.oracles import OP1_SQL, OP5_SQL, OP6_SQL, OP12_SQL
+from winnower.llm.oracles import OP1_SQL, OP5_SQL, OP6_SQL, OP12_SQL, OP13_SQL
+from winnower.llm.prefix_trie import prefix_trie
 from winnower.llm.ranked_search import search_ranked
 from winnower.llm.simhash import fingerprint_hex, simhash_components
 from winnower.llm.token_counts import count_tokens
@@ -105,6 +106,11 @@ def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search_ranked(documents, benchmark)
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the trie of rebuilt conversations."""
+    return prefix_trie(_table(spark, sf_dir, "conversations"))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pipeline": corpus_pipeline.run,
     "op1_warc": op1_warc,
@@ -119,6 +125,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_mix_sources": op10_mix_sources,
     "op11_license_scan": op11_license_scan,
     "op12_ranked_search": op12_ranked_search,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 LLM_ORACLE_SQL: dict[str, str] = {
@@ -127,4 +134,5 @@ LLM_ORACLE_SQL: dict[str, str] = {
     "op6_chat_format": OP6_SQL,
     "op10_mix_sources": mix_sql(),
     "op12_ranked_search": OP12_SQL,
+    "op13_prefix_trie": OP13_SQL,
 }
