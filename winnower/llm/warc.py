@@ -36,7 +36,8 @@ from winnower.storage import shared_folder, written
 
 _GAP = 64 << 10
 _RANGE = 8 << 20
-_STRETCH = 32 << 20
+_STRETCH = 8 << 20
+_TASK_BYTES = 32 << 20
 _GZIP = 31
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _INDEX = (
@@ -201,11 +202,16 @@ def _ranges(rows: Iterator[tuple[str, int, int]]) -> Iterator[tuple[str, list[tu
 
 
 def read_archives(index: DataFrame, folder: str) -> DataFrame:
-    """The records of selected index rows; sorted, neighbouring ranges are read at once."""
+    """The records of selected index rows; sorted, neighbouring ranges are read at once.
+
+    Stretches of files are dealt to as many tasks as their bytes ask for: adaptive
+    execution would merge them by the few bytes of their index rows.
+    """
     stretch = F.floor(F.col("offset") / _STRETCH)
+    wanted = index.agg(F.sum("length")).first()[0] or 0
     dealt = (
         index.select("file", "offset", "length")
-        .repartition("file", stretch)
+        .repartition(-(-wanted // _TASK_BYTES) or 1, "file", stretch)
         .sortWithinPartitions("file", "offset")
     )
 
