@@ -108,11 +108,39 @@ def is_corrupt(value: Column) -> Column:
     return unread & F.try_parse_json(value).isNull() & value.isNotNull()
 
 
+#: Doubles from here on times 10,000 are beyond the whole numbers that a double holds.
+_EXACT_BELOW = 2.0**38
+_SPLIT = 2.0**27 + 1
+
+
+def _ten_thousandths(score: Column) -> Column:
+    """A score of at least 0 in ten-thousandths, rounded half to even on its exact binary value.
+
+    The product with 10,000 is rounded by the machine; splitting the score into
+    halves of few bits gives the error of that rounding exactly, which decides
+    where the product lies on a half.
+    """
+    scale = F.lit(10_000.0)  # few bits, so its products with either half are exact
+    product = score * scale
+    high = F.lit(_SPLIT) * score
+    high = high - (high - score)
+    error = (high * scale - product) + (score - high) * scale
+    whole = F.floor(product)
+    half = (product - whole) - F.lit(0.5)
+    up = (half > 0) | ((half == 0) & ((error > 0) | ((error == 0) & (whole % 2 == 1))))
+    return F.when(up, whole + 1).otherwise(whole)
+
+
 def score_text(score: Column) -> Column:
-    """Score with four decimals, halves to even; NULL becomes ``""``.
+    """Score with four decimals, halves to even on the exact value; NULL becomes ``""``.
 
-    The sign is set apart to survive in ``-0.0000``.
+    The sign is set apart to survive in ``-0.0000``. Scores too large for an exact
+    product are formatted from their decimal text.
     """
     sign = F.when(score < 0, "-").otherwise("")
-    digits = F.format_string("%s%.4f", sign, F.bround(F.abs(score), 4))
-    return F.when(score.isNull(), "").otherwise(digits)
+    size = F.abs(score)
+    exact = size < F.lit(_EXACT_BELOW)
+    units = _ten_thousandths(F.when(exact, size).otherwise(0.0))
+    digits = F.format_string("%s%d.%04d", sign, F.floor(units / 10_000), units % 10_000)
+    large = F.format_string("%s%.4f", sign, F.bround(size, 4))
+    return F.when(score.isNull(), "").when(exact, digits).otherwise(large)
