@@ -13,9 +13,10 @@ def keep_first(selected: DataFrame, key: str = "key", order: str = "seq") -> Dat
 
     Spark puts a group limit in front of the shuffle, so a map task sends one
     row per key: a key that fills a third of the table arrives as one row per
-    map task. Of rows equal in both, any one is kept.
+    map task. Of rows equal in both, any one is kept. A NULL ``order`` comes last,
+    here as in the other functions of this module.
     """
-    by_key = Window.partitionBy(key).orderBy(order)
+    by_key = Window.partitionBy(key).orderBy(F.asc_nulls_last(order))
     return (
         selected.withColumn("_copy", F.row_number().over(by_key))
         .where(F.col("_copy") == 1)
@@ -31,7 +32,7 @@ def keep_first_in_order(selected: DataFrame, key: str = "key", order: str = "seq
     combines copies before its shuffle. One range shuffle by both then brings
     rows and survivors together, so a repeated ``order`` does not gather in one
     task and may belong to several keys; of rows equal in both, one is kept.
-    A NULL ``order`` counts only for a key that has no other.
+    A NULL ``order`` counts only for a key that has no other, and sorts last.
     ``selected`` is read twice and should be a written table.
     """
     survivors = selected.groupBy(key).agg(F.min(order).alias(order))
@@ -40,11 +41,11 @@ def keep_first_in_order(selected: DataFrame, key: str = "key", order: str = "seq
     )
     same = Window.partitionBy(order, key)
     return (
-        marked.repartitionByRange(order, key)
+        marked.repartitionByRange(F.asc_nulls_last(order), key)
         .withColumn("_survives", F.max("_survivor").over(same))
         .withColumn("_copy", F.row_number().over(same.orderBy("_survivor")))
         .where(F.col("_survives") & ~F.col("_survivor") & (F.col("_copy") == 1))
-        .sortWithinPartitions(order, key)
+        .sortWithinPartitions(F.asc_nulls_last(order), key)
         .drop("_survives", "_survivor", "_copy")
     )
 
@@ -58,11 +59,11 @@ def first_kept(selected: DataFrame, rows: int, order: str = "seq") -> DataFrame:
     that a few hundred rows do not cost a deduplication of everything.
     """
     low, high, total = selected.agg(F.min(order), F.max(order), F.count(order)).first()
-    if low is None:
-        return selected.limit(0)
-    span = 4 * rows * math.ceil((high - low + 1) / total)
-    while True:
+    last = F.asc_nulls_last(order)
+    span = 4 * rows * math.ceil((high - low + 1) / total) if total else 0
+    while total and low + span <= high:
         head = keep_first(selected.where(F.col(order) < low + span), order=order)
-        if low + span > high or head.count() >= rows:
-            return head.orderBy(order).limit(rows)
+        if head.count() >= rows:
+            return head.orderBy(last).limit(rows)
         span *= 4
+    return keep_first(selected, order=order).orderBy(last).limit(rows)

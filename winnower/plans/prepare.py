@@ -105,7 +105,7 @@ def prepare_dataset(
     if dedup:
         kept = keep_first_in_order(selected) if ordered else keep_first(selected)
     else:
-        kept = selected.orderBy("seq") if ordered else selected
+        kept = selected.orderBy(F.asc_nulls_last("seq")) if ordered else selected
     written = Observation()
     kept = kept.observe(written, F.count(F.lit(1)).alias("kept_rows"))
     dataset = write_records(instruction_records(kept, null_as), dataset_dir, dataset_name)
@@ -124,7 +124,7 @@ def prepare_dataset(
         if dedup:
             head = first_kept(selected, demo_rows)
         else:
-            head = selected.orderBy("seq").limit(demo_rows)
+            head = selected.orderBy(F.asc_nulls_last("seq")).limit(demo_rows)
         same_folder = demo_dir.rstrip("/") == dataset_dir.rstrip("/")
         demo = write_records(
             instruction_records(head, null_as),

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import json
+import re
 import uuid
+from urllib.parse import urlsplit
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -14,14 +16,16 @@ _WAREHOUSE_DIR = "spark.sql.warehouse.dir"
 def shared_folder(spark: SparkSession, label: str) -> str:
     """New folder name below the checkpoint folder that the cluster names.
 
-    A session without that setting keeps such folders in its warehouse, which
-    all executors share as well.
+    A session without that setting keeps such folders in its warehouse, if all
+    executors can see it: a folder of the driver's own machine is refused unless
+    the executors run there too.
     """
-    base = (
-        spark.conf.get(_CHECKPOINT_DIR, None)
-        or spark.sparkContext.getCheckpointDir()
-        or spark.conf.get(_WAREHOUSE_DIR)
-    )
+    base = spark.conf.get(_CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
+    if not base:
+        base = spark.conf.get(_WAREHOUSE_DIR)
+        own = urlsplit(base).scheme in ("", "file")
+        if own and not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError(f"set {_CHECKPOINT_DIR}: executors do not share {base}")
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
@@ -42,6 +46,14 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return system.exists(target)
 
 
+def file_names(spark: SparkSession, folder: str) -> list[str]:
+    """Names of what a folder holds; none if it does not exist."""
+    target, system = _hadoop_path(spark, folder)
+    if not system.exists(target):
+        return []
+    return [status.getPath().getName() for status in system.listStatus(target)]
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     target, system = _hadoop_path(spark, path)
     system.delete(target, True)
