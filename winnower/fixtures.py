@@ -48,6 +48,33 @@ def document_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs_of_documents(spread(documents, int(pieces) if pieces else None))
 
 
+_SWAPPED = "aeiounrst", "qxzjkwvyq"
+
+
+def garbled_pairs(pairs: DataFrame) -> DataFrame:
+    """The pairs with some responses garbled: letters lost, or swapped for others."""
+    seq, response = F.col("seq"), F.col("response")
+    garbled = (
+        F.when(seq % 53 == 11, F.replace(response, F.lit("e"), F.lit("\ufffd")))
+        .when(seq % 59 == 13, F.translate(response, *_SWAPPED))
+        .otherwise(response)
+    )
+    return pairs.withColumn("response", garbled)
+
+
+def faulty_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All turns, some of them in a wrong role, an unknown one or none."""
+    place = F.col("conv_id") * 7 + F.col("turn")
+    role = (
+        F.when(place % 23 == 4, "system")
+        .when(place % 29 == 5, F.lit(None).cast("string"))
+        .when(place % 31 == 6, "bot")
+        .when(place % 19 == 3, "assistant")
+        .otherwise(F.col("role"))
+    )
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", role.alias("role"))
+
+
 def json_lines_of_pairs(pairs: DataFrame) -> DataFrame:
     """The pairs as lines of JSON, of which some are cut short."""
     line = F.to_json(F.struct("seq", "question", "response", "system_prompt", "id"))

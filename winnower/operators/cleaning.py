@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from winnower.config import CleaningRules
+from winnower.functions.garbled import GarbledRule, PairModel, fit_pair_model, is_garbled
 from winnower.functions.text import (
     has_char_run,
     is_repetitive,
@@ -45,6 +48,23 @@ def fails_repetition(r: Column, rules: CleaningRules) -> Column:
     return is_repetitive(r, rules.drop_if_rep_ratio_ge, rules.rep_ratio_min_tokens)
 
 
+@dataclass(frozen=True)
+class GarbledCheck:
+    """The garbled rule with its model of pairs, for the functions that take it as an extra rule."""
+
+    rule: GarbledRule = GarbledRule()
+    model: PairModel | None = None
+
+    def fails(self, r: Column) -> Column:
+        return is_garbled(r, self.rule, self.model)
+
+
+def garbled_check(pairs: DataFrame, rule: GarbledRule = GarbledRule()) -> GarbledCheck:
+    """The check with a model of the responses of these pairs, which costs a pass over them."""
+    rows = with_normalised(pairs).select("r")
+    return GarbledCheck(rule, fit_pair_model(rows, F.col("r")))
+
+
 def drop_failing(rows: DataFrame, rule: str, fails: Column) -> DataFrame:
     """Drop the rows that fail one rule, observing how many those are.
 
@@ -84,13 +104,19 @@ def parsed_only(rows: DataFrame, reason: Column) -> Column:
     return reason
 
 
-def label_rows(pairs: DataFrame, rules: CleaningRules = CleaningRules()) -> DataFrame:
+def label_rows(
+    pairs: DataFrame, rules: CleaningRules = CleaningRules(), garbled: GarbledCheck | None = None
+) -> DataFrame:
     """Add ``q``, ``r`` and ``drop_reason``: the first failing rule, else ``valid``.
 
     A CASE stops at its first match, so the cheap rules save the costly ones
-    work, and the length cap bounds the work on one row.
+    work, and the length cap bounds the work on one row. The reason ``garbled``
+    comes last, and only if that check is given.
     """
     rows = with_normalised(pairs)
     q, r = F.col("q"), F.col("r")
-    reason = cheap_reason(q, r, rules, costly_reason(q, r, rules, F.lit("valid")))
+    passed = F.lit("valid")
+    if garbled:
+        passed = F.when(garbled.fails(r), "garbled").otherwise(passed)
+    reason = cheap_reason(q, r, rules, costly_reason(q, r, rules, passed))
     return rows.withColumn("drop_reason", parsed_only(rows, reason))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from winnower import fixed_values as fixed
+from winnower.functions.garbled import GarbledRule
 from winnower.functions.hashing import score_bound
 from winnower.queries import BASELINE, CANDIDATE, FIRST_ROWS, QUARTER
 
@@ -150,6 +151,84 @@ pairs as (
   from turns u join turns a on a.conv_id = u.conv_id and a.turn = u.turn + 1
   where u.role = 'user' and a.role = 'assistant')"""
 
+_GARBLED = GarbledRule()
+_GARBLED_PAIRS = _NORMAL.replace(
+    _PAIRS,
+    f"""{_PAIRS.replace("src as", "plain as", 1)},
+src as (
+  select * replace (case when seq % 53 = 11 then replace(response, 'e', chr(65533))
+    when seq % 59 = 13 then translate(response, 'aeiounrst', 'qxzjkwvyq') else response end
+    as response)
+  from plain)""",
+)
+
+
+def _with_garbled(ctes: str) -> str:
+    """Adds ``b``: the share of bad characters and the surprise of letter pairs of each response."""
+    return rf"""{ctes},
+codes as (
+  select seq, list_transform(string_split(lower(r), ''), lambda c: unicode(c)) as u
+  from n where length(r) > 1),
+near as (
+  select seq, (u[i] * 257 + u[i + 1]) % 4093 as pair, u[i] % 4093 as first
+  from (select seq, u, unnest(range(1, len(u))) as i from codes)),
+counted as (select pair, first, count(*) as n from near group by all),
+firsts as (select first, sum(n) as of_first from counted group by first),
+chosen as (select pair, sum(n) as n, arg_max(first, (n, first)) as first from counted group by pair),
+model as (
+  select pair, greatest(0, floor(-log2((n + 0.5::double) / (of_first + 0.5::double * 4093)) * 1000))::bigint as m
+  from chosen join firsts using (first)),
+surprise as (
+  select seq, sum(m) // count(*) as millibits from near join model using (pair) group by seq),
+b as (
+  select seq, case when r = '' then 0.0::double else
+      len(regexp_extract_all(r, '[\x{{FFFD}}\x00-\x08\x0E-\x1F\x7F-\x84\x86-\x9F\x{{E000}}-\x{{F8FF}}]'))
+      / length(r) end as bad_share,
+    millibits::bigint as millibits,
+    bad_share >= {_GARBLED.max_share}::double
+      or (length(r) >= {_GARBLED.min_chars} and coalesce(millibits, 0) >= {_GARBLED.max_millibits}) as bad
+  from n left join surprise using (seq))"""
+
+
+_NEAR = f"""{_NORMAL},
+texts as (select seq, trim(concat_ws(' ', lower(q), lower(r)), ' ') as t from n),
+words as (select seq, t, case when t = '' then [] else string_split(t, ' ') end as w from texts),
+sets as (
+  select seq, list_sort(list_distinct(case when len(w) = 0 then [] when len(w) < 5 then [md5(t)]
+    else list_transform(range(1, len(w) - 3), lambda i: md5(array_to_string(w[i:i + 4], ' '))) end)) as s
+  from words),
+nodes as (select s, min(seq) as node from sets group by s),
+members as (select seq, node from sets join nodes using (s)),
+shingles as (select node, len(s) as size, unnest(s) as h from nodes),
+shared as (
+  select a.node as a, b.node as b, any_value(a.size) + any_value(b.size) as total, count(*) as common
+  from shingles a join shingles b on a.h = b.h and a.node < b.node group by all),
+links as (select a, b from shared where 100 * common >= 80 * (total - common)),
+both_ways as (select a, b from links union all select b, a from links),
+reach as (
+  select node as a, node as b from nodes
+  union
+  select reach.a, both_ways.b from reach join both_ways on reach.b = both_ways.a),
+classes as (select a as node, min(b) as class_id from reach group by a)"""
+
+_ROLES = """
+turns as (
+  select conv_id, turn, case
+      when (conv_id * 7 + turn) % 23 = 4 then 'system' when (conv_id * 7 + turn) % 29 = 5 then null
+      when (conv_id * 7 + turn) % 31 = 6 then 'bot' when (conv_id * 7 + turn) % 19 = 3 then 'assistant'
+      else role end as role
+  from conversations),
+placed as (
+  select *, row_number() over w - 1 as place, lag(role) over w as before from turns
+  window w as (partition by conv_id order by turn nulls first, role nulls first)),
+faults as (
+  select *, case
+      when role is null or role not in ('user', 'assistant', 'system') then 'unknown_role'
+      when role = 'system' and place > 0 then 'late_system'
+      when (place = 0 or before = 'system') and role = 'assistant' then 'answer_first'
+      when place > 0 and role = before then 'repeated_role' end as fault
+  from placed)"""
+
 _MANIFEST_ROWS = ", ".join(f"('{n}', '{field}')" for n, field in fixed.MANIFEST_COLUMNS.items())
 
 ORACLE_SQL: dict[str, str] = {
@@ -181,6 +260,23 @@ from n left join rp using (seq)""",
 select case when seq % 89 = 3 then 'other' else drop_reason end as drop_reason,
   count(*) as n_rows
 from v group by 1""",
+    "garbled_share": f"""with {_with_garbled(_GARBLED_PAIRS)}
+select seq, bad_share, millibits from b""",
+    "garbled_filter": f"with {_with_garbled(_GARBLED_PAIRS)} select seq from b where not bad",
+    "garbled_waterfall": f"""with {_with_garbled(_LABELS.replace(_NORMAL, _GARBLED_PAIRS))}
+select case when drop_reason = 'valid' and bad then 'garbled' else drop_reason end as drop_reason,
+  count(*) as n_rows
+from v join b using (seq) group by 1""",
+    "near_duplicate_pairs": f"""with recursive {_NEAR}
+select seq, class_id, seq = class_id as is_first from members join classes using (node)""",
+    "role_check": f"""with {_ROLES}
+select conv_id, count(*) as n_turns, arg_min_null(role, place) as first_role,
+  arg_max_null(role, place) as last_role,
+  coalesce(arg_min(fault, place) filter (fault is not null),
+    case when arg_max_null(role, place) is distinct from 'assistant' then 'open_end' end) as fault,
+  coalesce(min(place) filter (fault is not null),
+    case when arg_max_null(role, place) is distinct from 'assistant' then max(place) end) as fault_at
+from faults group by conv_id""",
     "content_key": f"with {_NORMAL} select seq, {_KEY} as content_key from n",
     "hash_score": f"""with {_NORMAL},
 k as (select seq, {_KEY} as k from n),
@@ -250,6 +346,8 @@ from (values ('instructions'), ('instructions_demo')) f(file_name),
   (values {_MANIFEST_ROWS}) c(name, field)""",
     "source_scan_many_files": """select row_number() over (order by doc_id) - 1 as seq, doc_id, source
 from documents""",
+    "source_scan_json": "select row_number() over (order by doc_id) - 1 as seq, doc_id, source from documents",
+    "pinned_scan": "select row_number() over (order by doc_id) - 1 as seq, doc_id, source from documents",
     "source_scan": "select row_number() over () - 1 as seq, doc_id, source from documents",
     "first_n_rows": f"""select seq, doc_id, text
 from (select row_number() over () - 1 as seq, doc_id, text from documents)
@@ -276,6 +374,8 @@ select run, task, fewshot, metric, base_score, sft_score, delta from compared"""
 select conv_id, turn, {_normal("question")} as instruction, '' as input,
   {_normal("response")} as output, {_SYSTEM} as system, '[]' as history, id as source_id
 from pairs""",
+    "stream_first_copy": f"""with {_SCORED}, {_selected(_WHOLE_BOUND)}, {_FIRST}
+select seq, q, r from d where copy = 1""",
     "stream_clean": f"""with {_SCORED}, {_selected(_WHOLE_BOUND)}, {_FIRST}
 select lower(q) as q, lower(r) as r from d where copy = 1""",
 }
@@ -283,5 +383,6 @@ ORACLE_SQL["stream_progress"] = f"""select seen_rows, selected_rows, not_sampled
   kept_rows, dropped_dedup, dropped_empty, dropped_length, dropped_char_run,
   dropped_repetition, dropped_other, {QUARTER.probability}::double as p
 from ({ORACLE_SQL["cleaning_stats"]})"""
+ORACLE_SQL["stream_progress_pushed"] = ORACLE_SQL["stream_progress"]
 ORACLE_SQL["stats_roundtrip"] = ORACLE_SQL["cleaning_stats"]
 ORACLE_SQL["result_files"] = ORACLE_SQL["metric_resolve"]

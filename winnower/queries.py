@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from winnower import fixed_values as fixed
 from winnower import fixtures
 from winnower.config import CleaningRules, Sampling
+from winnower.functions.garbled import garbled_share
 from winnower.functions.hashing import content_key, score_hex, score_value
 from winnower.functions.metrics import score_text
 from winnower.functions.records import RECORD_COLUMNS, instruction_records, record_json
@@ -26,11 +27,14 @@ from winnower.operators.cleaning import (
     fails_empty,
     fails_length,
     fails_repetition,
+    garbled_check,
     label_rows,
     with_normalised,
 )
 from winnower.operators.compare import compare_many, compare_runs, resolve_scores
 from winnower.operators.dedup import first_kept, keep_first, keep_first_in_order
+from winnower.operators.near_duplicates import near_duplicate_classes
+from winnower.operators.roles import role_check
 from winnower.operators.selection import decide_rows, select_rows
 from winnower.operators.tally import drop_waterfall as waterfall
 from winnower.operators.tally import stats_counts, stats_report
@@ -39,17 +43,23 @@ from winnower.plans.prepare import prepare_dataset
 from winnower.sinks.comparison import markdown_table, write_csv
 from winnower.sinks.dataset import DEMO_MANIFEST_FILE, MANIFEST_FILE
 from winnower.sources.json_pairs import read_json_pairs
+from winnower.sources.numbered_lines import read_numbered_lines
 from winnower.sources.ordered import read_first, read_ordered
 from winnower.sources.results import read_results
+from winnower.sources.snapshot import pin_snapshot, read_pinned
 from winnower.storage import shared_folder, written
 from winnower.streaming.clean import ProgressLog, start_clean_stream
+from winnower.streaming.first_copies import FirstCopies, start_first_copy_stream
+from winnower.streaming.progress import PushedProgress, next_batch
 
 RULES = CleaningRules()
 QUARTER = Sampling(hash_prob=0.25)
 EVERYTHING = Sampling(hash_prob=1.0)
 FIRST_ROWS = 333
 STREAM_FILES = 6
+STREAM_TRIGGERS = 4
 SCAN_FILES = 40
+JSON_FILES = 12
 BASELINE, CANDIDATE = "src0", "src1"
 
 
@@ -159,6 +169,42 @@ def bad_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Selection and deduplication
 
 
+def _garbled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fixtures.garbled_pairs(fixtures.document_pairs(spark, sf_dir))
+
+
+def garbled_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Share of bad characters and surprise of letter pairs of every response."""
+    pairs = _garbled(spark, sf_dir)
+    model = garbled_check(pairs).model
+    return with_normalised(pairs).select(
+        "seq",
+        garbled_share(F.col("r")).alias("bad_share"),
+        model.surprise(F.col("r")).alias("millibits"),
+    )
+
+
+def garbled_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = _garbled(spark, sf_dir)
+    rows = with_normalised(pairs).select("seq", "q", "r")
+    return drop_failing(rows, "garbled", garbled_check(pairs).fails(F.col("r"))).select("seq")
+
+
+def garbled_waterfall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Drop counts with the garbled rule switched on."""
+    pairs = _garbled(spark, sf_dir)
+    return waterfall(label_rows(pairs, RULES, garbled_check(pairs)))
+
+
+def near_duplicate_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class of every pair by its five-word shingles, and whether it is the first of its class."""
+    text = F.trim(F.concat_ws(" ", F.lower("q"), F.lower("r")))
+    found = near_duplicate_classes(_normalised(spark, sf_dir).select("seq", "q", "r"), text)
+    return found.select(
+        F.col("id").alias("seq"), "class_id", (F.col("id") == F.col("class_id")).alias("is_first")
+    )
+
+
 def hash_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = fixtures.document_pairs(spark, sf_dir).select("seq", "question", "response")
     return select_rows(pairs, RULES, QUARTER, count_all=False).select("seq")
@@ -267,14 +313,38 @@ def source_scan_many_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Row numbers over many uneven files, whose order is that of doc_id."""
     folder = shared_folder(spark, "many-files")
     documents = fixtures.table(spark, sf_dir, "documents").select("doc_id", "source")
-    last = documents.agg(F.max("doc_id")).first()[0] or 0
-    part = F.floor(F.sqrt(F.col("doc_id") / F.lit(last + 1)) * SCAN_FILES)
-    parts = documents.withColumn("part", F.lpad(part.cast("string"), 3, "0"))
-    ordered = parts.repartition(SCAN_FILES, "part").sortWithinPartitions("part", "doc_id")
-    ordered.write.partitionBy("part").parquet(folder)
+    _uneven(documents, SCAN_FILES).write.partitionBy("part").parquet(folder)
     return read_ordered(spark, folder, ["doc_id", "source"])
 
 
+def _uneven(rows: DataFrame, files: int) -> DataFrame:
+    """The rows in so many folders of uneven size, in order of doc_id."""
+    last = rows.agg(F.max("doc_id")).first()[0] or 0
+    part = F.floor(F.sqrt(F.col("doc_id") / F.lit(last + 1)) * files)
+    parts = rows.withColumn("part", F.lpad(part.cast("string"), 3, "0"))
+    return parts.repartition(files, "part").sortWithinPartitions("part", "doc_id")
+
+
+def source_scan_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row numbers of JSON Lines without a field for them, over uneven files."""
+    folder = shared_folder(spark, "json-lines")
+    documents = fixtures.table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    line = F.to_json(F.struct("doc_id", "source", "text")).alias("value")
+    lines = _uneven(documents, JSON_FILES).select(line, "part")
+    lines.write.partitionBy("part").text(folder)
+    record = F.from_json("value", "doc_id bigint, source string").alias("record")
+    return read_numbered_lines(spark, folder).select("seq", record).select("seq", "record.*")
+
+
+def pinned_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row numbers from the manifest of a snapshot that was checked before."""
+    folder, manifest = shared_folder(spark, "pinned"), shared_folder(spark, "manifest")
+    documents = fixtures.table(spark, sf_dir, "documents").select("doc_id", "source")
+    _uneven(documents, SCAN_FILES).write.partitionBy("part").parquet(folder)
+    pin_snapshot(spark, folder, manifest)
+    return read_pinned(spark, folder, manifest, ["doc_id", "source"])
+
+
 def prepare_first_n(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main path as a whole: first rows of many files, prepared in order, with all sinks.
 
@@ -419,15 +489,20 @@ def conversation_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat_history(records)
 
 
+def role_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First fault in the order of roles of every conversation."""
+    return role_check(fixtures.faulty_turns(spark, sf_dir))
+
+
 # Streaming
 
 
-def _document_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pairs of all documents from a source of several files, two for each trigger."""
+def _document_stream(spark: SparkSession, sf_dir: str, files: int = 2) -> DataFrame:
+    """Pairs of all documents from a source of several files, so many for each trigger."""
     folder = shared_folder(spark, "stream-source")
     documents = fixtures.table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     documents.repartition(STREAM_FILES, "doc_id").write.parquet(folder)
-    reader = spark.readStream.schema(documents.schema).option("maxFilesPerTrigger", 2)
+    reader = spark.readStream.schema(documents.schema).option("maxFilesPerTrigger", files)
     return fixtures.pairs_of_documents(reader.parquet(folder))
 
 
@@ -469,6 +544,54 @@ def stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("p", F.lit(log.p))
 
 
+def stream_progress_pushed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counters of the same stream as Spark pushed them, one file for each trigger."""
+    progress, state = PushedProgress(), shared_folder(spark, "stream-state")
+    first = next_batch(spark, state)
+    spark.streams.addListener(progress)
+    try:
+        query = start_clean_stream(
+            _document_stream(spark, sf_dir, files=1),
+            shared_folder(spark, "stream"),
+            state,
+            RULES,
+            QUARTER,
+            dedup=True,
+            salt_column="seq",
+        )
+        progress.expect(query, first)
+        query.awaitTermination()
+        report = progress.report(query, QUARTER)
+    finally:
+        spark.streams.removeListener(progress)
+    counts = {name: value for name, value in report.items() if isinstance(value, int)}
+    schema = ", ".join(f"{name} bigint" for name in counts)
+    rows = spark.createDataFrame([tuple(counts.values())], schema)
+    return rows.withColumn("p", F.lit(report["p"]))
+
+
+def stream_first_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First copies that a stream kept over several triggers, of which the last one ran twice."""
+    source = shared_folder(spark, "stream-source")
+    documents = fixtures.table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    last = documents.agg(F.max("doc_id")).first()[0] or 0
+    for part in range(STREAM_TRIGGERS):  # one after the other, so that their times are in order
+        bounds = (last + 1) * part // STREAM_TRIGGERS, (last + 1) * (part + 1) // STREAM_TRIGGERS
+        rows = documents.filter(F.col("doc_id").between(bounds[0], bounds[1] - 1))
+        rows.coalesce(1).write.mode("append").parquet(source)
+    reader = spark.readStream.schema(documents.schema).option("maxFilesPerTrigger", 1)
+    copies = FirstCopies(shared_folder(spark, "first-copies"), RULES, EVERYTHING, keep=("seq",))
+    pairs = fixtures.pairs_of_documents(reader.parquet(source))
+    start_first_copy_stream(pairs, copies, shared_folder(spark, "stream-state")).awaitTermination()
+    rows = spark.read.schema(documents.schema).parquet(source)
+    again = rows.filter(F.col("doc_id") >= (last + 1) * (STREAM_TRIGGERS - 1) // STREAM_TRIGGERS)
+    copies(fixtures.pairs_of_documents(again), STREAM_TRIGGERS - 1)
+    schema = "seq bigint, instruction string, output string"
+    return spark.read.schema(schema).json(copies.records).select(
+        "seq", F.col("instruction").alias("q"), F.col("output").alias("r")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "coerce_fields": coerce_fields,
     "normalize_text": normalize_text,
@@ -479,6 +602,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "length_filter": length_filter,
     "char_run_filter": char_run_filter,
     "repetition_filter": repetition_filter,
+    "garbled_share": garbled_shares,
+    "garbled_filter": garbled_filter,
+    "garbled_waterfall": garbled_waterfall,
+    "near_duplicate_pairs": near_duplicate_pairs,
     "drop_reason": drop_reason,
     "drop_waterfall": drop_waterfall,
     "bad_records": bad_records,
@@ -501,6 +628,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stats_roundtrip": stats_roundtrip,
     "source_scan": source_scan,
     "source_scan_many_files": source_scan_many_files,
+    "source_scan_json": source_scan_json,
+    "pinned_scan": pinned_scan,
     "first_n_rows": first_n_rows,
     "metric_resolve": metric_resolve,
     "result_files": result_files,
@@ -511,6 +640,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "metric_csv": metric_csv,
     "conversation_pairs": conversation_pairs,
     "conversation_records": conversation_records,
+    "role_check": role_checks,
     "stream_clean": stream_clean,
     "stream_progress": stream_progress,
+    "stream_progress_pushed": stream_progress_pushed,
+    "stream_first_copy": stream_first_copy,
 }

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from winnower.functions.metrics import quoted
 from winnower.operators.cleaning import CORRUPT_COLUMN
+from winnower.sources.numbered_lines import read_numbered_lines
 
 TEXT_FIELDS = ("question", "response")
 LITERAL_FIELDS = ("system_prompt", "id")
@@ -44,24 +45,30 @@ def _literal(name: str) -> Column:
 
 
 def read_json_pairs(
-    spark: SparkSession, path: str | list[str], order_field: str = "seq bigint"
+    spark: SparkSession, path: str | list[str], order_field: str | None = "seq bigint"
 ) -> DataFrame:
     """Pairs of JSON Lines files, plus the raw text of records that are broken.
 
-    JSON files carry no row positions, so the order comes from a field of the
-    record, declared in ``order_field``. Each line is parsed once into a variant,
-    which tells an absent field from a null one and 0 from "0". Records that do
-    not parse, are no objects or have no order value stay in the result and are
-    labelled ``other`` later on.
+    The order comes from a field of the record, declared in ``order_field``; with
+    None it is the number of the line in stored order, ``seq``, which costs a pass
+    that counts lines. Each line is parsed once into a variant, which tells an
+    absent field from a null one and 0 from "0". Records that do not parse, are no
+    objects or have no order value stay in the result and are labelled ``other``
+    later on.
     """
-    order, kind = order_field.split()
-    lines = spark.read.text(path).withColumns(
+    if order_field is None:
+        order, position = "seq", F.col("seq")
+        lines = read_numbered_lines(spark, path)
+    else:
+        order, kind = order_field.split()
+        position = F.expr(f"_written[{quoted(order)}]").try_cast(kind)
+        lines = spark.read.text(path)
+    lines = lines.withColumns(
         {
             "_record": F.try_parse_json("value"),
             "_written": F.from_json("value", "map<string,string>"),
         }
     )
-    position = F.expr(f"_written[{quoted(order)}]").try_cast(kind)
     whole = F.schema_of_variant("_record").startswith("OBJECT") & position.isNotNull()
     return lines.select(
         position.alias(order),

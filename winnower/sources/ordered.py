@@ -15,6 +15,8 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from winnower.sources.offsets import bounded
+
 _SPARK_HASH_SEED = 42
 _FIRST_HEAD_FILES = 16
 _HEAD_GROWTH = 8
@@ -27,44 +29,49 @@ def _stored_order(path: str) -> tuple:
     return folder, [int(part) if i % 2 else part for i, part in enumerate(parts)], name
 
 
-def _listed_files(spark: SparkSession, paths: list[str]) -> list[str]:
-    """Files of the given paths in order, as Spark's own file index on the driver holds them.
+def file_order(scan: DataFrame, paths: list[str]) -> list[str]:
+    """Files of a scan of the given paths in stored order, as rows show their paths.
 
-    Local paths are listed as ``file:///x`` but appear as ``file:/x`` in the
-    metadata of a row. Several paths keep the order in which they were given.
+    Spark's own file index on the driver holds them. Local paths are listed as
+    ``file:///x`` but appear as ``file:/x`` in the metadata of a row. Several paths
+    keep the order in which they were given.
     """
+    listed = [re.sub(r"^(\w+):///", r"\1:/", file) for file in scan.inputFiles()]
+    if len(paths) == 1:
+        return sorted(set(listed), key=_stored_order)
+    reader = scan.sparkSession.read
     files: list[str] = []
     for path in paths:
-        listed = spark.read.parquet(path).inputFiles()
-        files += sorted((re.sub(r"^(\w+):///", r"\1:/", file) for file in listed), key=_stored_order)
+        own = reader.text(path).inputFiles()
+        files += sorted((re.sub(r"^(\w+):///", r"\1:/", file) for file in own), key=_stored_order)
     return list(dict.fromkeys(files))
 
 
-def _path_hash(path: str) -> int:
+def _listed_files(spark: SparkSession, paths: list[str]) -> list[str]:
+    return file_order(spark.read.parquet(*paths), paths)
+
+
+def path_hash(path: str) -> int:
     """Spark's xxhash64 of a path."""
     unsigned = xxhash.xxh64_intdigest(path, seed=_SPARK_HASH_SEED)
     return unsigned - (1 << 64) if unsigned >> 63 else unsigned
 
 
-def _file_offsets(scan: DataFrame, files: list[str]) -> DataFrame:
-    """Rows before each file, as ``(_file, _offset)``: 16 bytes for each file.
+def offsets_of_files(counts: DataFrame, files: list[str]) -> DataFrame:
+    """Rows before each file, as ``(_file, _place, _offset)``, from ``(_file, _rows)``.
 
-    Files are known by a 64-bit hash of their path. Counting reads the parquet
-    footers only. The running sum goes through groups of about sqrt(files)
-    neighbouring files, so that neither step ever sorts all files in one task.
+    Files are known by a 64-bit hash of their path. The running sum goes through
+    groups of about sqrt(files) neighbouring files, so that neither step ever sorts
+    all files in one task.
     """
-    hashes = [_path_hash(file) for file in files]
+    hashes = [path_hash(file) for file in files]
     if len(set(hashes)) < len(files):
         raise ValueError("two files of the source have paths of equal hash")
-    places = scan.sparkSession.createDataFrame(
+    places = counts.sparkSession.createDataFrame(
         list(zip(hashes, range(len(files)), strict=True)), "_file long, _place long"
     )
-    counts = (
-        scan.select(F.xxhash64("_metadata.file_path").alias("_file"))
-        .groupBy("_file")
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .join(F.broadcast(places), "_file")
-        .withColumn("_group", F.floor(F.col("_place") / (math.isqrt(len(files)) + 1)))
+    counts = counts.join(bounded(places, len(files)), "_file").withColumn(
+        "_group", F.floor(F.col("_place") / (math.isqrt(len(files)) + 1))
     )
     earlier = (Window.unboundedPreceding, -1)
     group_offsets = (
@@ -80,15 +87,23 @@ def _file_offsets(scan: DataFrame, files: list[str]) -> DataFrame:
     in_group = Window.partitionBy("_group").orderBy("_place").rowsBetween(*earlier)
     return (
         counts.withColumn("_within", F.coalesce(F.sum("_rows").over(in_group), F.lit(0)))
-        .join(F.broadcast(group_offsets), "_group")
+        .join(bounded(group_offsets, math.isqrt(len(files)) + 1), "_group")
         .select(
-            "_file", (F.coalesce("_group_offset", F.lit(0)) + F.col("_within")).alias("_offset")
+            "_file",
+            "_place",
+            (F.coalesce("_group_offset", F.lit(0)) + F.col("_within")).alias("_offset"),
         )
     )
 
 
+def _file_offsets(scan: DataFrame, files: list[str]) -> DataFrame:
+    """Rows before each file, as ``(_file, _offset)``; counting reads the footers only."""
+    counts = scan.select(F.xxhash64("_metadata.file_path").alias("_file")).groupBy("_file")
+    return offsets_of_files(counts.agg(F.count(F.lit(1)).alias("_rows")), files).drop("_place")
+
+
 def _numbered(scan: DataFrame, files: list[str], columns: list[str]) -> DataFrame:
-    """Rows with ``seq``. The offsets are broadcast, so no row of the source is shuffled."""
+    """Rows with ``seq``. Offsets of so few files are broadcast, so no row is shuffled."""
     rows = scan.select(
         F.xxhash64("_metadata.file_path").alias("_file"),
         F.col("_metadata.row_index").alias("_position"),
@@ -96,7 +111,8 @@ def _numbered(scan: DataFrame, files: list[str], columns: list[str]) -> DataFram
     )
     unlisted = F.raise_error(F.lit("a file of the scan is not among the listed ones"))
     before = F.coalesce(F.col("_offset"), unlisted.cast("long"))
-    return rows.join(F.broadcast(_file_offsets(scan, files)), "_file", "left").select(
+    offsets = bounded(_file_offsets(scan, files), len(files))
+    return rows.join(offsets, "_file", "left").select(
         (before + F.col("_position")).alias("seq"), *columns
     )
 

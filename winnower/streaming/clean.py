@@ -103,12 +103,17 @@ class ProgressLog:
 
     Spark keeps the progress of the latest triggers only (100 unless configured).
     ``update`` raises if triggers went by unseen rather than lose their counts;
-    call it more often, or have Spark keep more. The counters are for watching:
-    Spark may count a row again if it repeats a task before a shuffle.
+    call it more often, have Spark keep more, or use ``PushedProgress``, which
+    cannot miss any. Those before the first call are only noticed if ``first_batch``
+    names the trigger where the run began. The counters are for watching: Spark may
+    count a row again if it repeats a task before a shuffle.
     """
 
-    def __init__(self, query: StreamingQuery, sampling: Sampling = Sampling()) -> None:
+    def __init__(
+        self, query: StreamingQuery, sampling: Sampling = Sampling(), first_batch: int | None = None
+    ) -> None:
         self._query = query
+        self._first_batch = first_batch
         self._latest_batch: int | None = None
         self.p = round(sampling.probability, 6)
         self.counts: dict[str, int] = {}
@@ -126,8 +131,9 @@ class ProgressLog:
             number, latest = progress.batchId, self._latest_batch
             if latest is not None and number <= latest:
                 continue
-            if latest is not None and number > latest + 1:
-                raise RuntimeError(f"triggers {latest + 1} to {number - 1} were not seen")
+            expected = self._first_batch if latest is None else latest + 1
+            if expected is not None and number > expected:
+                raise RuntimeError(f"triggers {expected} to {number - 1} were not seen")
             self._latest_batch = number
             self.elapsed_min += progress.batchDuration / 60_000
             observed = progress.observedMetrics
