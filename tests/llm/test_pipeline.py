@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -50,15 +51,35 @@ def _normal(line):
     return re.sub("[ \t\x0b\x0c\r]+", " ", re.sub("[1-9]", "0", line.lower())).strip(" ")
 
 
+def _sketches(lines):
+    marks = [hashlib.md5(line.encode()).hexdigest() for line in set(lines)]
+    taken = min((len(marks) + 1) // 2, 6)
+    return [" ".join(sorted(mark[2 * i :] for mark in marks)[:taken]) for i in range(12)]
+
+
 def _cleaned(docs):
     """Kept texts by the base rules and line frequency, counted in plain loops."""
-    texts, found = defaultdict(set), defaultdict(set)
+    texts, common = defaultdict(set), Counter()
     for row in docs.values():
         texts[row.source].add(row.text)
-        for line in row.text.split("\n"):
-            if _words(line):
-                found[row.source, _normal(line)].add(row.text)
-    bad = {key for key, of in found.items() if len(of) >= 10 and len(of) >= 0.01 * len(texts[key[0]])}
+    lines = {text: [_normal(x) for x in text.split("\n") if _words(x)] for of in texts.values() for text in of}
+    for host, of in texts.items():
+        common.update((host, mark) for text in of if lines[text] for mark in enumerate(_sketches(lines[text])))
+    marks = {
+        (host, text): [(host, *mark) for mark in enumerate(_sketches(lines[text]))]
+        for host, of in texts.items() for text in of if lines[text]
+    }
+    best = {key: max((common[h, (i, s)], -i, s) for h, i, s in of) for key, of in marks.items()}
+    leads = defaultdict(list)
+    for key, of in marks.items():
+        for mark in of:
+            leads[mark].append(best[key])
+    found = defaultdict(set)
+    for (host, text), of in marks.items():
+        top = max(max(leads[mark]) for mark in of)
+        for line in lines[text]:
+            found[host, line].add(top[1:] if top[0] > 1 else text)
+    bad = {key for key, groups in found.items() if len(groups) >= 10}
     kept = {}
     for doc_id, row in docs.items():
         words = _words(row.text)

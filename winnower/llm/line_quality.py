@@ -1,10 +1,18 @@
 """Quality rules: text counts and cross-document line frequency, in built-ins only.
 
 A line that many documents of one host share is boilerplate. Lines are
-normalised, hashed and counted once per distinct text of a host, so exact
-copies of one page do not make all of its lines boilerplate. Lines at both
-limits are removed, and a document that loses more than half of its words is
-rejected.
+normalised, hashed and counted once for each group of near copies in a host, so
+copies of one page do not make all of its lines boilerplate: they are the business
+of near-duplicate detection, which needs one of them left. Lines that reach the
+limit are removed, whatever the size of the host, and a document that loses more
+than half of its words is rejected.
+
+A group of near copies is known by sketches of a text: for each of a dozen orders of
+hashes, the six first ones of its lines, or half of them if they are fewer. Copies
+that differ in a few lines agree in some sketch; the most frequent one that they
+have, or that leads on from one they have, names the group. Texts that share a header or a footer rarely agree in so
+many lines: of those that have half their lines in common about a sixth counts as
+one, of those that have nine in ten nearly all.
 
 Defined cases: a null text has no words and fails the base rules; a null host
 is the host ""; repeated rows, also of one null doc_id, get equal results, one
@@ -18,19 +26,22 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from winnower.storage import written
+
 _WORD_CHARACTER = "[^ \\x09-\\x0D]"
 _SYMBOL = "[#*$%&|<>]"
+_SKETCHES = 12
+_SKETCH_LINES = 6
 _ODD_SPACES = "[\\t\\x0B\\f\\r][ \\t\\x0B\\f\\r]*| [ \\t\\x0B\\f\\r]+"  # one blank alone stays
 
 
 @dataclass(frozen=True)
 class QualityLimits:
-    """A line is boilerplate at ``line_docs`` distinct texts and ``line_share`` of the host's."""
+    """A line is boilerplate at ``line_docs`` groups of near copies of one host."""
 
     min_words: int = 50
     max_repeat_percent: int = 50
     line_docs: int = 10
-    line_share: float = 0.01
     min_left_percent: int = 50
 
 
@@ -107,36 +118,83 @@ def _host_name(host: str) -> Column:
     return F.coalesce(F.col(host).cast("string"), F.lit(""))
 
 
-def frequent_lines(
-    docs: DataFrame, limits: QualityLimits, text: str = "text", host: str = "source"
+def line_table(
+    docs: DataFrame, text: str = "text", host: str = "source", doc_id: str = "doc_id"
 ) -> DataFrame:
-    """(_host, _line) of boilerplate lines, as hashes of normalised lines.
+    """(_id, _host, _text_hash, _lines, _sketches) of every document with a word, written.
 
-    Every aggregation sums or removes repeats in the map tasks first, so neither
-    a host nor a line with a third of all rows gathers in one task.
+    A line is its place, its hash and its words; no text leaves the first scan.
     """
-    lines = F.transform(_word_lines(_normal_text(F.col(text))), _line_hash)
-    keyed = docs.select(
+    lines = F.transform(
+        F.split(_normal_text(F.col(text)), "\n", -1),
+        lambda line, i: F.struct(
+            i.alias("_at"),
+            _line_hash(line).alias("_line"),
+            F.size(_words(line)).alias("_n"),
+            F.md5(F.trim(line)).alias("_order"),
+        ),
+    )
+    found = docs.select(
+        F.col(doc_id).alias("_id"),
         _host_name(host).alias("_host"),
         F.xxhash64(text).alias("_text_hash"),
-        F.array_distinct(lines).alias("_lines"),
+        F.filter(lines, lambda line: line["_n"] > 0).alias("_found"),
+    ).filter(F.size("_found") > 0)
+    orders = F.array_distinct(F.col("_found._order"))
+    taken = F.least(F.floor((F.size(orders) + 1) / 2).cast("int"), F.lit(_SKETCH_LINES))
+
+    def sketch(i: int) -> Column:
+        ends = F.transform(orders, lambda order: F.substr(order, F.lit(1 + 2 * i)))
+        return F.md5(F.array_join(F.slice(F.sort_array(ends), 1, taken), " "))
+
+    bare = F.transform("_found", lambda line: F.struct(line["_at"], line["_line"], line["_n"]))
+    narrow = found.select(
+        "_id",
+        "_host",
+        "_text_hash",
+        bare.cast("array<struct<_at:int,_line:bigint,_n:int>>").alias("_lines"),
+        F.array(*(sketch(i) for i in range(_SKETCHES))).alias("_sketches"),
     )
-    counts = (
-        keyed.select("_host", "_text_hash", F.explode("_lines").alias("_line"))
+    return written(docs.sparkSession, narrow, "lines")
+
+
+def copy_groups(table: DataFrame) -> DataFrame:
+    """(_host, _text_hash, _group): texts that nearly repeat each other have one group.
+
+    A text takes the most frequent of its sketches; then every sketch leads to the
+    best one that a text with it has taken, so that copies which differ where that
+    sketch looks get to it by another.
+    """
+    marks = table.select(
+        "_host", "_text_hash", F.posexplode("_sketches").alias("_i", "_sketch")
+    ).distinct()
+    key, text = ["_host", "_i", "_sketch"], ["_host", "_text_hash"]
+    common = marks.groupBy(*key).agg(F.count("*").alias("_texts"))
+    rank = F.struct("_texts", (-F.col("_i")).alias("_i"), "_sketch")
+    best = marks.join(common, key).groupBy(*text).agg(F.max(rank).alias("_best"))
+    leads = marks.join(best, text).groupBy(*key).agg(F.max("_best").alias("_best"))
+    found = marks.join(leads, key).groupBy(*text).agg(F.max("_best").alias("_best"))
+    shared = F.concat_ws(" ", F.col("_best._i").cast("string"), F.col("_best._sketch"))
+    own = F.col("_text_hash").cast("string")
+    return found.select(*text, F.when(F.col("_best._texts") > 1, shared).otherwise(own).alias("_group"))
+
+
+def frequent_lines(table: DataFrame, limits: QualityLimits) -> DataFrame:
+    """(_host, _line) of boilerplate lines, as hashes of normalised lines.
+
+    Every aggregation sums or removes repeats in the map tasks first, so neither
+    a host nor a line with a third of all rows gathers in one task.
+    """
+    lines = F.explode(F.array_distinct(F.col("_lines._line"))).alias("_line")
+    return (
+        table.select("_host", "_text_hash", lines)
         .distinct()
-        .groupBy("_host", "_line")
-        .agg(F.count("*").alias("_docs"))
-        .filter(F.col("_docs") >= limits.line_docs)
-    )
-    texts = (
-        keyed.select("_host", "_text_hash")
+        .join(copy_groups(table), ["_host", "_text_hash"])
+        .select("_host", "_line", "_group")
         .distinct()
-        .groupBy("_host")
-        .agg(F.count("*").alias("_texts"))
-    )
-    return (
-        counts.join(texts, "_host")
-        .filter(F.col("_docs") >= limits.line_share * F.col("_texts"))
+        .groupBy("_host", "_line")
+        .agg(F.count("*").alias("_groups"))
+        .filter(F.col("_groups") >= limits.line_docs)
         .select("_host", "_line")
     )
 
@@ -154,20 +212,10 @@ def boilerplate_lines(
     hashes of lines are shuffled. The list of a document is bounded by its own
     number of lines.
     """
-    lines = F.transform(
-        F.split(_normal_text(F.col(text)), "\n", -1),
-        lambda line, i: F.struct(
-            i.alias("_at"), _line_hash(line).alias("_line"), F.size(_words(line)).alias("_n")
-        ),
-    )
-    found = docs.select(
-        F.col(doc_id).alias("_id"),
-        _host_name(host).alias("_host"),
-        F.xxhash64(text).alias("_text_hash"),
-        F.inline(F.filter(lines, lambda line: line["_n"] > 0)),
-    )
+    table = line_table(docs, text, host, doc_id)
+    found = table.select("_id", "_host", "_text_hash", F.inline("_lines"))
     return (
-        found.join(frequent_lines(docs, limits, text, host), ["_host", "_line"])
+        found.join(frequent_lines(table, limits), ["_host", "_line"])
         .select("_id", "_host", "_text_hash", "_at", "_n")
         .distinct()
         .groupBy("_id", "_host", "_text_hash")

@@ -36,12 +36,32 @@ lines as (
 dup_lines as (
   select row_id, count(*) - count(distinct line) as n_dup_lines from lines group by row_id
 ),
-hosts as (select host, count(distinct text) as texts from docs group by host),
+line_set as (select distinct host, text, normal from lines),
+marks as (
+  select host, text, i, md5(array_to_string(list_slice(
+      list_sort(list(substr(md5(normal), (1 + 2 * i)::int))), 1, least((count(*) + 1) // 2, 6)
+    ), ' ')) as sketch
+  from line_set, (select unnest(range(0, 12)) as i) group by host, text, i
+),
+common as (
+  select host, i, sketch,
+    lpad(count(*)::varchar, 18, '0') || lpad((99 - i)::varchar, 2, '0') || sketch as rank
+  from marks group by host, i, sketch
+),
+best as (
+  select host, text, max(rank) as best from marks join common using (host, i, sketch) group by all
+),
+leads as (
+  select host, i, sketch, max(best) as best from marks join best using (host, text) group by all
+),
+copies as (
+  select host, text,
+    case when max(best)[1:18]::bigint > 1 then max(best) else text end as copy
+  from marks join leads using (host, i, sketch) group by host, text
+),
 frequent as (
-  select host, normal from (
-    select host, normal, count(distinct text) as docs from lines group by host, normal
-  ) join hosts using (host)
-  where docs >= 10 and docs >= 0.01 * texts
+  select host, normal from line_set join copies using (host, text)
+  group by host, normal having count(distinct copy) >= 10
 ),
 lost as (
   select row_id, sum(n) as lost from lines join frequent using (host, normal) group by row_id
