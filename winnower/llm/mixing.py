@@ -1,10 +1,13 @@
 """Mixing sources to target weights by iterative proportional fitting, in built-ins only.
 
 Documents are summed into cells of (source, language, topic). A sweep scales
-the token weights of the cells to the target shares of each margin in turn.
-A document's probability is its cell's fitted weight over its tokens, divided by
-the largest such ratio, so the sample is the largest one that keeps the fitted
-proportions without repeating a document; a hash of the document decides.
+the tokens that are wanted of each cell to the target shares of each margin in
+turn, of a budget that is a stated rate of all tokens. A cell that is wanted more
+than whole is taken whole, and the sweeps go on with the others, until no margin
+is off its targets by more than a tolerance; ``mix_report`` tells the gaps that are
+left. A document's probability is the wanted part of its cell; a hash of the
+document decides. So a rare cell decides about itself only, and the size of the
+sample follows from the rate.
 
 Cells are far fewer than documents and are summed in the map tasks first, so a
 source with a third of all rows costs its task no more than any other.
@@ -26,17 +29,24 @@ from winnower.storage import written
 
 MARGINS = ("source", "lang", "topic")
 _BROADCAST_CELLS = 50_000
+_SWEEPS_PER_CHECK = 2
 _HASH_DIGITS = 12
 
 
 @dataclass(frozen=True)
 class MixTargets:
-    """Target of each margin: shares by class, or the exponent that tempers present shares."""
+    """Target of each margin: shares by class, or the exponent that tempers present shares.
+
+    ``rate`` is the part of all tokens to sample; it cannot be reached where the
+    targets ask for more than there is of most classes.
+    """
 
     source: float | Mapping[str, float] = 0.85
     lang: float | Mapping[str, float] = 0.85
     topic: float | Mapping[str, float] = 0.85
-    sweeps: int = 6
+    rate: float = 0.5
+    tolerance: float = 0.001
+    most_sweeps: int = 12
     seed: int = 42
 
 
@@ -85,34 +95,88 @@ def _targets(cells: DataFrame, margin: str, target: float | Mapping[str, float])
     )
 
 
-def fit_cells(cells: DataFrame, targets: MixTargets) -> DataFrame:
-    """(_source, _lang, _topic, _tokens, _weight): weights sum to one.
+def _swept(cells: DataFrame, shares: dict[str, DataFrame], budget: float) -> DataFrame:
+    """One sweep: each margin in turn is scaled to its targets, no cell beyond its tokens."""
+    for margin in MARGINS:
+        sums = cells.groupBy(f"_{margin}").agg(F.sum("_weight").alias("_now"))
+        wanted = F.coalesce("_share", F.lit(0.0)) * F.lit(budget)
+        factor = sums.join(shares[margin], f"_{margin}", "left").select(
+            f"_{margin}", F.when(F.col("_now") > 0, wanted / F.col("_now")).otherwise(0.0).alias("_factor")
+        )
+        scaled = F.least(F.col("_tokens").cast("double"), F.col("_weight") * F.col("_factor"))
+        cells = cells.join(factor, f"_{margin}").withColumn("_weight", scaled).drop("_factor")
+    return cells
+
+
+def _margins(cells: DataFrame, shares: dict[str, DataFrame]) -> DataFrame:
+    """(margin, class, target, reached) of every class that has tokens or a target."""
+    total = cells.agg(F.sum("_weight")).first()[0] or 0.0
+    found = None
+    for margin, share in shares.items():
+        sums = cells.groupBy(f"_{margin}").agg(F.sum("_weight").alias("_now"))
+        reached = F.coalesce("_now", F.lit(0.0)) / F.lit(total) if total else F.lit(0.0)
+        rows = sums.join(share, f"_{margin}", "full").select(
+            F.lit(margin).alias("margin"),
+            F.col(f"_{margin}").alias("class"),
+            F.coalesce("_share", F.lit(0.0)).alias("target"),
+            reached.alias("reached"),
+        )
+        found = rows if found is None else found.union(rows)
+    return found
+
+
+@dataclass(frozen=True)
+class Mix:
+    """Fitted cells (_source, _lang, _topic, _tokens, _weight), their margins and the sweeps taken.
+
+    ``_weight`` counts the tokens wanted of a cell, at most all that it has.
+    """
+
+    cells: DataFrame
+    margins: DataFrame
+    sweeps: int
 
-    Each sweep is written, which bounds the plan. Classes of a margin without a
-    target get weight zero.
+
+def fit_cells(cells: DataFrame, targets: MixTargets) -> Mix:
+    """Sweeps until the largest gap of a margin is within the tolerance, or as often as allowed.
+
+    Every few sweeps are written, which bounds the plan. Classes of a margin
+    without a target get weight zero.
     """
     spark = cells.sparkSession
     shares = {
         margin: written(spark, _targets(cells, margin, getattr(targets, margin)), f"{margin}-share")
         for margin in MARGINS
     }
+    budget = targets.rate * float(cells.agg(F.sum("_tokens")).first()[0] or 0)
     fitted = cells.withColumn("_weight", F.col("_tokens").cast("double"))
-    for _ in range(targets.sweeps):
-        for margin in MARGINS:
-            sums = fitted.groupBy(f"_{margin}").agg(F.sum("_weight").alias("_now"))
-            factor = sums.join(shares[margin], f"_{margin}", "left").select(
-                f"_{margin}",
-                F.when(F.col("_now") > 0, F.coalesce("_share", F.lit(0.0)) / F.col("_now"))
-                .otherwise(0.0)
-                .alias("_factor"),
-            )
-            fitted = (
-                fitted.join(factor, f"_{margin}")
-                .withColumn("_weight", F.col("_weight") * F.col("_factor"))
-                .drop("_factor")
-            )
+    for sweep in range(1, targets.most_sweeps + 1):
+        fitted = _swept(fitted, shares, budget)
+        if sweep % _SWEEPS_PER_CHECK and sweep < targets.most_sweeps:
+            continue
         fitted = written(spark, fitted, "mix-sweep")
-    return fitted
+        margins = _margins(fitted, shares)
+        gap = margins.agg(F.max(F.abs(F.col("target") - F.col("reached")))).first()[0]
+        if (gap or 0.0) <= targets.tolerance:
+            break
+    return Mix(fitted, margins, sweep)
+
+
+def mix_report(
+    docs: DataFrame,
+    targets: MixTargets = MixTargets(),
+    text: str = "text",
+    doc_id: str = "doc_id",
+    topic: Column | None = None,
+) -> DataFrame:
+    """(margin, class, target, reached, gap) of the tokens that the sample is expected to hold."""
+    found = _fitted(_with_cell(docs, text, doc_id, topic), targets).margins
+    return found.withColumn("gap", F.col("reached") - F.col("target"))
+
+
+def _fitted(marked: DataFrame, targets: MixTargets) -> Mix:
+    sums = marked.groupBy(*(f"_{name}" for name in MARGINS)).agg(F.sum("_tokens").alias("_tokens"))
+    return fit_cells(written(marked.sparkSession, sums, "mix-cells"), targets)
 
 
 def _decided(
@@ -126,15 +190,11 @@ def _decided(
     spark = docs.sparkSession
     marked = _with_cell(docs, text, doc_id, topic)
     keys = [f"_{name}" for name in MARGINS]
-    sums = marked.groupBy(*keys).agg(F.sum("_tokens").alias("_tokens"))
-    fitted = fit_cells(written(spark, sums, "mix-cells"), targets)
-    ratio = F.when(F.col("_tokens") > 0, F.col("_weight") / F.col("_tokens")).otherwise(0.0)
-    rates = written(spark, fitted.select(*keys, ratio.alias("_ratio")), "mix-rates")
-    size = rates.agg(F.count("*").alias("n"), F.max("_ratio").alias("most")).first()
     # Rounded, so that the order of sums over cells cannot tip a decision.
-    share = F.round(F.col("_ratio") / F.lit(size["most"] or 1.0), 9)
-    rates = rates.select(*keys, share.alias("_p"))
-    if size["n"] <= _BROADCAST_CELLS:
+    part = F.when(F.col("_tokens") > 0, F.round(F.col("_weight") / F.col("_tokens"), 9)).otherwise(0.0)
+    rates = _fitted(marked, targets).cells.select(*keys, part.alias("_p"))
+    rates = written(spark, rates, "mix-rates")
+    if rates.count() <= _BROADCAST_CELLS:
         rates = F.broadcast(rates)
     key = F.concat(F.lit(f"{targets.seed}:"), F.col("_identity"))
     digits = F.substring(F.md5(key), 1, _HASH_DIGITS)
@@ -175,17 +235,39 @@ def sample_mix(
     return chosen.select(*[F.col(f"c_{i}").alias(name) for i, name in enumerate(docs.columns)])
 
 
-def mix_sql(sweeps: int = 6, exponent: float = 0.85, seed: int = 42) -> str:
-    """The same sample as DuckDB SQL: one pair of expressions for each margin of each sweep."""
-    steps, weights = [], "w0"
-    for step in range(3 * sweeps):
-        margin = MARGINS[step % 3]
+def mix_sql(
+    most_sweeps: int = 12,
+    exponent: float = 0.85,
+    rate: float = 0.5,
+    tolerance: float = 0.001,
+    seed: int = 42,
+) -> str:
+    """The same sample as DuckDB SQL: one expression for each margin of each sweep.
+
+    Every few sweeps have their largest gap; the first that is small enough counts.
+    """
+    steps, weights, checks = [], "w0", []
+    for step in range(1, 3 * most_sweeps + 1):
+        margin = MARGINS[(step - 1) % 3]
         steps.append(
-            f"w{step + 1} as (select source, lang, topic, tokens,"
-            f" coalesce(weight * share / nullif(sum(weight) over (partition by {margin}), 0), 0)"
-            f" as weight from {weights} join t_{margin} using ({margin}))"
+            f"w{step} as materialized (select source, lang, topic, tokens, least(tokens, weight * coalesce("
+            f"share * budget / nullif(sum(weight) over (partition by {margin}), 0), 0)) as weight"
+            f" from {weights} join t_{margin} using ({margin}), total)"
         )
-        weights = f"w{step + 1}"
+        weights = f"w{step}"
+        sweep, rest = divmod(step, 3)
+        if not rest and (sweep % _SWEEPS_PER_CHECK == 0 or sweep == most_sweeps):
+            gaps = " union all ".join(
+                f"select max(abs(share - now / whole)) as gap from (select {m}, sum(weight) as now"
+                f" from {weights} group by {m}) join t_{m} using ({m}), (select sum(weight) as whole from {weights})"
+                for m in MARGINS
+            )
+            checks.append((step, f"(select coalesce(max(gap), 0) from ({gaps}))"))
+    chosen = " ".join(f"when {gap} <= {tolerance} then {step}" for step, gap in checks[:-1])
+    chosen = f"case {chosen} else {checks[-1][0]} end"
+    fitted = " union all ".join(
+        f"select * from w{step} where (select step from chosen) = {step}" for step, _ in checks
+    )
     targets = ",\n".join(
         f"t_{m} as (select {m}, raw / sum(raw) over () as share from (select {m},"
         f" case when sum(tokens) > 0 then pow(sum(tokens), {exponent}) end as raw"
@@ -207,15 +289,14 @@ with docs as (
 cells as (
   select source, lang, topic, sum(tokens)::double as tokens from docs group by all
 ),
+total as (select {rate} * sum(tokens) as budget from cells),
 {targets},
 w0 as (select *, tokens as weight from cells),
 {",".join(chr(10) + step for step in steps)},
-rates as (
-  select source, lang, topic, case when tokens > 0 then weight / tokens else 0 end as ratio
-  from {weights}
-),
+chosen as (select {chosen} as step),
 scaled as (
-  select source, lang, topic, round(ratio / max(ratio) over (), 9) as p from rates
+  select source, lang, topic, case when tokens > 0 then round(weight / tokens, 9) else 0 end as p
+  from ({fitted})
 )
 select doc_id, source, lang, topic, tokens::bigint as n_tokens,
   case when tokens > 0 then p else 0 end as p,
