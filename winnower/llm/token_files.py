@@ -1,7 +1,7 @@
 """Token-id output: documents as files of independently coded, checksummed blocks.
 
 Documents are range-partitioned by id and sorted; each task tokenizes its texts
-and writes one file to the shared folder. A file has
+and writes files of bounded size to the shared folder. A file has
 
     magic, then the documents' table: how many, and zlib of their ids (a flag
     for null and a signed 64-bit integer) and token counts, with its CRC-32;
@@ -18,10 +18,12 @@ an empty table gives no document.
 
 from __future__ import annotations
 
+import os
 import struct
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Buffer, Iterable, Iterator
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -37,41 +39,78 @@ BLOCK_IDS = 2048
 _MAGIC = b"WIDS1\n"
 _TABLE = struct.Struct("<QIII")
 _BLOCK = struct.Struct("<III")
-_CACHED_WORDS = 300_000
-_INDEX = "part int, name string, n_docs long, n_ids long"
+_CACHED_WORDS = 600_000
+_CACHED_LETTERS = 40
+_LETTERS_AT_ONCE = 1 << 20
+_FILE_BYTES = 64 << 20
+_INDEX = "part int, roll int, name string, n_docs long, n_ids long"
 
 
 class WordIds(dict):
     """Ids of words as little-endian 32-bit bytes, by a tokenizer that drops white space.
 
     Words between blanks, tabs and line breaks never share a token, so each is
-    encoded alone and kept while there is room.
+    encoded alone. New words of several texts go to the tokenizer in one call; the
+    older half of the words makes room when there are too many.
     """
 
     def __init__(self, tokenizer_file: str):
         from tokenizers import Tokenizer
 
         super().__init__()
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
 
-    def __missing__(self, word: str) -> bytes:
-        if len(self) >= _CACHED_WORDS:
-            self.clear()
+    @staticmethod
+    def _parts(word: str) -> tuple[str, ...]:
+        """The word, or it and the marks behind it.
+
+        Marks after a letter are a token of their own, unless an apostrophe or a
+        special string may claim part of them.
+        """
         bare = word.rstrip(",.!?")
-        # Marks after a letter are a token of their own, unless an apostrophe or
-        # a special string may claim part of them.
         if bare != word and bare[-1:].isalpha() and "'" not in word and "<" not in word:
-            ids = self[bare] + self[word[len(bare) :]]
-        else:
-            found = self.tokenizer.encode(word, add_special_tokens=False).ids
-            ids = np.array(found, "<u4").tobytes()
-        if len(word) <= 40:
-            self[word] = ids
-        return ids
+            return bare, word[len(bare) :]
+        return (word,)
+
+    def _make_room(self) -> None:
+        if len(self) > _CACHED_WORDS:
+            for word in list(islice(self, len(self) // 2)):
+                del self[word]
+
+    def _learn(self, words: set[str]) -> list[str]:
+        """Adds the words; returns those too long to stay."""
+        parts = {word: self._parts(word) for word in words}
+        fresh = list({part for found in parts.values() for part in found if part not in self})
+        coded = self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)
+        for part, encoding in zip(fresh, coded, strict=True):
+            self[part] = np.array(encoding.ids, "<u4").tobytes()
+        for word, found in parts.items():
+            if len(found) > 1:
+                self[word] = self[found[0]] + self[found[1]]
+        return [word for word in (*parts, *fresh) if len(word) > _CACHED_LETTERS]
+
+    def _of_some(self, texts: list[str]) -> Iterator[bytes]:
+        self._make_room()
+        split = [list(filter(None, t.replace("\n", " ").replace("\t", " ").split(" "))) for t in texts]
+        long = self._learn(set().union(*split).difference(self))
+        yield from (b"".join(map(self.__getitem__, words)) for words in split)
+        for word in long:
+            self.pop(word, None)
+
+    def of_texts(self, texts: Iterable[str | None]) -> Iterator[bytes]:
+        held, letters = [], 0
+        for text in texts:
+            held.append(text or "")
+            letters += len(held[-1])
+            if letters >= _LETTERS_AT_ONCE:
+                yield from self._of_some(held)
+                held, letters = [], 0
+        yield from self._of_some(held)
 
     def of_text(self, text: str | None) -> bytes:
-        words = (text or "").replace("\n", " ").replace("\t", " ").split(" ")
-        return b"".join(map(self.__getitem__, filter(None, words)))
+        (ids,) = self._of_some([text or ""])
+        return ids
 
 
 @lru_cache(maxsize=2)
@@ -116,7 +155,7 @@ def _write_file(folder: str, part: int, doc_ids: list, pieces: list[bytes]) -> t
     return name, int(counts.sum())
 
 
-def _read_file(data: bytes) -> Iterator[tuple[int | None, bytes]]:
+def _read_file(data: bytes) -> Iterator[tuple[int | None, Buffer]]:
     """(doc_id, id bytes) of the documents of a file, in order; checks every checksum."""
     if not data.startswith(_MAGIC):
         raise ValueError("not a file of token ids")
@@ -138,16 +177,19 @@ def _read_file(data: bytes) -> Iterator[tuple[int | None, bytes]]:
             raise ValueError("a block is damaged")
         blocks.append((n_ids, coded))
         at += size
-    held, left = b"", iter(range(0, len(blocks), LANES))
+    groups = (blocks[start : start + LANES] for start in range(0, len(blocks), LANES))
+    held, at = memoryview(b""), 0
     for doc in range(n_docs):
-        need = int(counts[doc]) * 4
-        while len(held) < need:
-            start = next(left)
-            group = blocks[start : start + LANES]
-            ids = decode([coded for _, coded in group], [n for n, _ in group])
-            held += np.concatenate(ids).astype("<u4").tobytes()
-        yield (None if missing[doc] else int(known[doc])), held[:need]
-        held = held[need:]
+        pieces, need = [], int(counts[doc]) * 4
+        while need:
+            if at == len(held):
+                group = next(groups)
+                ids = decode([coded for _, coded in group], [n for n, _ in group])
+                held, at = memoryview(np.concatenate(ids).astype("<u4").tobytes()), 0
+            pieces.append(held[at : at + need])
+            at += len(pieces[-1])
+            need -= len(pieces[-1])
+        yield (None if missing[doc] else int(known[doc])), pieces[0] if len(pieces) == 1 else b"".join(pieces)
 
 
 def write_token_files(
@@ -158,7 +200,7 @@ def write_token_files(
     text: str = "text",
     doc_id: str = "doc_id",
 ) -> DataFrame:
-    """Index of the files written, one row each: part, name, n_docs, n_ids."""
+    """Index of the files written, one row each: part, roll, name, n_docs, n_ids."""
     rows = docs.select(
         F.col(doc_id).cast("long").alias("doc_id"),
         F.col(text).alias("text"),
@@ -168,17 +210,27 @@ def write_token_files(
     end = struct.pack("<I", end_id)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, part = _ids_of(tokenizer_file), TaskContext.get().partitionId()
-        doc_ids, pieces = [], []
-        for batch in batches:
-            doc_ids += batch.column(0).to_pylist()
-            pieces += [words.of_text(t) + end for t in batch.column(1).to_pylist()]
-        if doc_ids:
+        words, part, roll = _ids_of(tokenizer_file), TaskContext.get().partitionId(), 0
+        doc_ids, pieces, size = [], [], 0
+
+        def finished() -> pa.RecordBatch:
             name, n_ids = _write_file(folder, part, doc_ids, pieces)
-            values = [[part], [name], [len(doc_ids)], [n_ids]]
-            types = [pa.int32(), pa.string(), pa.int64(), pa.int64()]
+            values = [[part], [roll], [name], [len(doc_ids)], [n_ids]]
+            types = [pa.int32(), pa.int32(), pa.string(), pa.int64(), pa.int64()]
             arrays = [pa.array(v, kind) for v, kind in zip(values, types, strict=True)]
-            yield pa.RecordBatch.from_arrays(arrays, ["part", "name", "n_docs", "n_ids"])
+            return pa.RecordBatch.from_arrays(arrays, ["part", "roll", "name", "n_docs", "n_ids"])
+
+        for batch in batches:
+            texts = (text.as_py() for text in batch.column(1))
+            for doc, ids in zip(batch.column(0).to_pylist(), words.of_texts(texts), strict=True):
+                doc_ids.append(doc)
+                pieces.append(ids + end)
+                size += len(ids)
+                if size >= _FILE_BYTES:
+                    yield finished()
+                    doc_ids, pieces, size, roll = [], [], 0, roll + 1
+        if doc_ids:
+            yield finished()
 
     index = ordered.select("doc_id", "text").mapInArrow(run, _INDEX)
     return written(docs.sparkSession, index, "ids-index")
@@ -190,11 +242,11 @@ def read_token_files(index: DataFrame, folder: str) -> DataFrame:
     ``start`` counts the ids of all documents before. Files are numbered over
     one window of their index, a row for each file.
     """
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.orderBy("part", "roll").rowsBetween(Window.unboundedPreceding, -1)
     starts = index.withColumn("first", F.coalesce(F.sum("n_ids").over(before), F.lit(0)))
     spark = index.sparkSession
     starts = written(spark, starts, "ids-starts")
-    dealt = starts.repartition(max(1, starts.count()), "part")
+    dealt = starts.repartition(max(1, starts.count()), "part", "roll")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, base = file_system(folder)
