@@ -13,8 +13,10 @@ and all segments of a batch are parsed side by side; a transition that an
 automaton lacks leads to the start of the next phrase and is counted. A letter
 that no training text has is a phrase of its own.
 
-Training reads a bounded sample: of each language the ``docs_per_language``
-documents lowest by a hash of doc_id, ``letters_per_doc`` letters each. Every
+Training reads a bounded sample of whole texts: of each language's distinct texts
+those lowest by their hash, at most ``docs_per_language``, as long as their
+characters add up to no more than ``characters``; texts of over ``long_text``
+characters come last, and the first text is taken whatever its length. Every
 document is predicted from its whole text.
 
 Defined cases: a null text or one without a letter is ``und`` with score 0;
@@ -48,7 +50,8 @@ class Training:
     """Bounds of the labelled sample; documents of fold ``held_out_fold`` are not learnt from."""
 
     docs_per_language: int = 48
-    letters_per_doc: int = 1500
+    characters: int = 72_000
+    long_text: int = 20_000
     folds: int = 3
     held_out_fold: int = 1
 
@@ -199,31 +202,38 @@ class Languages:
 
 
 def train(docs: DataFrame, training: Training, text: str, doc_id: str, lang: str) -> Languages:
-    """Automata from the bounded sample; ranks are taken over ids and languages alone."""
+    """Automata from the bounded sample of distinct whole texts.
+
+    Copies of a text are one candidate, so a text that fills most rows of a
+    language takes one of its places. Candidates are hashes and lengths, combined
+    in the map tasks; only the chosen texts go to the driver.
+    """
     rows = docs.select(
         F.col(doc_id).alias("doc_id"), F.col(lang).cast("string").alias("lang"), F.col(text).alias("text")
     ).filter(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    rows = rows.filter(~held_out(F.col("doc_id"), training)).withColumn(
-        "_rank_hash", F.xxhash64("doc_id", F.lit("language sample"))
+    rows = rows.filter(~held_out(F.col("doc_id"), training)).select(
+        "lang", "text", F.xxhash64("text", F.lit("language sample")).alias("hash")
     )
-    order = Window.partitionBy("lang").orderBy("_rank_hash")
-    ranked = rows.select("lang", "_rank_hash").withColumn("_r", F.dense_rank().over(order))
-    bounds = {
-        row["lang"]: row["bound"]
-        for row in ranked.filter(F.col("_r") <= training.docs_per_language)
-        .groupBy("lang")
-        .agg(F.max("_rank_hash").alias("bound"))
-        .collect()
-    }
-    chosen = F.lit(False)
-    for name, bound in bounds.items():
-        chosen = chosen | ((F.col("lang") == name) & (F.col("_rank_hash") <= bound))
-    raw = F.substring("text", 1, 4 * training.letters_per_doc)
-    sample = rows.filter(chosen).select("lang", "_rank_hash", raw.alias("text")).distinct()
+    sizes = rows.select("lang", "hash", F.char_length("text").alias("size"))
+    length = F.greatest("size", F.lit(training.long_text))
+    order = Window.partitionBy("lang").orderBy(length, "hash")
+    candidates = sizes.groupBy("lang", "hash").agg(F.max("size").alias("size"))
+    candidates = candidates.withColumn("place", F.row_number().over(order))
+    candidates = candidates.filter(F.col("place") <= training.docs_per_language).collect()
+    left: dict[str, int] = {}
+    chosen: dict[str, list[int]] = {}
+    for row in sorted(candidates, key=lambda row: row["place"]):
+        room = left.setdefault(row["lang"], training.characters)
+        if row["size"] <= room or row["place"] == 1:
+            chosen.setdefault(row["lang"], []).append(row["hash"])
+            left[row["lang"]] = room - row["size"]
+    wanted = F.lit(False)
+    for name, hashes in chosen.items():
+        wanted = wanted | ((F.col("lang") == name) & F.col("hash").isin(hashes))
+    sample = rows.filter(wanted).dropDuplicates(["lang", "hash"])
     texts: dict[str, list[str]] = {}
-    for row in sample.orderBy("lang", "_rank_hash", "text").collect():
-        letters = _letters(row["text"])[: training.letters_per_doc]
-        texts.setdefault(row["lang"], []).append("".join(letters))
+    for row in sample.orderBy("lang", "hash").collect():
+        texts.setdefault(row["lang"], []).append("".join(_letters(row["text"])))
     return Languages(texts)
 
 
