@@ -383,6 +383,7 @@ ORACLE_SQL["stream_progress"] = f"""select seen_rows, selected_rows, not_sampled
   kept_rows, dropped_dedup, dropped_empty, dropped_length, dropped_char_run,
   dropped_repetition, dropped_other, {QUARTER.probability}::double as p
 from ({ORACLE_SQL["cleaning_stats"]})"""
+ORACLE_SQL["published_dataset"] = ORACLE_SQL["jsonl_roundtrip"]
 ORACLE_SQL["stream_progress_pushed"] = ORACLE_SQL["stream_progress"]
 ORACLE_SQL["stats_roundtrip"] = ORACLE_SQL["cleaning_stats"]
 ORACLE_SQL["result_files"] = ORACLE_SQL["metric_resolve"]

@@ -40,6 +40,7 @@ from winnower.operators.tally import drop_waterfall as waterfall
 from winnower.operators.tally import stats_counts, stats_report
 from winnower.plans.prepare import clean_records as cleaned
 from winnower.plans.prepare import prepare_dataset
+from winnower.plans.publish import publish_dataset, read_published
 from winnower.sinks.comparison import markdown_table, write_csv
 from winnower.sinks.dataset import DEMO_MANIFEST_FILE, MANIFEST_FILE
 from winnower.sources.json_pairs import read_json_pairs
@@ -273,6 +274,15 @@ def jsonl_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat_history(spark.read.schema(schema).json(prepared.dataset))
 
 
+def published_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of a version that was published over an older one, read by the manifest."""
+    folder = shared_folder(spark, "published")
+    pairs = fixtures.document_pairs(spark, sf_dir)
+    for sampling in (EVERYTHING, QUARTER):
+        publish_dataset(pairs, folder, "instructions", rules=RULES, sampling=sampling, dedup=True)
+    return _flat_history(read_published(spark, folder, "instructions"))
+
+
 def cleaning_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Thresholds and counters of the flagship run in one row."""
     pairs = fixtures.document_pairs(spark, sf_dir).select("question", "response")
@@ -622,6 +632,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "demo_dataset": demo_dataset,
     "manifest": manifests,
     "jsonl_roundtrip": jsonl_roundtrip,
+    "published_dataset": published_dataset,
     "written_order": written_order,
     "prepare_first_n": prepare_first_n,
     "cleaning_stats": cleaning_stats,

@@ -67,3 +67,25 @@ def write_small_json(spark: SparkSession, path: str, content: dict) -> None:
         stream.write(bytearray(json.dumps(content, ensure_ascii=False, indent=2), "utf-8"))
     finally:
         stream.close()
+
+
+def replace_small_json(spark: SparkSession, path: str, content: dict) -> None:
+    """Write one small JSON file so that readers see the old content or the new one, never less."""
+    beside, _, name = path.rpartition("/")
+    fresh = f"{beside}/_{name}-{uuid.uuid4().hex}"
+    write_small_json(spark, fresh, content)
+    fs = spark._jvm.org.apache.hadoop.fs
+    source, target = fs.Path(fresh), fs.Path(path)
+    overwrite = spark.sparkContext._gateway.new_array(fs.Options.Rename, 1)
+    overwrite[0] = fs.Options.Rename.OVERWRITE
+    files = fs.FileContext.getFileContext(target.toUri(), spark._jsc.hadoopConfiguration())
+    files.rename(source, target, overwrite)
+
+
+def read_small_json(spark: SparkSession, path: str) -> dict:
+    target, system = _hadoop_path(spark, path)
+    stream = system.open(target)
+    try:
+        return json.loads(bytes(stream.readAllBytes()).decode())
+    finally:
+        stream.close()
