@@ -8,8 +8,8 @@ least with a probability of 1 - (1 - s^rows)^bands, 0.9998 at a similarity of 0.
 
 A band's bucket is compared as a whole only if it is small. In a larger one every
 member is compared with a few hubs, members taken by hash, which links a crowd of
-copies for a few comparisons each; then buckets that still hold more than one
-class go on with longer keys, which part what is not alike. So the comparisons
+copies for a few comparisons each; then buckets with a member that is linked to no
+hub go on with longer keys, which part what is not alike. So the comparisons
 grow with the members of a bucket, never with their square. What that can lose are
 links between two texts of one crowded bucket that meet no common hub and part
 again before their bucket is small; ``tests`` measure the recall.
@@ -183,7 +183,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, how: Likeness) -> DataFrame:
 def near_duplicate_classes(
     rows: DataFrame, text: Column, row_id: str = "seq", how: Likeness = Likeness()
 ) -> DataFrame:
-    """(id, text_hash, class_id), one row for each distinct id and text.
+    """(id, text_hash, class_id), one row for each row.
 
     ``text`` is normalised text, words divided by one space. ``class_id`` is the
     smallest id of the class. Wordless texts are one class; null ids take part.
@@ -197,24 +197,21 @@ def near_duplicate_classes(
     )
     nodes = written(spark, nodes, "nodes")
     links = spark.createDataFrame([], "a binary, b binary")
-    classes = None
+    sets = spark.createDataFrame([], "node binary, hashes array<bigint>")
     entries = _entries(nodes, how, how.lengths[0])
-    for i, length in enumerate(how.lengths):
+    for length, longer in zip(how.lengths, (*how.lengths[1:], None), strict=True):
         buckets = written(spark, _buckets(entries, how, length), "buckets")
-        pairs = _candidates(entries, buckets, how)
-        if classes is not None:
-            pairs = _between_classes(pairs, classes)
-        pairs = written(spark, pairs, "pairs")
-        links = written(spark, links.union(_verified(pairs, _sets_of(texts, nodes, pairs, how), how)), "links")
-        classes = connected_classes(links)
-        if i + 1 == len(how.lengths):
+        pairs = written(spark, _candidates(entries, buckets, how), "pairs")
+        sets = _with_sets_of(sets, texts, nodes, pairs, how)
+        found = written(spark, _verified(pairs, sets, how), "links")
+        links = links.union(found)
+        if longer is None:
             break
-        crowded = buckets.filter(F.col("size") > how.whole_bucket)
-        open_nodes = _unsettled(entries, crowded, classes)
-        longer = _entries(nodes, how, how.lengths[i + 1])
-        entries = written(spark, longer.join(open_nodes, ["band", "node"], "left_semi"), "entries")
-        if entries.isEmpty():
+        open_nodes = written(spark, _unattached(entries, buckets, found, how), "open")
+        if open_nodes.isEmpty():
             break
+        entries = _entries(nodes, how, longer).join(open_nodes, ["band", "node"], "left_semi")
+    classes = connected_classes(links)
     of_node = signed.join(classes, signed["node"] == classes["node"], "left").select(
         "id", "text_hash", F.coalesce("root", signed["node"]).alias("root")
     )
@@ -223,31 +220,32 @@ def near_duplicate_classes(
     return of_node.join(least, "root").select("id", "text_hash", "class_id")
 
 
-def _with_root(rows: DataFrame, classes: DataFrame, node: str, name: str) -> DataFrame:
-    of = classes.select(F.col("node").alias(node), F.col("root").alias("_root"))
-    return rows.join(of, node, "left").withColumn(name, F.coalesce("_root", node)).drop("_root")
-
-
-def _between_classes(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs whose classes are not one yet."""
-    both = _with_root(_with_root(pairs, classes, "a", "_a"), classes, "b", "_b")
-    return both.filter("_a <> _b").drop("_a", "_b")
-
-
-def _unsettled(entries: DataFrame, crowded: DataFrame, classes: DataFrame) -> DataFrame:
-    """(band, node) of the members of large buckets that hold more than one class."""
-    members = entries.join(crowded.select("band", "key"), ["band", "key"])
-    members = _with_root(members, classes, "node", "root")
-    mixed = members.groupBy("band", "key").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-    mixed = mixed.filter("low <> high").select("band", "key")
-    return members.join(mixed, ["band", "key"]).select("band", "node")
+def _unattached(
+    entries: DataFrame, buckets: DataFrame, links: DataFrame, how: Likeness
+) -> DataFrame:
+    """(band, node) of all members of large buckets where some member is linked to no hub."""
+    crowded = buckets.filter(F.col("size") > how.whole_bucket)
+    members = entries.join(crowded.select("band", "key", "hubs"), ["band", "key"])
+    members = members.select("band", "key", "node", F.explode("hubs.node").alias("hub"))
+    linked = links.select(F.col("a").alias("node"), F.col("b").alias("hub"), F.lit(True).alias("_linked"))
+    attached = members.join(linked, ["node", "hub"], "left").select(
+        "band", "key", "node", (F.col("_linked").isNotNull() | (F.col("node") == F.col("hub"))).alias("attached")
+    )
+    attached = attached.groupBy("band", "key", "node").agg(F.max("attached").alias("attached"))
+    unsettled = attached.filter(~F.col("attached")).select("band", "key").distinct()
+    return attached.join(unsettled, ["band", "key"]).select("band", "node")
 
 
-def _sets_of(texts: DataFrame, nodes: DataFrame, pairs: DataFrame, how: Likeness) -> DataFrame:
-    """(node, hashes) of the nodes in the pairs, from one text of each; written."""
+def _with_sets_of(
+    sets: DataFrame, texts: DataFrame, nodes: DataFrame, pairs: DataFrame, how: Likeness
+) -> DataFrame:
+    """(node, hashes): the sets at hand and those of other nodes in the pairs, from one text of each."""
     asked = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    asked = asked.join(nodes.select("node", "first.*"), "node").select("node", "id", "text_hash")
+    asked = asked.join(sets, "node", "left_anti").join(nodes.select("node", "first.*"), "node")
+    asked = written(texts.sparkSession, asked.select("node", "id", "text_hash"), "asked")
+    if asked.isEmpty():
+        return sets
     keyed = texts.select(F.col("id").alias("_id"), F.xxhash64("text").alias("_hash"), "text")
     same = F.col("_id").eqNullSafe(F.col("id")) & (F.col("_hash") == F.col("text_hash"))
     found = keyed.join(asked, same).select("node", shingle_hashes(F.col("text"), how.words).alias("hashes"))
-    return written(texts.sparkSession, found.dropDuplicates(["node"]), "sets")
+    return sets.union(written(texts.sparkSession, found.dropDuplicates(["node"]), "sets"))
