@@ -54,7 +54,8 @@ def _normal(line):
 def _sketches(lines):
     marks = [hashlib.md5(line.encode()).hexdigest() for line in set(lines)]
     taken = min((len(marks) + 1) // 2, 6)
-    return [" ".join(sorted(mark[2 * i :] for mark in marks)[:taken]) for i in range(12)]
+    first = (" ".join(sorted(mark[2 * i :] for mark in marks)[:taken]) for i in range(12))
+    return [hashlib.md5(lines.encode()).hexdigest()[:15] for lines in first]
 
 
 def _cleaned(docs):

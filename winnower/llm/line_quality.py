@@ -145,7 +145,8 @@ def line_table(
 
     def sketch(i: int) -> Column:
         ends = F.transform(orders, lambda order: F.substr(order, F.lit(1 + 2 * i)))
-        return F.md5(F.array_join(F.slice(F.sort_array(ends), 1, taken), " "))
+        first = F.array_join(F.slice(F.sort_array(ends), 1, taken), " ")
+        return F.conv(F.substr(F.md5(first), F.lit(1), F.lit(15)), 16, 10).cast("bigint")
 
     bare = F.transform("_found", lambda line: F.struct(line["_at"], line["_line"], line["_n"]))
     narrow = found.select(
@@ -165,18 +166,22 @@ def copy_groups(table: DataFrame) -> DataFrame:
     best one that a text with it has taken, so that copies which differ where that
     sketch looks get to it by another.
     """
-    marks = table.select(
-        "_host", "_text_hash", F.posexplode("_sketches").alias("_i", "_sketch")
-    ).distinct()
-    key, text = ["_host", "_i", "_sketch"], ["_host", "_text_hash"]
-    common = marks.groupBy(*key).agg(F.count("*").alias("_texts"))
+    spark, text, key = table.sparkSession, ["_host", "_text_hash"], ["_place", "_i", "_sketch"]
+    texts = written(spark, table.select(*text, "_sketches").distinct(), "sketches")
+    place = F.xxhash64("_host").alias("_place")
+    marks = texts.select(place, "_text_hash", F.posexplode("_sketches").alias("_i", "_sketch"))
+    common = marks.groupBy(*key).agg(F.count("*").alias("_texts")).filter("_texts > 1")
+    # Most sketches have one text; only the others go on.
+    shared = written(spark, marks.join(common, key), "shared-sketches")
+    own = ["_place", "_text_hash"]
     rank = F.struct("_texts", (-F.col("_i")).alias("_i"), "_sketch")
-    best = marks.join(common, key).groupBy(*text).agg(F.max(rank).alias("_best"))
-    leads = marks.join(best, text).groupBy(*key).agg(F.max("_best").alias("_best"))
-    found = marks.join(leads, key).groupBy(*text).agg(F.max("_best").alias("_best"))
-    shared = F.concat_ws(" ", F.col("_best._i").cast("string"), F.col("_best._sketch"))
-    own = F.col("_text_hash").cast("string")
-    return found.select(*text, F.when(F.col("_best._texts") > 1, shared).otherwise(own).alias("_group"))
+    best = shared.groupBy(*own).agg(F.max(rank).alias("_best"))
+    leads = shared.select(*own, *key[1:]).join(best, own).groupBy(*key).agg(F.max("_best").alias("_best"))
+    found = shared.select(*own, *key[1:]).join(leads, key).groupBy(*own).agg(F.max("_best").alias("_best"))
+    name = F.concat_ws(" ", F.col("_best._i").cast("string"), F.col("_best._sketch").cast("string"))
+    alone = F.col("_text_hash").cast("string")
+    group = F.when(F.col("_best").isNotNull(), name).otherwise(alone).alias("_group")
+    return texts.select(*text, place).join(found, own, "left").select(*text, group)
 
 
 def frequent_lines(table: DataFrame, limits: QualityLimits) -> DataFrame:

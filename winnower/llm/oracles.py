@@ -40,7 +40,7 @@ line_set as (select distinct host, text, normal from lines),
 marks as (
   select host, text, i, md5(array_to_string(list_slice(
       list_sort(list(substr(md5(normal), (1 + 2 * i)::int))), 1, least((count(*) + 1) // 2, 6)
-    ), ' ')) as sketch
+    ), ' '))[1:15] as sketch
   from line_set, (select unnest(range(0, 12)) as i) group by host, text, i
 ),
 common as (
