@@ -115,26 +115,31 @@ class Languages:
         tables, self.starts, states = [], [], 0
         for text in joined.values():
             moves = suffix_automaton(text)
-            table = np.full((len(moves), self.width), -1, np.int64)
-            for state, found in enumerate(moves):
-                for c, target in found.items():
-                    table[state, self.codes[c]] = target + states
-            lacking = table[0] < 0
-            start = np.where(lacking, states, table[0])
-            ended = np.where(table >= 0, 0, 1 + lacking) << _ENDED
-            ended[0] = lacking.astype(np.int64) << _ENDED
-            tables.append(np.where(table >= 0, table, start) | ended)
             self.starts.append(states)
+            tables.append(self._moves(moves, states))
             states += len(moves)
-        stacked = np.concatenate(tables) if tables else np.zeros((0, self.width), np.int64)
-        # Next states are kept as offsets of their rows, which saves a product.
-        ended, target = stacked >> _ENDED << _ENDED, stacked & ((1 << _ENDED) - 1)
-        self.moves = (target * self.width | ended).astype(np.int32).ravel()
-        if states * self.width >= 1 << _ENDED:
-            raise ValueError("training text is too large for the table of moves")
+            if states * self.width >= 1 << _ENDED:
+                raise ValueError("training text is too large for the table of moves")
+        self.moves = np.concatenate(tables).ravel() if tables else np.zeros(0, np.int32)
         self.weights = np.array([np.log2(max(2, len(text))) for text in joined.values()])
         self._by_point: np.ndarray | None = None
 
+    def _moves(self, moves: list[dict[str, int]], first: int) -> np.ndarray:
+        """Moves of one automaton whose states begin at ``first``, worked out in place.
+
+        Next states are kept as offsets of their rows, which saves a product.
+        """
+        table = np.full((len(moves), self.width), -1, np.int32)
+        for state, found in enumerate(moves):
+            for c, target in found.items():
+                table[state, self.codes[c]] = (target + first) * self.width
+        lacking = table[0] < 0
+        start = np.where(lacking, first * self.width, table[0]).astype(np.int32)
+        table[0] = start | lacking.astype(np.int32) << _ENDED
+        ended = (1 + lacking).astype(np.int32) << _ENDED
+        np.copyto(table, start | ended, where=table < 0)
+        return table
+
     def _table(self) -> np.ndarray:
         """Code of every code point."""
         if self._by_point is None:
