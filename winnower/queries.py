@@ -328,11 +328,12 @@ def source_scan_many_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _uneven(rows: DataFrame, files: int) -> DataFrame:
-    """The rows in so many folders of uneven size, in order of doc_id."""
+    """The rows in so many folders of uneven size, in order of doc_id over folders and files."""
     last = rows.agg(F.max("doc_id")).first()[0] or 0
     part = F.floor(F.sqrt(F.col("doc_id") / F.lit(last + 1)) * files)
     parts = rows.withColumn("part", F.lpad(part.cast("string"), 3, "0"))
-    return parts.repartition(files, "part").sortWithinPartitions("part", "doc_id")
+    # By ranges, as a hash would bring all of a folder to one task, and several to some.
+    return parts.repartitionByRange("doc_id").sortWithinPartitions("part", "doc_id")
 
 
 def source_scan_json(spark: SparkSession, sf_dir: str) -> DataFrame:
