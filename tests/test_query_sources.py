@@ -7,7 +7,9 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from winnower import queries
+from winnower import fixtures, queries
+from winnower.operators.dedup import keep_first
+from winnower.operators.selection import select_rows
 from winnower.sources.numbered_lines import read_numbered_lines
 
 ROWS = 120
@@ -49,3 +51,13 @@ def test_uneven_folders_are_written_by_ranges(spark, documents, tmp_path):
     assert len(_files(tmp_path / "lines" / "part=003")) > 1
     read = read_numbered_lines(spark, f"{tmp_path}/lines").orderBy("seq").collect()
     assert [(row.seq, int(row.value)) for row in read] == [(i, i) for i in range(ROWS)]
+
+
+def test_first_copy_source_is_written_by_all_tasks(spark, documents, folders):
+    kept = queries.stream_first_copy(spark, documents).collect()
+    pairs = fixtures.document_pairs(spark, documents)
+    batch = keep_first(select_rows(pairs, queries.RULES, queries.EVERYTHING)).collect()
+    assert sorted(row.seq for row in kept) == sorted(row.seq for row in batch) and len(kept) < ROWS
+    assert len(_files(folders / "stream-source")) > queries.STREAM_TRIGGERS
+    commits = [p.name for p in (folders / "stream-state" / "commits").iterdir() if p.name.isdigit()]
+    assert sorted(commits) == [str(i) for i in range(queries.STREAM_TRIGGERS)]

@@ -586,14 +586,16 @@ def stream_first_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = shared_folder(spark, "stream-source")
     documents = fixtures.table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     last = documents.agg(F.max("doc_id")).first()[0] or 0
-    for part in range(STREAM_TRIGGERS):  # one after the other, so that their times are in order
-        bounds = (last + 1) * part // STREAM_TRIGGERS, (last + 1) * (part + 1) // STREAM_TRIGGERS
-        rows = documents.filter(F.col("doc_id").between(bounds[0], bounds[1] - 1))
-        rows.coalesce(1).write.mode("append").parquet(source)
-    reader = spark.readStream.schema(documents.schema).option("maxFilesPerTrigger", 1)
+    reader = spark.readStream.schema(documents.schema)
     copies = FirstCopies(shared_folder(spark, "first-copies"), RULES, EVERYTHING, keep=("seq",))
-    pairs = fixtures.pairs_of_documents(reader.parquet(source))
-    start_first_copy_stream(pairs, copies, shared_folder(spark, "stream-state")).awaitTermination()
+    state = shared_folder(spark, "stream-state")
+    # All tasks write a part, in files of no order; the stream takes them in one trigger.
+    for part in range(STREAM_TRIGGERS):
+        bounds = (last + 1) * part // STREAM_TRIGGERS, (last + 1) * (part + 1) // STREAM_TRIGGERS
+        arrived = documents.filter(F.col("doc_id").between(bounds[0], bounds[1] - 1))
+        arrived.write.mode("append").parquet(source)
+        pairs = fixtures.pairs_of_documents(reader.parquet(source))
+        start_first_copy_stream(pairs, copies, state).awaitTermination()
     rows = spark.read.schema(documents.schema).parquet(source)
     again = rows.filter(F.col("doc_id") >= (last + 1) * (STREAM_TRIGGERS - 1) // STREAM_TRIGGERS)
     copies(fixtures.pairs_of_documents(again), STREAM_TRIGGERS - 1)
