@@ -11,6 +11,7 @@ from winnower import fixtures, queries
 from winnower.operators.dedup import keep_first
 from winnower.operators.selection import select_rows
 from winnower.sources.numbered_lines import read_numbered_lines
+from winnower.streaming.clean import start_clean_stream
 
 ROWS = 120
 
@@ -61,3 +62,17 @@ def test_first_copy_source_is_written_by_all_tasks(spark, documents, folders):
     assert len(_files(folders / "stream-source")) > queries.STREAM_TRIGGERS
     commits = [p.name for p in (folders / "stream-state" / "commits").iterdir() if p.name.isdigit()]
     assert sorted(commits) == [str(i) for i in range(queries.STREAM_TRIGGERS)]
+
+
+@pytest.mark.parametrize(("files", "triggers"), [(2, 3), (1, 6)])
+def test_stream_parts_have_more_files_in_a_larger_table(spark, documents, folders, monkeypatch, files, triggers):
+    monkeypatch.setattr(queries, "STREAM_FILE_ROWS", 5)
+    pairs = queries._document_stream(spark, documents, files)
+    assert len(_files(folders / "stream-source")) == 24
+    query = start_clean_stream(pairs, f"{folders}/out", f"{folders}/state", dedup=True, salt_column="seq", state_tasks=3)
+    assert query.awaitTermination(300) and query.exception() is None
+    assert len(query.recentProgress) == triggers
+    for operator in range(2):  # the number of state folders of both steps
+        parts = [p for p in (folders / "state" / "state" / str(operator)).iterdir() if p.name.isdigit()]
+        assert len(parts) == 3
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "8"

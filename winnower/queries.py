@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -58,6 +59,7 @@ QUARTER = Sampling(hash_prob=0.25)
 EVERYTHING = Sampling(hash_prob=1.0)
 FIRST_ROWS = 333
 STREAM_FILES = 6
+STREAM_FILE_ROWS = 10_000
 STREAM_TRIGGERS = 4
 SCAN_FILES = 40
 JSON_FILES = 12
@@ -509,14 +511,26 @@ def role_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _document_stream(spark: SparkSession, sf_dir: str, files: int = 2) -> DataFrame:
-    """Pairs of all documents from a source of several files, so many for each trigger."""
+    """Pairs of all documents from a source of ``STREAM_FILES`` parts, so many for each trigger.
+
+    A part of a large table is several files, so that all tasks write and read it.
+    """
     folder = shared_folder(spark, "stream-source")
     documents = fixtures.table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    documents.repartition(STREAM_FILES, "doc_id").write.parquet(folder)
-    reader = spark.readStream.schema(documents.schema).option("maxFilesPerTrigger", files)
+    pieces = math.ceil(documents.count() / STREAM_FILES / STREAM_FILE_ROWS) or 1
+    documents.repartition(STREAM_FILES * pieces, "doc_id").write.parquet(folder)
+    found = len(spark.read.schema(documents.schema).parquet(folder).inputFiles())
+    each = math.ceil(found * files / STREAM_FILES)
+    reader = spark.readStream.schema(documents.schema).option("maxFilesPerTrigger", each)
     return fixtures.pairs_of_documents(reader.parquet(folder))
 
 
+def _state_tasks(spark: SparkSession) -> int:
+    """Two tasks for each core, but no more than other shuffles have."""
+    cores = spark.sparkContext.defaultParallelism
+    return min(2 * cores, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 def stream_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Case-blind content that a deduplicating stream over all documents wrote.
 
@@ -532,6 +546,7 @@ def stream_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
         EVERYTHING,
         dedup=True,
         salt_column="seq",
+        state_tasks=_state_tasks(spark),
     ).awaitTermination()
     texts = spark.read.schema("instruction string, output string").json(output)
     return texts.select(F.lower("instruction").alias("q"), F.lower("output").alias("r"))
@@ -547,6 +562,7 @@ def stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
         QUARTER,
         dedup=True,
         salt_column="seq",
+        state_tasks=_state_tasks(spark),
     )
     log = ProgressLog(query, QUARTER)
     log.follow()
@@ -569,6 +585,7 @@ def stream_progress_pushed(spark: SparkSession, sf_dir: str) -> DataFrame:
             QUARTER,
             dedup=True,
             salt_column="seq",
+            state_tasks=_state_tasks(spark),
         )
         progress.expect(query, first)
         query.awaitTermination()

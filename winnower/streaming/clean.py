@@ -18,6 +18,8 @@ KEPT_NAME = "kept"
 
 _STORE = "spark.sql.streaming.stateStore.providerClass"
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_CHANGELOG = "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"
+_SHUFFLE_TASKS = "spark.sql.shuffle.partitions"
 
 
 def stream_select(
@@ -52,17 +54,25 @@ def stream_select(
 
 
 @contextmanager
-def _rocksdb_state(spark: SparkSession) -> Iterator[None]:
-    """Keep the state on disk instead of the heap, for queries started inside."""
-    before = spark.conf.get(_STORE, None)
-    spark.conf.set(_STORE, _ROCKSDB)
+def _rocksdb_state(spark: SparkSession, tasks: int | None) -> Iterator[None]:
+    """State on disk instead of the heap, in so many tasks, for queries started inside.
+
+    A trigger commits what changed, not the whole store.
+    """
+    wanted = {_STORE: _ROCKSDB, _CHANGELOG: "true"}
+    if tasks:
+        wanted[_SHUFFLE_TASKS] = str(tasks)
+    before = {name: spark.conf.get(name, None) for name in wanted}
+    for name, value in wanted.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        if before is None:
-            spark.conf.unset(_STORE)
-        else:
-            spark.conf.set(_STORE, before)
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
 
 
 def start_clean_stream(
@@ -76,6 +86,7 @@ def start_clean_stream(
     null_as: str = "None",
     keep: tuple[str, ...] = (),
     tasks: int | None = None,
+    state_tasks: int | None = None,
 ) -> StreamingQuery:
     """Append the records of everything available to JSON Lines, then stop.
 
@@ -83,11 +94,16 @@ def start_clean_stream(
     of the source. Nothing is shuffled before rows are selected, unless ``tasks``
     is set: for a source of few large pieces the rows are then spread over that
     many tasks before the work on them.
+
+    Each task that deduplicates opens and commits its part of the state in every
+    trigger, for a second or so, however few its rows. ``state_tasks`` sets how many
+    there are, a few for each core, where a session's shuffles have many more. The
+    first run of a checkpoint fixes it.
     """
     spread = pairs.repartition(tasks) if tasks else pairs
     selected = stream_select(spread, rules, sampling, dedup, salt_column)
     records = instruction_records(selected, null_as, keep=keep)
-    with _rocksdb_state(pairs.sparkSession):
+    with _rocksdb_state(pairs.sparkSession, state_tasks):
         return (
             records.writeStream.format("json")
             .option("path", output_dir)
