@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from winnower.operators.components import connected_classes
 from winnower.operators.near_duplicates import Likeness, near_duplicate_classes
+from winnower.storage import written
 
 SCHEMA = "seq long, text string"
 
@@ -150,6 +151,42 @@ def test_a_third_of_all_rows_is_one_group(spark):
     assert "part" in text and "Generate explode(sequence" in text
 
 
+def test_only_texts_that_are_asked_for_are_built(spark):
+    """A text in no pair is neither normalised nor hashed again."""
+    from winnower.operators import near_duplicates as own
+
+    how = Likeness()
+    rows = [(1, "a b c d e f"), (2, "a b c d e g"), (None, "x y"), (3, "never built")]
+    table = spark.createDataFrame(rows, "id long, raw string")
+    signed = own._signatures(table.filter("id is null or id < 3").select("id", F.col("raw").alias("text")), how)
+    nodes = signed.select("node", F.struct("id", "text_hash").alias("first"))
+    a, b, c = (row["node"] for row in nodes.orderBy(F.col("first.id").asc_nulls_first()).collect())
+    pairs = spark.createDataFrame([(b, a), (c, a)], "a binary, b binary")
+    fails = F.raise_error(F.lit("built")).cast("string")
+    texts = table.select("id", F.when(F.col("id") == 3, fails).otherwise(F.col("raw")).alias("text"))
+    none = spark.createDataFrame([], "node binary, hashes array<bigint>")
+    sets = own._with_sets_of(none, texts, nodes, pairs, how)
+    assert {row["node"]: len(row["hashes"]) for row in sets.collect()} == {a: 1, b: 2, c: 2}
+
+
+def test_longer_keys_are_made_of_open_nodes_alone(spark):
+    from winnower.operators import near_duplicates as own
+
+    how = Likeness()
+    texts = spark.createDataFrame(_family(9, families=5, members=3, changes=2), SCHEMA)
+    nodes = own._signatures(texts.select(F.col("seq").alias("id"), "text"), how).dropDuplicates(["node"])
+    nodes = written(spark, nodes, "nodes")
+    some = {bytes(row["node"]) for row in nodes.orderBy("node").limit(4).collect()}
+    open_nodes = spark.createDataFrame([(band, node) for node in some for band in (0, 7)], "band int, node binary")
+    wanted = own._entries(nodes, how, 2).join(open_nodes, ["band", "node"], "left_semi")
+    found = own._open_entries(nodes, open_nodes, how, 2)
+    columns = ["band", "key", "node", "n"]
+    assert sorted(found.select(columns).collect()) == sorted(wanted.select(columns).collect())
+    assert found.count() == 8
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" in plan[plan.index("Generate") :]  # all keys of a node are made above it
+
+
 def test_edge_cases(spark):
     long = " ".join(f"w{i}" for i in range(200_000))
     rows = [(1, None), (2, ""), (None, "a b"), (3, "a b"), (4, "a b"), (4, "a b"), (5, "b a")]

@@ -14,8 +14,10 @@ grow with the members of a bucket, never with their square. What that can lose a
 links between two texts of one crowded bucket that meet no common hub and part
 again before their bucket is small; ``tests`` measure the recall.
 
-All of it is built-in expressions: every text is hashed twice, once for the
-signature, and once more, for candidates only, to verify exact sets.
+All of it is built-in expressions: every text is hashed once for its signature;
+only those of candidates are built and hashed once more, to verify exact sets. Of
+all bands only the entries of shared buckets are kept, and longer keys are made of
+open nodes alone, so each round costs what is still to be settled.
 """
 
 from __future__ import annotations
@@ -119,6 +121,12 @@ def _entries(nodes: DataFrame, how: Likeness, length: int) -> DataFrame:
     return nodes.select("node", "n", F.posexplode(F.array(*keys)).alias("band", "key"))
 
 
+def _open_entries(nodes: DataFrame, open_nodes: DataFrame, how: Likeness, length: int) -> DataFrame:
+    """The entries of open (band, node) only; no key is made of any other node."""
+    some = nodes.join(open_nodes.select("node").distinct(), "node", "left_semi")
+    return _entries(some, how, length).join(open_nodes, ["band", "node"], "left_semi")
+
+
 def _buckets(entries: DataFrame, how: Likeness, length: int) -> DataFrame:
     """(band, key, size, hubs) of buckets with more than one member."""
     hubs = [
@@ -196,11 +204,13 @@ def near_duplicate_classes(
         first, F.any_value("n").alias("n"), F.any_value("minima").alias("minima")
     )
     nodes = written(spark, nodes, "nodes")
-    links = spark.createDataFrame([], "a binary, b binary")
-    sets = spark.createDataFrame([], "node binary, hashes array<bigint>")
+    links = nodes.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
+    sets = nodes.select("node", F.col("minima").alias("hashes")).limit(0)
     entries = _entries(nodes, how, how.lengths[0])
     for length, longer in zip(how.lengths, (*how.lengths[1:], None), strict=True):
         buckets = written(spark, _buckets(entries, how, length), "buckets")
+        entries = entries.join(buckets.select("band", "key"), ["band", "key"], "left_semi")
+        entries = written(spark, entries, "entries")
         pairs = written(spark, _candidates(entries, buckets, how), "pairs")
         sets = _with_sets_of(sets, texts, nodes, pairs, how)
         found = written(spark, _verified(pairs, sets, how), "links")
@@ -210,7 +220,7 @@ def near_duplicate_classes(
         open_nodes = written(spark, _unattached(entries, buckets, found, how), "open")
         if open_nodes.isEmpty():
             break
-        entries = _entries(nodes, how, longer).join(open_nodes, ["band", "node"], "left_semi")
+        entries = written(spark, _open_entries(nodes, open_nodes, how, longer), "entries")
     classes = connected_classes(links)
     of_node = signed.join(classes, signed["node"] == classes["node"], "left").select(
         "id", "text_hash", F.coalesce("root", signed["node"]).alias("root")
@@ -245,7 +255,9 @@ def _with_sets_of(
     asked = written(texts.sparkSession, asked.select("node", "id", "text_hash"), "asked")
     if asked.isEmpty():
         return sets
-    keyed = texts.select(F.col("id").alias("_id"), F.xxhash64("text").alias("_hash"), "text")
+    ids = asked.select(F.col("id").alias("_asked")).distinct()
+    some = texts.join(ids, F.col("id").eqNullSafe(F.col("_asked")), "left_semi")
+    keyed = some.select(F.col("id").alias("_id"), F.xxhash64("text").alias("_hash"), "text")
     same = F.col("_id").eqNullSafe(F.col("id")) & (F.col("_hash") == F.col("text_hash"))
     found = keyed.join(asked, same).select("node", shingle_hashes(F.col("text"), how.words).alias("hashes"))
     return sets.union(written(texts.sparkSession, found.dropDuplicates(["node"]), "sets"))
