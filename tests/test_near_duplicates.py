@@ -187,6 +187,26 @@ def test_longer_keys_are_made_of_open_nodes_alone(spark):
     assert "LeftSemi" in plan[plan.index("Generate") :]  # all keys of a node are made above it
 
 
+def test_hubs_are_chosen_among_shared_entries_alone(spark):
+    """What no other node has is dropped before hubs are made; the buckets stay the same."""
+    from winnower.operators import near_duplicates as own
+
+    how = Likeness()
+    texts = spark.createDataFrame(_family(10, families=4, members=3, changes=3), SCHEMA)
+    nodes = own._signatures(texts.select(F.col("seq").alias("id"), "text"), how)
+    entries = written(spark, own._entries(nodes, how, 1), "entries")
+    shared = own._shared(entries)
+    met = {}
+    for row in entries.collect():
+        met.setdefault((row["band"], row["key"]), []).append(bytes(row["node"]))
+    kept = sorted((band, key, node) for (band, key), all_of in met.items() if len(all_of) > 1 for node in all_of)
+    assert sorted((row["band"], row["key"], bytes(row["node"])) for row in shared.collect()) == kept
+    assert 0 < len(kept) < entries.count()
+    columns = ["band", "key", "size", "hubs"]
+    found, wanted = (own._buckets(rows, how, 1).select(columns) for rows in (shared, entries))
+    assert sorted(found.collect()) == sorted(wanted.collect())
+
+
 def test_edge_cases(spark):
     long = " ".join(f"w{i}" for i in range(200_000))
     rows = [(1, None), (2, ""), (None, "a b"), (3, "a b"), (4, "a b"), (4, "a b"), (5, "b a")]

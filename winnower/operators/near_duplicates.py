@@ -127,6 +127,12 @@ def _open_entries(nodes: DataFrame, open_nodes: DataFrame, how: Likeness, length
     return _entries(some, how, length).join(open_nodes, ["band", "node"], "left_semi")
 
 
+def _shared(entries: DataFrame) -> DataFrame:
+    """The entries of keys that more than one node has; only counts of the others are shuffled."""
+    keys = entries.groupBy("band", "key").agg(F.count("*").alias("size")).filter("size > 1")
+    return entries.join(keys.select("band", "key"), ["band", "key"], "left_semi")
+
+
 def _buckets(entries: DataFrame, how: Likeness, length: int) -> DataFrame:
     """(band, key, size, hubs) of buckets with more than one member."""
     hubs = [
@@ -208,9 +214,8 @@ def near_duplicate_classes(
     sets = nodes.select("node", F.col("minima").alias("hashes")).limit(0)
     entries = _entries(nodes, how, how.lengths[0])
     for length, longer in zip(how.lengths, (*how.lengths[1:], None), strict=True):
+        entries = written(spark, _shared(entries), "entries")
         buckets = written(spark, _buckets(entries, how, length), "buckets")
-        entries = entries.join(buckets.select("band", "key"), ["band", "key"], "left_semi")
-        entries = written(spark, entries, "entries")
         pairs = written(spark, _candidates(entries, buckets, how), "pairs")
         sets = _with_sets_of(sets, texts, nodes, pairs, how)
         found = written(spark, _verified(pairs, sets, how), "links")
