@@ -10,13 +10,14 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from winnower.llm import queries
+from winnower.llm import queries, token_files
 from winnower.llm.conversations import (
     escaped,
     formatted_turn,
@@ -27,7 +28,7 @@ from winnower.llm.conversations import (
 )
 from winnower.llm.decontaminate import Index, OverlapRule, find_contamination, words_of
 from winnower.llm.files import file_system
-from winnower.llm.id_coder import decode, encode
+from winnower.llm.id_coder import Shares, decode, encode
 from winnower.llm.language_id import Languages, suffix_automaton
 from winnower.llm.simhash import (
     connected_components,
@@ -131,6 +132,69 @@ def test_damaged_files_are_noticed(tmp_path):
             list(_read_file(bytes(broken)))
 
 
+@settings(max_examples=300, deadline=None)
+@given(text=st.text(st.characters(max_codepoint=0x17F), max_size=40) | st.text(st.sampled_from("aZ5é́Íß.'<|\x0b\xa0 "), max_size=20))
+def test_latin_words_encode_as_the_library(words, text):
+    library, own = words
+    ids = np.array(library.encode(text, add_special_tokens=False).ids, "<u4")
+    assert own.of_text(text) == ids.tobytes()
+
+
+def test_every_plain_character_encodes_as_the_library(words):
+    library, own = words
+    for code in range(0x21, 0x180):
+        text = f"{chr(code)} x{chr(code)}y{chr(code)} {chr(code)}{chr(code)}9"
+        ids = np.array(library.encode(text, add_special_tokens=False).ids, "<u4")
+        assert own.of_text(text) == ids.tobytes()
+
+
+def test_runs_of_plain_words_are_tokenized_once():
+    class Counted:
+        def __init__(self, model):
+            self.model, self.seen = model, []
+
+        def tokenize(self, run):
+            self.seen.append(run)
+            return self.model.tokenize(run)
+
+    own = WordIds(WORDS)
+    own.model, own.tokenizer = Counted(own.model), None
+    texts = pa.array(["The cat. the CAT, cat!", None, "", "cat,The."])
+    ids = list(own.of_texts(texts))
+    assert sorted(own.model.seen) == ["!", ",", ".", "cat", "the"]
+    assert ids[1:3] == [b"", b""] and len(ids) == 4 and len(ids[3]) == 4 * 4
+
+
+def test_texts_of_several_calls_and_slices(words, monkeypatch):
+    library, own = words
+    texts = pa.array(["skipped", "one two", None, "", " three\tfour ", "é " * 30, "five"])[1:]
+    monkeypatch.setattr(token_files, "_LETTERS_AT_ONCE", 12)
+    expected = [library.encode(t or "", add_special_tokens=False).ids for t in texts.to_pylist()]
+    assert list(own.of_texts(texts)) == [np.array(ids, "<u4").tobytes() for ids in expected]
+
+
+@settings(max_examples=25, deadline=None)
+@given(seed=st.integers(0, 99), kinds=st.sampled_from([1, 2, 300, 65536]), skew=st.floats(0, 3))
+def test_coder_round_trip_with_shares(seed, kinds, skew):
+    rng = np.random.default_rng(seed)
+    share = np.arange(1, kinds + 1) ** -skew
+    ids = rng.permutation(65536)[rng.choice(kinds, 700, p=share / share.sum())].astype(np.int32)
+    blocks = [ids[:300], ids[300:600], ids[600:]]
+    shares = Shares(np.bincount(ids, minlength=65536))
+    again = decode(encode(blocks, shares), [300, 300, 100], shares)
+    assert (np.concatenate(again) == ids).all()
+
+
+def test_files_are_near_the_entropy_of_their_ids(tmp_path):
+    share = 1 / np.arange(1, 5001)
+    share /= share.sum()
+    ids = np.random.default_rng(5).choice(5000, 200_000, p=share).astype("<u4")
+    name, _ = _write_file(str(tmp_path), 0, [1], [ids.tobytes()])
+    data = (tmp_path / name).read_bytes()
+    assert [bytes(found) for _, found in _read_file(data)] == [ids.tobytes()]
+    assert len(data) * 8 / len(ids) < 0.5 - (share * np.log2(share)).sum()
+
+
 # Near-duplicates
 
 

@@ -1,224 +1,266 @@
 """Adaptive context-mixing range coder for token ids, many blocks side by side.
 
 Each block is coded alone, from a reset model, and is one lane of the arrays
-here: step t codes id t of every lane. An id is first offered the guesses of
-order 2 (the id that last followed the two ids before) and order 1 (after the
-one id before). Two adaptive models, one for each guess's record of success,
-give the chances of "order 2 is right", "order 1 is right" and "neither"; they
-are mixed by a weight that each lane moves toward the better one. What neither
-guesses, order 0 codes in four adaptive 16-way steps. All chances are integers
-of 12 bits, so encoder and decoder agree on any machine.
-
-The coder keeps 64 bits of state and puts out 16 at a time. A range below 2^48
-is renewed after at most three steps of 12 bits, so it never runs out.
+here: step t codes id t of every lane. Order 2 (the id that last followed the
+two ids before) and order 1 (after the one id before) guess an id; the surer of
+the two is offered. Two adaptive models, by each order's record of success and
+whether it guesses the same, give the chance that it is right; they are mixed by
+a weight that each lane moves toward the better one. Other ids order 0 codes in
+two steps: one of eight classes of ids, by chances that start from the shares
+of the caller's counts and adapt to the block, and the place in the class, by
+those shares. All chances are integers of 12 bits, or 16 in a class, so encoder
+and decoder agree on any machine.
+
+The coder keeps 64 bits of state and puts out 16 at a time, carrying into what
+is out already. A range of 2^48 or more is renewed after at most 40 bits, so it
+never runs out.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 
 LANES = 4096
-_BITS = np.uint64(12)
+IDS = 1 << 16
+_BITS, _FINE_BITS = np.uint64(12), np.uint64(16)
 _ONE = 1 << 12
+_LAST, _LAST_FINE = np.uint64(_ONE - 1), np.uint64(IDS - 1)
 _WORD = np.uint64(16)
 _TOP = np.uint64(48)
 _LEAST = np.uint64(1 << 48)
-_RATE, _FLAG_RATE, _MIX_RATE = 4, 5, 6
-_ORDER1, _ORDER2 = 1 << 10, 1 << 11
-_CONFIDENT = 3
-_STEPS = (0, 1, 17, 273)  # first context of each 16-way step
-_ROWS = 529
-_UNUSED = _ROWS  # row of lanes whose guess was right: its first digit is certain
-_ROW = np.dtype("V34")
-
-_EVEN = [i * (_ONE // 16) for i in range(17)]
-_CERTAIN = [0] + [_ONE] * 16
-#: Where the bounds of a row move when a digit was coded; the last leaves the unused row as it is.
+_RATE, _CHANCE_RATE, _MIX_RATE = 5, 5, 6
+_LOWEST = 16  # chance of a guess
+_CLASSES = 8
+_ROW = np.dtype(f"V{2 * _CLASSES + 2}")
+#: Where the bounds of a row move when a class was coded.
 _GOALS = np.array(
-    [[i if i <= s else _ONE - 16 + i for i in range(17)] for s in range(16)] + [_CERTAIN], np.int16
-)
-_FLAG_GOALS = np.array(
-    [[0, _ONE - 2, _ONE - 1, _ONE], [0, 1, _ONE - 1, _ONE], [0, 1, 2, _ONE]], np.int32
-)
+    [[i if i <= s else _ONE - _CLASSES + i for i in range(_CLASSES + 1)] for s in range(_CLASSES)],
+    np.int16,
+).view(_ROW).ravel()
+#: A lane's guesses: one bucket for each hash of the last id, of order 1 and then seven of order 2.
+_BUCKETS, _BUCKET = 512, 8
+#: The next sureness (0: none yet) of a guess, from bit 16 on, by twice its sureness and one if right.
+_SURER = np.array([1, 2, 1, 2, 1, 3, 2, 3], np.int32) << 16
+_STEPS_AT_ONCE = 64
+
+
+class Shares:
+    """Order 0 of the ids of one file: their classes, and their places in a class.
+
+    Ids are ranked by how often they occur, ties by id, and classes cut where an
+    eighth of all occurrences is full. An id that the counts lack cannot be coded.
+    """
+
+    def __init__(self, counts: np.ndarray):
+        counts = np.asarray(counts, np.int64)
+        ranked = np.argsort(-counts, kind="stable")[: np.count_nonzero(counts)]
+        count = counts[ranked]
+        total = max(1, int(count.sum()))
+        cut = (np.cumsum(count) - count) * _CLASSES // total
+        of = np.unique(cut, return_inverse=True)[1]
+        n_ids = np.bincount(of, minlength=_CLASSES)
+        n_all = np.zeros(_CLASSES, np.int64)
+        np.add.at(n_all, of, count)
+        size = 1 + count * (IDS - n_ids[of]) // n_all[of]
+        sizes = np.zeros(_CLASSES, np.int64)
+        np.add.at(sizes, of, size)
+        first = np.searchsorted(of, np.arange(_CLASSES))[sizes > 0]
+        size[first] += IDS - sizes[sizes > 0]
+        start = np.cumsum(size) - size - of * IDS
+        #: Class, start and size of an id, 20 bits each.
+        self.packed = np.zeros(IDS, np.uint64)
+        self.packed[ranked] = (of << 40 | start << 20 | size).astype(np.uint64)
+        #: The id at each place of each class.
+        self.slots = np.repeat(ranked, size).astype(np.int32)
+        bounds = np.append(0, np.cumsum(n_all)) * (_ONE - _CLASSES) // total + np.arange(_CLASSES + 1)
+        bounds[-1] = _ONE
+        self.row = bounds.astype(np.int16)
 
 
 class _Model:
-    """State of independent models, one for each lane."""
+    """State of independent models, one for each lane; arrays of two rows hold orders 1 and 2."""
 
-    def __init__(self, lanes: int):
+    def __init__(self, lanes: int, shares: Shares):
         self.lane = np.arange(lanes)
-        rows = np.array([_EVEN] * _ROWS + [_CERTAIN], np.int16)
-        self.steps = np.tile(rows, (lanes, 1)).view(_ROW).ravel()
-        thirds = np.array([0, _ONE // 3, 2 * _ONE // 3, _ONE], np.int32)
-        self.flags = np.tile(thirds, (lanes * 16, 1))
+        self.rows = np.tile(shares.row, (lanes, 1)).view(_ROW).ravel()
+        self.guesses = np.zeros(lanes * _BUCKETS * _BUCKET, np.int32)
+        self.chances = np.full(16 * lanes, _ONE // 2, np.int32)
+        self.chance_base = np.stack([self.lane * 8, (lanes + self.lane) * 8])
         self.weight = np.full(lanes, 128, np.int32)
-        self.guess1 = np.zeros(lanes * _ORDER1, np.int32)
-        self.guess2 = np.zeros(lanes * _ORDER2, np.int32)
         self.last = np.zeros(lanes, np.int64)
         self.last2 = np.zeros(lanes, np.int64)
 
-    def guess(self, n: int) -> np.ndarray:
-        """Looks up both guesses of the first n lanes; the mixed bounds of the three flags."""
-        lane = self.lane[:n]
-        mix = self.last[:n] * 40503
-        self.at1 = lane * _ORDER1 + (mix >> 3 & (_ORDER1 - 1))
-        self.at2 = lane * _ORDER2 + ((mix + self.last2[:n] * 30011) >> 3 & (_ORDER2 - 1))
-        found1, found2 = self.guess1.take(self.at1), self.guess2.take(self.at2)
-        self.id1, self.sure1 = found1 & 0xFFFF, found1 >> 16
-        self.id2, self.sure2 = found2 & 0xFFFF, found2 >> 16
-        base = lane * 16 + (self.id1 == self.id2)
-        self.row2 = base + 2 * self.sure2
-        self.row1 = base + 2 * self.sure1 + 8
-        self.by2 = self.flags.take(self.row2, axis=0)
-        self.by1 = self.flags.take(self.row1, axis=0)
-        self.mixed = (self.by1 * 256 + self.weight[:n, None] * (self.by2 - self.by1)) >> 8
-        return self.mixed
-
-    def learn_flag(self, n: int, flag: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Updates what the flag teaches; returns its start and size in the mixed bounds."""
-        at, goal = 4 * self.lane[:n] + flag, _FLAG_GOALS.take(flag, axis=0)
-        start, size = _span(self.mixed, at)
-        better = _span(self.by2, at)[1] - _span(self.by1, at)[1]
-        np.clip(self.weight[:n] + (better >> _MIX_RATE), 16, 240, out=self.weight[:n])
-        self.flags[self.row2] = self.by2 + ((goal - self.by2) >> _FLAG_RATE)
-        self.flags[self.row1] = self.by1 + ((goal - self.by1) >> _FLAG_RATE)
-        return start, size
-
-    def learn_id(self, n: int, ids: np.ndarray) -> None:
-        for table, at, guess, sure in (
-            (self.guess1, self.at1, self.id1, self.sure1),
-            (self.guess2, self.at2, self.id2, self.sure2),
-        ):
-            right = guess == ids
-            surer = np.clip(sure + 2 * right - 1, 0, _CONFIDENT)
-            table[at] = np.where(right | (sure > 0), guess, ids) | surer << 16
+    def guess(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """The ids offered in the first n lanes, and the mixed chances that they are right."""
+        at = self.at = np.empty((2, n), np.int64)
+        bucket = (self.last[:n] * 40503 >> 3 & (_BUCKETS - 1)) + self.lane[:n] * _BUCKETS
+        np.multiply(bucket, _BUCKET, out=at[0])
+        np.add(at[0], (self.last2[:n] * 30011 & 0xFFFF) * (_BUCKET - 1) >> 16, out=at[1])
+        at[1] += 1
+        found = self.guesses[at]
+        self.ids, self.sure = found & 0xFFFF, found >> 16
+        offered = self.ids[0] + (self.ids[1] - self.ids[0]) * (self.sure[1] >= self.sure[0])
+        self.row = self.chance_base[:, :n] + self.sure * 2
+        self.row += self.ids == offered
+        first, second = self.chance = self.chances[self.row]
+        self.mixed = first + ((second - first) * self.weight[:n] >> 8)
+        return offered, self.mixed
+
+    def learn_right(self, n: int, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Updates what being right or wrong teaches; returns its start and size in the range."""
+        sign = right * np.int32(2) - np.int32(1)
+        first, second = self.chance
+        weight = self.weight[:n] + ((second - first) * sign >> _MIX_RATE)
+        np.minimum(np.maximum(weight, 16), 240, out=self.weight[:n])
+        goal = right * np.int32(_ONE - 2 * _LOWEST) + np.int32(_LOWEST)
+        self.chances[self.row] = self.chance + (goal - self.chance >> _CHANCE_RATE)
+        start = self.mixed * ~right
+        return start.astype(np.uint64), (self.mixed * sign + (start > 0) * _ONE).astype(np.uint64)
+
+    def learn_id(self, n: int, here: np.ndarray) -> None:
+        record = self.sure * 2 + (self.ids == here)
+        kept = (record & 5) > 0
+        self.guesses[self.at] = here + (self.ids - here) * kept + _SURER[record]
         self.last2[:n] = self.last[:n]
-        self.last[:n] = ids
-
-    def rows(self, n: int, step: int, high: np.ndarray, coded: np.ndarray):
-        """Places and bounds of a 16-way step, by the digits coded before it."""
-        context = high if step < 3 else (high >> 4 & 15) << 4 | high & 15
-        at = self.lane[:n] * (_ROWS + 1) + np.where(coded, context + _STEPS[step], _UNUSED)
-        return at, self.steps.take(at).view(np.int16).reshape(n, 17)
-
-    def learn_digit(self, at: np.ndarray, row: np.ndarray, digit: np.ndarray, coded) -> None:
-        goal = _GOALS.take(np.where(coded, digit, 16), axis=0)
-        goal -= row
-        goal >>= _RATE
-        goal += row
-        self.steps[at] = goal.view(_ROW).ravel()
+        self.last[:n] = here
 
+    def classes(self, lane: np.ndarray) -> np.ndarray:
+        """The bounds of the classes in each of the lanes."""
+        return self.rows.take(lane).view(np.int16).reshape(-1, _CLASSES + 1)
 
-def _span(bounds: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    start = bounds.take(at)
-    return start, bounds.take(at + 1) - start
+    def learn_class(self, lane: np.ndarray, row: np.ndarray, of: np.ndarray):
+        """Updates the bounds; returns the start and size of the class."""
+        at = of + (_CLASSES + 1) * self.lane[: len(of)]
+        start = row.take(at)
+        size = row.take(at + 1) - start
+        moved = _GOALS.take(of).view(np.int16).reshape(-1, _CLASSES + 1)
+        moved -= row
+        moved >>= _RATE
+        moved += row
+        self.rows[lane] = moved.view(_ROW).ravel()
+        return start.astype(np.uint64), size.astype(np.uint64)
 
 
-class _Range:
-    """Low end and span of each lane's interval."""
+def _places(packed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return packed >> np.uint64(20) & np.uint64(0xFFFFF), packed & np.uint64(0xFFFFF)
 
-    def __init__(self, lanes: int):
-        self.low = np.zeros(lanes, np.uint64)
-        self.span = np.full(lanes, 2**64 - 1, np.uint64)
-
-    def narrow(self, n: int, start: np.ndarray, size: np.ndarray) -> None:
-        unit = self.span[:n] >> _BITS
-        self.low[:n] += unit * start.astype(np.uint64)
-        np.multiply(unit, size.astype(np.uint64), out=self.span[:n])
-
-    def renewals(self, n: int):
-        """Lanes whose span has to be renewed, until there are none; the caller moves a word."""
-        lane = np.flatnonzero(self.span[:n] < _LEAST)
-        while len(lane):
-            low, span = self.low[lane], self.span[lane]
-            split = (low ^ (low + span)) >> _TOP != 0
-            span = np.where(split, -low & (_LEAST - np.uint64(1)), span) << _WORD
-            yield lane, low >> _TOP
-            self.low[lane], self.span[lane] = low << _WORD, span
-            lane = lane[span < _LEAST]
 
+def _steps(sizes: list[int]) -> Iterator[tuple[slice, list[int]]]:
+    """Runs of steps, and how many lanes, longest first, have an id at each step of them."""
+    longest = sizes[0] if sizes else 0
+    active = np.searchsorted(-np.array(sizes), -np.arange(longest), "left").tolist()
+    for start in range(0, longest, _STEPS_AT_ONCE):
+        run = slice(start, min(start + _STEPS_AT_ONCE, longest))
+        yield run, active[run]
 
-def _active(sizes: np.ndarray) -> list[int]:
-    """How many lanes, longest first, have an id at each step."""
-    longest = int(sizes[0]) if len(sizes) else 0
-    return np.searchsorted(-sizes, -np.arange(longest), "left").tolist()
 
-
-def encode(blocks: list[np.ndarray]) -> list[bytes]:
+def encode(blocks: list[np.ndarray], shares: Shares | None = None) -> list[bytes]:
     """Coded bytes of each block of ids below 2^16; longest blocks first."""
-    lanes, sizes = len(blocks), np.array([len(block) for block in blocks])
-    active = _active(sizes)
-    ids = np.zeros((len(active), lanes), np.int32)
-    for lane, block in enumerate(blocks):
-        ids[: len(block), lane] = block
-    model, interval = _Model(lanes), _Range(lanes)
-    out = np.zeros((lanes, 4 * len(active) + 8), np.uint16)
-    place = np.zeros(lanes, np.int64)
-
-    def renew(n: int) -> None:
-        for lane, word in interval.renewals(n):
-            out[lane, place[lane]] = word
-            place[lane] += 1
-
-    for here, n in zip(ids, active, strict=True):
-        here = here[:n]
-        model.guess(n)
-        flag = np.where(here == model.id2, 0, 2 - (here == model.id1))
-        interval.narrow(n, *model.learn_flag(n, flag))
-        coded, first = flag == 2, 17 * model.lane[:n]
-        for step in range(4):
-            at, row = model.rows(n, step, here >> (16 - 4 * step), coded)
-            digit = (here >> (12 - 4 * step) & 15) * coded
-            interval.narrow(n, *_span(row, first + digit))
-            model.learn_digit(at, row, digit, coded)
-            if step in (1, 3):
-                renew(n)
+    shares = shares or Shares(np.ones(IDS))
+    lanes, sizes = len(blocks), [len(block) for block in blocks]
+    ids = np.zeros((lanes, max(sizes, default=0)), np.int32)
+    for row, block in zip(ids, blocks, strict=True):
+        row[: len(block)] = block
+    model = _Model(lanes, shares)
+    low, span = np.zeros(lanes, np.uint64), np.full(lanes, 2**64 - 1, np.uint64)
+    width = 3 * ids.shape[1] + 8
+    out = np.zeros(lanes * width, np.uint16)
+    place = np.arange(lanes) * width
+
+    def step(here: np.ndarray, n: int) -> None:
+        before = low[:n].copy()
+        offered, _ = model.guess(n)
+        right = offered == here
+        start, size = model.learn_right(n, right)
+        unit = span[:n] >> _BITS
+        low[:n] += unit * start
+        np.multiply(unit, size, out=span[:n])
+        left = np.flatnonzero(~right)
+        packed = shares.packed[here[left]]
+        of = (packed >> np.uint64(40)).astype(np.int64)
+        start, size = model.learn_class(left, model.classes(left), of)
+        unit = span[left] >> _BITS
+        ahead, unit = unit * start, unit * size >> _FINE_BITS
+        start, size = _places(packed)
+        low[left] += ahead + unit * start
+        span[left] = unit * size
+        carried = place[np.flatnonzero(low[:n] < before)]
+        while len(carried):
+            carried -= 1
+            out[carried] += np.uint16(1)
+            carried = carried[out[carried] == 0]
+        lane = np.flatnonzero(span[:n] < _LEAST)
+        while len(lane):
+            at, first, wide = place[lane], low[lane], span[lane] << _WORD
+            out[at] = first >> _TOP
+            place[lane] = at + 1
+            low[lane], span[lane] = first << _WORD, wide
+            lane = lane[wide < _LEAST]
         model.learn_id(n, here)
-    low, coded_blocks = interval.low, []
-    for lane in range(lanes):
-        tail = [int(low[lane]) >> shift & 0xFFFF for shift in (48, 32, 16, 0)]
-        whole = np.append(out[lane, : place[lane]], np.array(tail, np.uint16))
-        coded_blocks.append(whole.astype("<u2").tobytes())
-    return coded_blocks
+
+    for run, active in _steps(sizes):
+        for here, n in zip(np.ascontiguousarray(ids[:, run].T), active, strict=True):
+            step(here[:n], n)
+    tail = np.stack([low >> np.uint64(shift) & np.uint64(0xFFFF) for shift in (48, 32, 16, 0)], 1)
+    coded = out.astype("<u2", copy=False)
+    starts = (np.arange(lanes) * width).tolist()
+    return [
+        coded[start:end].tobytes() + rest.tobytes()
+        for start, end, rest in zip(starts, place.tolist(), tail.astype("<u2"), strict=True)
+    ]
 
 
-def decode(coded: list[bytes], sizes: list[int]) -> list[np.ndarray]:
+def decode(coded: list[bytes], sizes: list[int], shares: Shares | None = None) -> list[np.ndarray]:
     """The ids of each block; longest blocks first."""
-    lanes, active = len(coded), _active(np.array(sizes))
-    words = np.zeros((lanes, max(map(len, coded), default=0) // 2 + 8), np.uint16)
+    shares = shares or Shares(np.ones(IDS))
+    lanes = len(coded)
+    width = max(map(len, coded), default=0) // 2 + 8
+    words = np.zeros((lanes, width), np.uint16)
     for lane, block in enumerate(coded):
         words[lane, : len(block) // 2] = np.frombuffer(block, "<u2")
-    ids = np.zeros((len(active), lanes), np.int32)
-    model, interval = _Model(lanes), _Range(lanes)
-    code, place = np.zeros(lanes, np.uint64), np.full(lanes, 4, np.int64)
+    ids = np.zeros((lanes, max(sizes, default=0)), np.int32)
+    model = _Model(lanes, shares)
+    code, span = np.zeros(lanes, np.uint64), np.full(lanes, 2**64 - 1, np.uint64)
     for i in range(4):
         code = code << _WORD | words[:, i]
-
-    def target(n: int) -> np.ndarray:
-        unit = interval.span[:n] >> _BITS
-        return np.minimum((code[:n] - interval.low[:n]) // unit, _ONE - 1).astype(np.int16)
-
-    def renew(n: int) -> None:
-        for lane, _ in interval.renewals(n):
-            code[lane] = code[lane] << _WORD | words[lane, place[lane]]
-            place[lane] += 1
-
-    for out, n in zip(ids, active, strict=True):
-        mixed, value = model.guess(n), target(n)
-        flag = (value >= mixed[:, 1]) + (value >= mixed[:, 2]).astype(np.int64)
-        interval.narrow(n, *model.learn_flag(n, flag))
-        unguessed, first = flag == 2, 17 * model.lane[:n]
-        high = np.zeros(n, np.int64)
-        for step in range(4):
-            at, row = model.rows(n, step, high, unguessed)
-            below = row[:, 1:] <= target(n)[:, None]
-            digit = np.bitwise_count(np.packbits(below.ravel()).view(np.uint16)).astype(np.int64)
-            interval.narrow(n, *_span(row, first + digit))
-            model.learn_digit(at, row, digit, unguessed)
-            high = high << 4 | digit
-            if step in (1, 3):
-                renew(n)
-        here = np.where(flag == 0, model.id2, np.where(flag == 1, model.id1, high))
-        out[:n] = here
+    place, words = np.arange(lanes) * width + 4, words.ravel()
+
+    def step(n: int) -> np.ndarray:
+        here, mixed = model.guess(n)
+        unit = span[:n] >> _BITS
+        right = code[:n] < unit * mixed.astype(np.uint64)
+        start, size = model.learn_right(n, right)
+        code[:n] -= unit * start
+        np.multiply(unit, size, out=span[:n])
+        left = np.flatnonzero(~right)
+        rest, unit = code[left], span[left] >> _BITS
+        value = np.minimum(rest // unit, _LAST).astype(np.int16)
+        row = model.classes(left)
+        of = np.bitwise_count(np.packbits(row[:, 1:] <= value[:, None])).astype(np.int64)
+        start, size = model.learn_class(left, row, of)
+        rest -= unit * start
+        unit = unit * size >> _FINE_BITS
+        value = np.minimum(rest // unit, _LAST_FINE).astype(np.int64)
+        found = shares.slots[of * IDS + value]
+        start, size = _places(shares.packed[found])
+        code[left] = rest - unit * start
+        span[left] = unit * size
+        here[left] = found
+        lane = np.flatnonzero(span[:n] < _LEAST)
+        while len(lane):
+            at, wide = place[lane], span[lane] << _WORD
+            code[lane] = code[lane] << _WORD | words[at]
+            place[lane] = at + 1
+            span[lane] = wide
+            lane = lane[wide < _LEAST]
         model.learn_id(n, here)
-    return [ids[:size, lane].copy() for lane, size in enumerate(sizes)]
+        return here
+
+    for run, active in _steps(sizes):
+        part = np.zeros((len(active), lanes), np.int32)
+        for row, n in zip(part, active, strict=True):
+            row[:n] = step(n)
+        ids[:, run] = part.T
+    return [row[:size] for row, size in zip(ids, sizes, strict=True)]

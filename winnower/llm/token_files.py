@@ -4,11 +4,12 @@ Documents are range-partitioned by id and sorted; each task tokenizes its texts
 and writes files of bounded size to the shared folder. A file has
 
     magic, then the documents' table: how many, and zlib of their ids (a flag
-    for null and a signed 64-bit integer) and token counts, with its CRC-32;
+    for null and a signed 64-bit integer) and token counts; zlib of which ids
+    the file holds (a bit each) and how often; the CRC-32 of both;
     then blocks of at most ``BLOCK_IDS`` ids, each with its id count, its coded
     size and the CRC-32 of its coded bytes, followed by those bytes.
 
-Any block can be decoded alone. The rows of the index name the files of tasks
+Any block can be decoded alone, with the counts of its file. The rows of the index name the files of tasks
 that succeeded; files that a lost attempt left are never read.
 
 Defined cases: a null text is empty and gives the end id alone; repeated rows
@@ -19,97 +20,120 @@ an empty table gives no document.
 from __future__ import annotations
 
 import os
+import re
 import struct
 import zlib
 from collections.abc import Buffer, Iterable, Iterator
 from functools import lru_cache
-from itertools import islice
+from itertools import islice, pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from winnower.llm.files import file_system, new_file
-from winnower.llm.id_coder import LANES, decode, encode
+from winnower.llm.id_coder import IDS, LANES, Shares, decode, encode
 from winnower.storage import shared_folder, written
 
 BLOCK_IDS = 2048
-_MAGIC = b"WIDS1\n"
+_MAGIC = b"WIDS2\n"
 _TABLE = struct.Struct("<QIII")
 _BLOCK = struct.Struct("<III")
 _CACHED_WORDS = 600_000
 _CACHED_LETTERS = 40
-_LETTERS_AT_ONCE = 1 << 20
+_LETTERS_AT_ONCE = 1 << 23
+#: Words that no normal form changes, without the starts of contractions and special strings.
+_PLAIN = "[!-&(-;=-~À-ÖØ-öø-ÿ]+"
+_RUN = "([a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+)"
+_is_plain = re.compile(_PLAIN).fullmatch
+#: The letters that stand for the two bytes of a plain letter beyond ASCII.
+_BYTE_LETTERS = {
+    code: "Ã" + ("Ń" if code == ord("í") else chr(code - 0x40 + (0xA2 if code < 0xE1 else 0)))
+    for code in range(0xC0, 0x100)
+}
 _FILE_BYTES = 64 << 20
 _INDEX = "part int, roll int, name string, n_docs long, n_ids long"
 
 
+def _gathered(
+    ids: np.ndarray, n_ids: np.ndarray, which: pa.Array, lists: pa.Array
+) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of entries ``which`` in a row, and the bounds of each of the lists in them."""
+    which, offsets = which.to_numpy(), lists.offsets.to_numpy()
+    size = n_ids[which]
+    end = np.cumsum(size)
+    at = np.repeat(((np.cumsum(n_ids) - n_ids)[which] - (end - size)).astype(np.int32), size)
+    at += np.arange(len(at), dtype=np.int32)
+    return ids[at], np.append(0, end)[offsets - offsets[0]]
+
+
 class WordIds(dict):
     """Ids of words as little-endian 32-bit bytes, by a tokenizer that drops white space.
 
-    Words between blanks, tabs and line breaks never share a token, so each is
-    encoded alone. New words of several texts go to the tokenizer in one call; the
-    older half of the words makes room when there are too many.
+    Words between ASCII white space never share a token, so each distinct word of
+    some texts is encoded alone. A word of plain characters is cut into runs of
+    letters, digits and runs of marks, which go to the tokenizer's model as its
+    normalizer and splitter would hand them on; all others take its whole way. The
+    ids of runs and other words are kept; the older half makes room when there are
+    too many.
     """
 
     def __init__(self, tokenizer_file: str):
         from tokenizers import Tokenizer
 
-        super().__init__()
+        super().__init__({"": b""})
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
+        self.model = self.tokenizer.model
+
+    def __missing__(self, part: str) -> bytes:
+        if _is_plain(part):
+            letters = part if part.isascii() else part.translate(_BYTE_LETTERS)
+            found = [token.id for token in self.model.tokenize(letters)]
+        else:
+            found = self.tokenizer.encode(part, add_special_tokens=False).ids
+        ids = struct.pack(f"<{len(found)}I", *found)
+        if len(part) <= _CACHED_LETTERS:
+            self[part] = ids
+        return ids
 
     @staticmethod
-    def _parts(word: str) -> tuple[str, ...]:
-        """The word, or it and the marks behind it.
-
-        Marks after a letter are a token of their own, unless an apostrophe or a
-        special string may claim part of them.
-        """
-        bare = word.rstrip(",.!?")
-        if bare != word and bare[-1:].isalpha() and "'" not in word and "<" not in word:
-            return bare, word[len(bare) :]
-        return (word,)
-
-    def _make_room(self) -> None:
+    def _parts(words: pa.Array) -> pa.Array:
+        """The runs of each plain word, any other word whole; empty strings may follow."""
+        runs = pc.replace_substring_regex(pc.utf8_lower(words), _RUN, r"\1 ")
+        return pc.ascii_split_whitespace(
+            pc.if_else(pc.match_substring_regex(words, f"^{_PLAIN}$"), runs, words)
+        )
+
+    def _of_some(self, texts: pa.Array) -> Iterator[bytes]:
         if len(self) > _CACHED_WORDS:
-            for word in list(islice(self, len(self) // 2)):
-                del self[word]
-
-    def _learn(self, words: set[str]) -> list[str]:
-        """Adds the words; returns those too long to stay."""
-        parts = {word: self._parts(word) for word in words}
-        fresh = list({part for found in parts.values() for part in found if part not in self})
-        coded = self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)
-        for part, encoding in zip(fresh, coded, strict=True):
-            self[part] = np.array(encoding.ids, "<u4").tobytes()
-        for word, found in parts.items():
-            if len(found) > 1:
-                self[word] = self[found[0]] + self[found[1]]
-        return [word for word in (*parts, *fresh) if len(word) > _CACHED_LETTERS]
-
-    def _of_some(self, texts: list[str]) -> Iterator[bytes]:
-        self._make_room()
-        split = [list(filter(None, t.replace("\n", " ").replace("\t", " ").split(" "))) for t in texts]
-        long = self._learn(set().union(*split).difference(self))
-        yield from (b"".join(map(self.__getitem__, words)) for words in split)
-        for word in long:
-            self.pop(word, None)
-
-    def of_texts(self, texts: Iterable[str | None]) -> Iterator[bytes]:
-        held, letters = [], 0
-        for text in texts:
-            held.append(text or "")
-            letters += len(held[-1])
-            if letters >= _LETTERS_AT_ONCE:
-                yield from self._of_some(held)
-                held, letters = [], 0
-        yield from self._of_some(held)
+            for part in list(islice(self, len(self) // 2)):
+                del self[part]
+        split = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+        words = split.flatten().dictionary_encode()
+        cut = self._parts(words.dictionary)
+        parts = cut.flatten().dictionary_encode()
+        known = [self[part] for part in parts.dictionary.to_numpy(zero_copy_only=False).tolist()]
+        n_ids = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        ids, ends = _gathered(np.frombuffer(b"".join(known), "<u4"), n_ids, parts.indices, cut)
+        ids, ends = _gathered(ids, np.diff(ends), words.indices, split)
+        coded = memoryview(ids).cast("B")
+        return (bytes(coded[start:end]) for start, end in pairwise((4 * ends).tolist()))
+
+    def of_texts(self, texts: pa.Array) -> Iterator[bytes]:
+        letters = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
+        start = 0
+        while start < len(texts):
+            before = letters[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(letters, before + _LETTERS_AT_ONCE)))
+            yield from self._of_some(texts[start:stop])
+            start = stop
 
     def of_text(self, text: str | None) -> bytes:
-        (ids,) = self._of_some([text or ""])
+        (ids,) = self._of_some(pa.array([text], pa.string()))
         return ids
 
 
@@ -119,17 +143,9 @@ def _ids_of(tokenizer_file: str) -> WordIds:
     return WordIds(tokenizer_file)
 
 
-def _coded_blocks(pieces: Iterable[bytes]) -> Iterator[tuple[int, bytes]]:
-    """(ids, coded bytes) of blocks cut from a stream of id bytes, LANES at a time."""
+def _joined(pieces: Iterable[bytes]) -> Iterator[np.ndarray]:
+    """The ids of a stream of id bytes, LANES blocks at a time."""
     held, size, full = [], 0, LANES * BLOCK_IDS * 4
-
-    def coded(data: bytes) -> Iterator[tuple[int, bytes]]:
-        ids = np.frombuffer(data, "<u4")
-        if len(ids) and int(ids.max()) >= 1 << 16:
-            raise ValueError("the file format holds ids below 65536")
-        blocks = [ids[i : i + BLOCK_IDS] for i in range(0, len(ids), BLOCK_IDS)]
-        return zip(map(len, blocks), encode(blocks), strict=True)
-
     for piece in pieces:
         held.append(piece)
         size += len(piece)
@@ -137,9 +153,26 @@ def _coded_blocks(pieces: Iterable[bytes]) -> Iterator[tuple[int, bytes]]:
             data = b"".join(held)
             whole = len(data) // full * full
             for start in range(0, whole, full):
-                yield from coded(data[start : start + full])
+                yield np.frombuffer(data, "<u4", full // 4, start)
             held, size = [data[whole:]], len(data) - whole
-    yield from coded(b"".join(held))
+    yield np.frombuffer(b"".join(held), "<u4")
+
+
+def _counts(pieces: Iterable[bytes]) -> np.ndarray:
+    """How often each id occurs."""
+    counts = np.zeros(IDS, np.int64)
+    for ids in _joined(pieces):
+        if len(ids) and int(ids.max()) >= IDS:
+            raise ValueError("the file format holds ids below 65536")
+        counts += np.bincount(ids, minlength=IDS)
+    return counts
+
+
+def _coded_blocks(pieces: Iterable[bytes], shares: Shares) -> Iterator[tuple[int, bytes]]:
+    """(ids, coded bytes) of blocks cut from a stream of id bytes."""
+    for ids in _joined(pieces):
+        blocks = [ids[i : i + BLOCK_IDS] for i in range(0, len(ids), BLOCK_IDS)]
+        yield from zip(map(len, blocks), encode(blocks, shares), strict=True)
 
 
 def _write_file(folder: str, part: int, doc_ids: list, pieces: list[bytes]) -> tuple[str, int]:
@@ -148,9 +181,12 @@ def _write_file(folder: str, part: int, doc_ids: list, pieces: list[bytes]) -> t
     missing = np.array([doc is None for doc in doc_ids], np.uint8)
     known = np.array([doc or 0 for doc in doc_ids], "<i8")
     table = zlib.compress(missing.tobytes() + known.tobytes() + counts.tobytes(), 1)
+    each = _counts(pieces)
+    held = zlib.compress(np.packbits(each > 0).tobytes() + each[each > 0].astype("<i8").tobytes(), 1)
+    sizes = len(doc_ids), len(table), len(held)
     with new_file(folder, f"ids-{part:06d}", ".wids") as (name, stream):
-        stream.write(_MAGIC + _TABLE.pack(len(doc_ids), len(table), zlib.crc32(table), 0) + table)
-        for n_ids, coded in _coded_blocks(pieces):
+        stream.write(_MAGIC + _TABLE.pack(*sizes, zlib.crc32(table + held)) + table + held)
+        for n_ids, coded in _coded_blocks(pieces, Shares(each)):
             stream.write(_BLOCK.pack(n_ids, len(coded), zlib.crc32(coded)) + coded)
     return name, int(counts.sum())
 
@@ -160,12 +196,16 @@ def _read_file(data: bytes) -> Iterator[tuple[int | None, Buffer]]:
     if not data.startswith(_MAGIC):
         raise ValueError("not a file of token ids")
     at = len(_MAGIC)
-    n_docs, size, checksum, _ = _TABLE.unpack_from(data, at)
+    n_docs, size, held_size, checksum = _TABLE.unpack_from(data, at)
     at += _TABLE.size
-    if zlib.crc32(data[at : at + size]) != checksum:
-        raise ValueError("the table of documents is damaged")
-    table = zlib.decompress(data[at : at + size])
-    at += size
+    end = at + size + held_size
+    if zlib.crc32(data[at:end]) != checksum:
+        raise ValueError("the table of documents or of ids is damaged")
+    table, held = zlib.decompress(data[at : at + size]), zlib.decompress(data[at + size : end])
+    at = end
+    each = np.unpackbits(np.frombuffer(held, np.uint8, IDS // 8)).astype(np.int64)
+    each[each > 0] = np.frombuffer(held, "<i8", -1, IDS // 8)
+    shares = Shares(each)
     missing = np.frombuffer(table, np.uint8, n_docs)
     known, counts = np.frombuffer(table, "<i8", 2 * n_docs, n_docs).reshape(2, n_docs)
     blocks = []
@@ -184,7 +224,7 @@ def _read_file(data: bytes) -> Iterator[tuple[int | None, Buffer]]:
         while need:
             if at == len(held):
                 group = next(groups)
-                ids = decode([coded for _, coded in group], [n for n, _ in group])
+                ids = decode([coded for _, coded in group], [n for n, _ in group], shares)
                 held, at = memoryview(np.concatenate(ids).astype("<u4").tobytes()), 0
             pieces.append(held[at : at + need])
             at += len(pieces[-1])
@@ -221,8 +261,8 @@ def write_token_files(
             return pa.RecordBatch.from_arrays(arrays, ["part", "roll", "name", "n_docs", "n_ids"])
 
         for batch in batches:
-            texts = (text.as_py() for text in batch.column(1))
-            for doc, ids in zip(batch.column(0).to_pylist(), words.of_texts(texts), strict=True):
+            texts = words.of_texts(batch.column(1))
+            for doc, ids in zip(batch.column(0).to_pylist(), texts, strict=True):
                 doc_ids.append(doc)
                 pieces.append(ids + end)
                 size += len(ids)
