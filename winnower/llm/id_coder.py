@@ -6,13 +6,13 @@ two ids before) and order 1 (after the one id before) guess an id; the surer of
 the two is offered. Two adaptive models, by each order's record of success and
 whether it guesses the same, give the chance that it is right; they are mixed by
 a weight that each lane moves toward the better one. Other ids order 0 codes in
-two steps: one of eight classes of ids, by chances that start from the shares
-of the caller's counts and adapt to the block, and the place in the class, by
-those shares. All chances are integers of 12 bits, or 16 in a class, so encoder
-and decoder agree on any machine.
+two steps: whether the id is among the common ones that make half of all, by a
+chance that starts from the caller's counts and adapts to the block, and the
+place among the common or the rare, by those counts. All chances are integers of
+12 bits, or 18 for places, so encoder and decoder agree on any machine.
 
 The coder keeps 64 bits of state and puts out 16 at a time, carrying into what
-is out already. A range of 2^48 or more is renewed after at most 40 bits, so it
+is out already. A range of 2^48 or more is renewed after at most 42 bits, so it
 never runs out.
 """
 
@@ -24,59 +24,49 @@ import numpy as np
 
 LANES = 4096
 IDS = 1 << 16
-_BITS, _FINE_BITS = np.uint64(12), np.uint64(16)
-_ONE = 1 << 12
-_LAST, _LAST_FINE = np.uint64(_ONE - 1), np.uint64(IDS - 1)
+_BITS, _FINE_BITS = np.uint64(12), np.uint64(18)
+_ONE, _PLACES = 1 << 12, 1 << 18
+_LAST_PLACE = np.uint64(_PLACES - 1)
 _WORD = np.uint64(16)
 _TOP = np.uint64(48)
 _LEAST = np.uint64(1 << 48)
 _RATE, _CHANCE_RATE, _MIX_RATE = 5, 5, 6
-_LOWEST = 16  # chance of a guess
-_CLASSES = 8
-_ROW = np.dtype(f"V{2 * _CLASSES + 2}")
-#: Where the bounds of a row move when a class was coded.
-_GOALS = np.array(
-    [[i if i <= s else _ONE - _CLASSES + i for i in range(_CLASSES + 1)] for s in range(_CLASSES)],
-    np.int16,
-).view(_ROW).ravel()
+_LOWEST = 16  # of the chances that adapt
 #: A lane's guesses: one bucket for each hash of the last id, of order 1 and then seven of order 2.
-_BUCKETS, _BUCKET = 512, 8
+_BUCKETS, _BUCKET = 256, 8
 #: The next sureness (0: none yet) of a guess, from bit 16 on, by twice its sureness and one if right.
 _SURER = np.array([1, 2, 1, 2, 1, 3, 2, 3], np.int32) << 16
 _STEPS_AT_ONCE = 64
 
 
 class Shares:
-    """Order 0 of the ids of one file: their classes, and their places in a class.
+    """Order 0 of the ids of one file: common or rare, and their places there.
 
-    Ids are ranked by how often they occur, ties by id, and classes cut where an
-    eighth of all occurrences is full. An id that the counts lack cannot be coded.
+    Ids are ranked by how often they occur, ties by id, and cut where half of all
+    occurrences is full. An id that the counts lack cannot be coded.
     """
 
     def __init__(self, counts: np.ndarray):
         counts = np.asarray(counts, np.int64)
         ranked = np.argsort(-counts, kind="stable")[: np.count_nonzero(counts)]
         count = counts[ranked]
-        total = max(1, int(count.sum()))
-        cut = (np.cumsum(count) - count) * _CLASSES // total
-        of = np.unique(cut, return_inverse=True)[1]
-        n_ids = np.bincount(of, minlength=_CLASSES)
-        n_all = np.zeros(_CLASSES, np.int64)
-        np.add.at(n_all, of, count)
-        size = 1 + count * (IDS - n_ids[of]) // n_all[of]
-        sizes = np.zeros(_CLASSES, np.int64)
-        np.add.at(sizes, of, size)
-        first = np.searchsorted(of, np.arange(_CLASSES))[sizes > 0]
-        size[first] += IDS - sizes[sizes > 0]
-        start = np.cumsum(size) - size - of * IDS
-        #: Class, start and size of an id, 20 bits each.
+        rare = 2 * (np.cumsum(count) - count) >= max(1, int(count.sum()))
+        size, start = np.zeros_like(count), np.zeros_like(count)
+        self.slots = np.zeros((2, _PLACES), np.uint16)
+        for ids, slots in zip((~rare, rare), self.slots, strict=True):
+            if ids.any():
+                here = count[ids]
+                places = 1 + here * (_PLACES - len(here)) // here.sum()
+                places[0] += _PLACES - places.sum()
+                size[ids], start[ids] = places, np.cumsum(places) - places
+                slots[:] = np.repeat(ranked[ids], places)
+        #: The id at each place of the common ones, then of the rare.
+        self.slots = self.slots.ravel()
+        #: Whether an id is rare, its start and its size, 20 bits each.
         self.packed = np.zeros(IDS, np.uint64)
-        self.packed[ranked] = (of << 40 | start << 20 | size).astype(np.uint64)
-        #: The id at each place of each class.
-        self.slots = np.repeat(ranked, size).astype(np.int32)
-        bounds = np.append(0, np.cumsum(n_all)) * (_ONE - _CLASSES) // total + np.arange(_CLASSES + 1)
-        bounds[-1] = _ONE
-        self.row = bounds.astype(np.int16)
+        self.packed[ranked] = (rare.astype(np.int64) << 40 | start << 20 | size).astype(np.uint64)
+        share = int(count[~rare].sum()) * _ONE // max(1, int(count.sum()))
+        self.common = min(max(share, _LOWEST), _ONE - _LOWEST)
 
 
 class _Model:
@@ -84,7 +74,7 @@ class _Model:
 
     def __init__(self, lanes: int, shares: Shares):
         self.lane = np.arange(lanes)
-        self.rows = np.tile(shares.row, (lanes, 1)).view(_ROW).ravel()
+        self.common = np.full(lanes, shares.common, np.int32)
         self.guesses = np.zeros(lanes * _BUCKETS * _BUCKET, np.int32)
         self.chances = np.full(16 * lanes, _ONE // 2, np.int32)
         self.chance_base = np.stack([self.lane * 8, (lanes + self.lane) * 8])
@@ -126,21 +116,12 @@ class _Model:
         self.last2[:n] = self.last[:n]
         self.last[:n] = here
 
-    def classes(self, lane: np.ndarray) -> np.ndarray:
-        """The bounds of the classes in each of the lanes."""
-        return self.rows.take(lane).view(np.int16).reshape(-1, _CLASSES + 1)
-
-    def learn_class(self, lane: np.ndarray, row: np.ndarray, of: np.ndarray):
-        """Updates the bounds; returns the start and size of the class."""
-        at = of + (_CLASSES + 1) * self.lane[: len(of)]
-        start = row.take(at)
-        size = row.take(at + 1) - start
-        moved = _GOALS.take(of).view(np.int16).reshape(-1, _CLASSES + 1)
-        moved -= row
-        moved >>= _RATE
-        moved += row
-        self.rows[lane] = moved.view(_ROW).ravel()
-        return start.astype(np.uint64), size.astype(np.uint64)
+    def learn_rare(self, lane: np.ndarray, common: np.ndarray, rare: np.ndarray):
+        """Updates the chances of common ids; returns the start and size of what is coded."""
+        start = common * rare
+        goal = (_ONE - _LOWEST) - rare * np.int32(_ONE - 2 * _LOWEST)
+        self.common[lane] = common + (goal - common >> _RATE)
+        return start.astype(np.uint64), (common - 2 * start + rare * np.int32(_ONE)).astype(np.uint64)
 
 
 def _places(packed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -179,8 +160,8 @@ def encode(blocks: list[np.ndarray], shares: Shares | None = None) -> list[bytes
         np.multiply(unit, size, out=span[:n])
         left = np.flatnonzero(~right)
         packed = shares.packed[here[left]]
-        of = (packed >> np.uint64(40)).astype(np.int64)
-        start, size = model.learn_class(left, model.classes(left), of)
+        rare = (packed >> np.uint64(40)).astype(np.int32)
+        start, size = model.learn_rare(left, model.common[left], rare)
         unit = span[left] >> _BITS
         ahead, unit = unit * start, unit * size >> _FINE_BITS
         start, size = _places(packed)
@@ -236,14 +217,13 @@ def decode(coded: list[bytes], sizes: list[int], shares: Shares | None = None) -
         np.multiply(unit, size, out=span[:n])
         left = np.flatnonzero(~right)
         rest, unit = code[left], span[left] >> _BITS
-        value = np.minimum(rest // unit, _LAST).astype(np.int16)
-        row = model.classes(left)
-        of = np.bitwise_count(np.packbits(row[:, 1:] <= value[:, None])).astype(np.int64)
-        start, size = model.learn_class(left, row, of)
+        common = model.common[left]
+        rare = (rest >= unit * common.astype(np.uint64)).astype(np.int32)
+        start, size = model.learn_rare(left, common, rare)
         rest -= unit * start
         unit = unit * size >> _FINE_BITS
-        value = np.minimum(rest // unit, _LAST_FINE).astype(np.int64)
-        found = shares.slots[of * IDS + value]
+        place_of = np.minimum(rest // unit, _LAST_PLACE).astype(np.int64)
+        found = shares.slots[rare * _PLACES + place_of]
         start, size = _places(shares.packed[found])
         code[left] = rest - unit * start
         span[left] = unit * size
