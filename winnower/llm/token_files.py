@@ -90,9 +90,10 @@ class WordIds(dict):
         self.model = self.tokenizer.model
 
     def __missing__(self, part: str) -> bytes:
-        if _is_plain(part):
-            letters = part if part.isascii() else part.translate(_BYTE_LETTERS)
-            found = [token.id for token in self.model.tokenize(letters)]
+        if part.isascii() and part.isalpha():
+            found = [token.id for token in self.model.tokenize(part)]
+        elif _is_plain(part):
+            found = [token.id for token in self.model.tokenize(part.translate(_BYTE_LETTERS))]
         else:
             found = self.tokenizer.encode(part, add_special_tokens=False).ids
         ids = struct.pack(f"<{len(found)}I", *found)
@@ -103,10 +104,10 @@ class WordIds(dict):
     @staticmethod
     def _parts(words: pa.Array) -> pa.Array:
         """The runs of each plain word, any other word whole; empty strings may follow."""
-        runs = pc.replace_substring_regex(pc.utf8_lower(words), _RUN, r"\1 ")
-        return pc.ascii_split_whitespace(
-            pc.if_else(pc.match_substring_regex(words, f"^{_PLAIN}$"), runs, words)
-        )
+        plain, lower = pc.match_substring_regex(words, f"^{_PLAIN}$"), pc.utf8_lower(words)
+        mixed = pc.and_not(plain, pc.utf8_is_alpha(words))
+        runs = pc.replace_substring_regex(lower.filter(mixed), _RUN, r"\1 ")
+        return pc.ascii_split_whitespace(pc.replace_with_mask(pc.if_else(plain, lower, words), mixed, runs))
 
     def _of_some(self, texts: pa.Array) -> Iterator[bytes]:
         if len(self) > _CACHED_WORDS:
